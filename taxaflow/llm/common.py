@@ -54,7 +54,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     with _released_shuffles(spark):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
