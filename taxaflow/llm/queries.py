@@ -1,7 +1,7 @@
 """All queries of this subpackage, and the SQL of those that SQL expresses."""
 
-from taxaflow.llm import queries_lengths, queries_packing, queries_recipes, queries_sharding, queries_simhash
+from taxaflow.llm import queries_lengths, queries_packing, queries_recipes, queries_sharding, queries_simhash, queries_warc
 
-_MODULES = (queries_simhash, queries_packing, queries_lengths, queries_recipes, queries_sharding)
+_MODULES = (queries_simhash, queries_packing, queries_warc, queries_lengths, queries_recipes, queries_sharding)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}
