@@ -13,7 +13,6 @@ from taxaflow.llm.common import materialise
 #: A WARC record ends with this, and its header with the same.
 BREAK = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORD_DDL = "page_id long, record_type string, refers_to long, payload_digest string, header binary, payload binary"
 
 
 def _record_id(page_id: Column, digest: Column) -> Column:
