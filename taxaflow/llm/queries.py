@@ -1,7 +1,20 @@
 """All queries of this subpackage, and the SQL of those that SQL expresses."""
 
-from taxaflow.llm import queries_lengths, queries_packing, queries_quality, queries_recipes, queries_sharding, queries_simhash, queries_warc
+from taxaflow.llm import (
+    queries_katz,
+    queries_lengths,
+    queries_packing,
+    queries_quality,
+    queries_recipes,
+    queries_sharding,
+    queries_simhash,
+    queries_warc,
+    queries_wrapper,
+)
 
-_MODULES = (queries_simhash, queries_packing, queries_warc, queries_lengths, queries_quality, queries_recipes, queries_sharding)
+_MODULES = (
+    queries_simhash, queries_packing, queries_wrapper, queries_warc, queries_lengths, queries_quality, queries_katz,
+    queries_recipes, queries_sharding,
+)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}

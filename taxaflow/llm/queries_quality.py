@@ -10,7 +10,8 @@ KEEP = 0.7
 
 
 def held_out() -> F.Column:
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    """By the id's CRC-32; a row without an id is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
