@@ -1,6 +1,7 @@
 """All queries of this subpackage, and the SQL of those that SQL expresses."""
 
 from taxaflow.llm import (
+    queries_decontaminate,
     queries_katz,
     queries_lengths,
     queries_packing,
@@ -13,7 +14,7 @@ from taxaflow.llm import (
 )
 
 _MODULES = (
-    queries_simhash, queries_packing, queries_wrapper, queries_warc, queries_lengths, queries_quality, queries_katz,
+    queries_simhash, queries_packing, queries_wrapper, queries_warc, queries_lengths, queries_decontaminate, queries_quality, queries_katz,
     queries_recipes, queries_sharding,
 )
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
