@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from taxaflow.llm.common import materialise
 from taxaflow.llm.tokens import encoder, tokenizer_path
 
 #: Lengths whose suffix sums one task computes.
@@ -37,7 +38,7 @@ def with_suffix_sums(lengths: DataFrame) -> DataFrame:
     n_tokens * docs_over. total_docs and total_tokens stand on each row. Sums run within spans of lengths, and
     over the totals of spans, so that no task reads all lengths.
     """
-    hist = lengths.groupBy("n_tokens").agg(F.sum("docs").alias("docs"))
+    hist = materialise(lengths.groupBy("n_tokens").agg(F.sum("docs").alias("docs")), "lengths")
     hist = hist.withColumns({"span": F.floor(F.col("n_tokens") / SPAN), "tokens": F.col("n_tokens") * F.col("docs")})
     spans = hist.groupBy("span").agg(F.sum("docs").alias("span_docs"), F.sum("tokens").alias("span_tokens"))
     later = Window.orderBy(F.desc("span")).rowsBetween(Window.unboundedPreceding, -1)
