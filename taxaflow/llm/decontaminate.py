@@ -11,10 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taxaflow.llm.common import drop_table, input_bytes, materialise
+
 #: Words of a block; a passage is two neighbouring blocks, so passages overlap by half.
 BLOCK = 32
 #: Terms of more than this share of blocks have no weight, as in a TF-IDF index with a maximum document frequency.
-MAX_DF = 0.1
+MAX_DF = 0.005
 #: Latent dimensions, and the random ones beyond them.
 RANK, OVERSAMPLED = 128, 8
 #: Smallest cosine of a candidate, share of an item's words in order in it, and share of the item's rarest words.
@@ -25,12 +27,12 @@ ANSWER_WORDS, SHORT = 5, 8
 ITEMS = 1000
 #: Terms whose sums one task adds up.
 SLICE = 256
-#: Words of documents that are handled at once.
-AT_ONCE = 1 << 18
+#: Blocks of documents that are handled at once.
+AT_ONCE = 1 << 14
+#: Candidates go to all tasks if they have so many bytes at most; beyond, documents are joined to them by a shuffle.
+MOST_BROADCAST = 8 << 20
 
-FOLD = bytes(
-    c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256)
-)
+FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
 def folded(text: str | None) -> list[bytes]:
@@ -50,6 +52,10 @@ class Items:
     latent: np.ndarray | None = None  # unit vectors of items
     answers: list[set[bytes]] | None = None
 
+    @property
+    def kind(self) -> np.dtype:
+        return np.dtype("<u2" if len(self.index) <= 1 << 16 else "<u4")
+
     @staticmethod
     def of(rows: list[tuple]) -> Items:
         words = [folded(t) for _, t in rows]
@@ -72,97 +78,120 @@ class Words:
     terms: np.ndarray
     block: np.ndarray
     n_blocks: int
-    docs: list[list[bytes]]
-    ids: list
-    first_block: list[int]
+    keys: list[int]
+    first_block: np.ndarray
 
 
-def blocks(batches: Iterable[pa.RecordBatch], index: dict[bytes, int]) -> Iterator[Words]:
-    def done() -> Words:
-        found = np.concatenate(terms)
-        of = np.concatenate([b + np.arange(len(t)) // BLOCK for b, t in zip(first, terms, strict=True)])
-        hit = found >= 0
-        return Words(found[hit], of[hit], n_blocks, docs, ids, first)
+ENCODED_DDL = "key long, counts binary, terms binary"
+
+
+def encoded(docs: DataFrame, items: Items) -> DataFrame:
+    """(key, counts, terms) of each row of docs (key, text): how many words of each block items have too, and these.
+
+    Words are split and looked up once; all later passes read this table, of two bytes for such a word.
+    """
+    index, kind = items.index, items.kind
+
+    def looked_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, terms = [], []
+            for text in batch.column(1):
+                words = folded(text.as_py())
+                found = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
+                at = np.flatnonzero(found >= 0)
+                counts.append(np.bincount(at // BLOCK, minlength=max(1, -(-len(words) // BLOCK))).astype(np.uint8).tobytes())
+                terms.append(found[at].astype(kind).tobytes())
+            yield pa.record_batch([batch.column(0), pa.array(counts, pa.binary()), pa.array(terms, pa.binary())], names=["key", "counts", "terms"])
+
+    return docs.mapInArrow(looked_up, ENCODED_DDL)
 
-    terms, docs, ids, first, n_blocks, size = [], [], [], [], 0, 0
+
+def blocks(batches: Iterable[pa.RecordBatch], items: Items) -> Iterator[Words]:
+    """The rows of encoded(), some documents at a time; with weights known, only words with a weight."""
+
+    def done() -> Words:
+        counts = np.frombuffer(b"".join(held), np.uint8)
+        found = np.frombuffer(b"".join(terms), items.kind).astype(np.int64)
+        of = np.repeat(np.arange(len(counts)), counts)
+        if items.weight is not None:
+            hit = items.weight[found] > 0
+            found, of = found[hit], of[hit]
+        sizes = np.array([len(c) for c in held])
+        return Words(found, of, len(counts), keys, np.cumsum(sizes) - sizes)
+
+    held, terms, keys, size = [], [], [], 0
     for batch in batches:
-        for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-            words = folded(text.as_py())
-            terms.append(np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words)))
-            docs.append(words)
-            ids.append(doc_id.as_py())
-            first.append(n_blocks)
-            n_blocks += max(1, -(-len(words) // BLOCK))
-            size += len(words)
+        for key, counts, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            held.append(counts)
+            terms.append(words)
+            keys.append(key)
+            size += len(counts)
             if size >= AT_ONCE:
                 yield done()
-                terms, docs, ids, first, n_blocks, size = [], [], [], [], 0, 0
-    if ids:
+                held, terms, keys, size = [], [], [], 0
+    if keys:
         yield done()
 
 
-def _frequencies(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
+def _frequencies(table: DataFrame, items: Items) -> tuple[np.ndarray, int]:
     """Blocks of the corpus that hold each term, and all blocks."""
     index = items.index
 
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(len(index) + 1, np.int64)
-        for w in blocks(batches, index):
+        for w in blocks(batches, items):
             held = np.unique(w.block * len(index) + w.terms)
             df[:-1] += np.bincount(held % len(index), minlength=len(index))
             df[-1] += w.n_blocks
         yield pa.record_batch([pa.array(np.arange(len(df))), pa.array(df)], names=["term", "df"])
 
-    rows = docs.mapInArrow(counted, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()  # a row for each term
+    rows = table.mapInArrow(counted, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()  # a row for each term
     df = np.zeros(len(index) + 1, np.int64)
     for r in rows:
         df[r["term"]] = r["df"]
     return df[:-1], int(df[-1])
 
 
-def _rows_of(matrix: np.ndarray, w: Words, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of blocks with weighted terms: their numbers, sums of their terms' rows of matrix, and the sums' bounds."""
-    used = weight[w.terms] > 0
-    terms, block = w.terms[used], w.block[used]
-    if not len(terms):
-        return np.empty(0, np.int64), np.empty((0, matrix.shape[1]), np.float32), terms
-    firsts = np.flatnonzero(np.append(True, np.diff(block) != 0))
-    return block[firsts], np.add.reduceat(matrix[terms], firsts), terms
+def _sums(matrix: np.ndarray, w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Blocks that have terms with a weight, and the sums of these terms' rows of matrix."""
+    if not len(w.terms):
+        return np.empty(0, np.int64), np.empty((0, matrix.shape[1]), np.float32)
+    firsts = np.flatnonzero(np.append(True, np.diff(w.block) != 0))
+    return w.block[firsts], np.add.reduceat(matrix[w.terms], firsts)
 
 
-def _gram_times(docs: DataFrame, items: Items, right: np.ndarray) -> np.ndarray:
+def _gram_times(table: DataFrame, items: Items, right: np.ndarray) -> np.ndarray:
     """A'A right, where A has a TF-IDF row of unit length for each block of the corpus, and heavy rows for items."""
-    index, weight = items.index, items.weight.astype(np.float32)
+    n_terms, weight = len(items.index), items.weight.astype(np.float32)
     thick = (weight[:, None] * right).astype(np.float32)
     wide = right.shape[1]
 
     def multiplied(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(index), wide), np.float32)
-        for w in blocks(batches, index):
-            _, sums, terms = _rows_of(thick, w, weight)
-            if not len(terms):
+        total = np.zeros((n_terms, wide), np.float32)
+        for w in blocks(batches, items):
+            _, sums = _sums(thick, w)
+            if not len(sums):
                 continue
-            block = w.block[weight[w.terms] > 0]
-            row = np.cumsum(np.append(False, np.diff(block) != 0))
-            pair = np.sort(row * len(index) + terms)
+            row = np.cumsum(np.append(False, np.diff(w.block) != 0))
+            pair = np.sort(row * n_terms + w.terms)
             firsts = np.flatnonzero(np.append(True, np.diff(pair) != 0))
             tf = np.diff(np.append(firsts, len(pair)))
-            norms = np.bincount(pair[firsts] // len(index), (tf * weight[pair[firsts] % len(index)]) ** 2)
+            norms = np.bincount(pair[firsts] // n_terms, (tf * weight[pair[firsts] % n_terms]) ** 2)
             sums /= norms[:, None].astype(np.float32)
-            order = np.argsort(terms, kind="stable")
-            firsts = np.flatnonzero(np.append(True, np.diff(terms[order]) != 0))
-            at = terms[order][firsts]
+            order = np.argsort(w.terms, kind="stable")
+            firsts = np.flatnonzero(np.append(True, np.diff(w.terms[order]) != 0))
+            at = w.terms[order][firsts]
             total[at] += np.add.reduceat(sums[row[order]], firsts) * weight[at][:, None]
-        starts = range(0, len(index), SLICE)
-        yield pa.record_batch([pa.array(starts, pa.int64()), pa.array([total[i : i + SLICE].tobytes() for i in starts])], names=["start", "sums"])
+        starts = range(0, n_terms, SLICE)
+        yield pa.record_batch([pa.array(starts, pa.int64()), pa.array([total[i : i + SLICE].tobytes() for i in starts], pa.binary())], names=["start", "sums"])
 
     def added(key: tuple, rows: pa.Table) -> pa.Table:
         whole = sum(np.frombuffer(b, np.float32).astype(np.float64) for b in sorted(rows["sums"].to_pylist()))
         return pa.table({"start": [key[0].as_py()], "sums": [whole.tobytes()]})
 
     ddl = "start long, sums binary"
-    parts = docs.mapInArrow(multiplied, ddl).groupBy("start").applyInArrow(added, ddl).collect()  # terms by wide numbers in all
-    found = np.zeros((len(index), wide))
+    parts = table.mapInArrow(multiplied, ddl).groupBy("start").applyInArrow(added, ddl).collect()  # terms by wide numbers in all
+    found = np.zeros((n_terms, wide))
     for r in parts:
         found[r["start"] : r["start"] + SLICE] = np.frombuffer(r["sums"], np.float64).reshape(-1, wide)
     rows = items.vectors()
@@ -170,13 +199,13 @@ def _gram_times(docs: DataFrame, items: Items, right: np.ndarray) -> np.ndarray:
     return found + heavy * (rows.T @ (rows @ right))
 
 
-def learn(docs: DataFrame, items: Items, seed: int = 11) -> None:
-    """IDF weights, the latent basis and items' latent vectors from all documents (id, text) and the items.
+def learn(table: DataFrame, items: Items, seed: int = 11) -> None:
+    """IDF weights, the latent basis and items' latent vectors from all documents, encoded, and the items.
 
     Randomised SVD: the range of A'A over random directions, then the leading eigenvectors within it, with a
     pass over all documents for each. Items count as rows of A too, heavy enough for their terms to be kept.
     """
-    df, n = _frequencies(docs, items)
+    df, n = _frequencies(table, items)
     idf = np.log((1 + n) / (1 + df)) + 1e-3
     common = df > MAX_DF * n
     for ws in items.words:
@@ -191,8 +220,8 @@ def learn(docs: DataFrame, items: Items, seed: int = 11) -> None:
         items.latent = np.zeros((len(items.ids), 1), np.float32)
         return
     directions = np.random.default_rng(seed).standard_normal((len(items.index), wide))
-    q = np.linalg.qr(_gram_times(docs, items, directions))[0]
-    gram = q.T @ _gram_times(docs, items, q)
+    q = np.linalg.qr(_gram_times(table, items, directions))[0]
+    gram = q.T @ _gram_times(table, items, q)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     basis = q @ vectors[:, np.argsort(-values)[:RANK]]
     latent = items.vectors() @ basis
@@ -223,9 +252,11 @@ def checked(item: list[bytes], answer: set[bytes], words: list[bytes]) -> tuple[
 
 
 def _searched(items: Items):  # noqa: ANN202
+    """(key, item, block) of passages whose latent vector is near an item's."""
+
     def searched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for w in blocks(batches, items.index):
-            which, sums, _ = _rows_of(items.basis, w, items.weight)
+        for w in blocks(batches, items):
+            which, sums = _sums(items.basis, w)
             latent = np.zeros((w.n_blocks + 1, items.basis.shape[1]), np.float32)
             latent[which] = sums
             last = np.zeros(w.n_blocks, bool)
@@ -233,30 +264,44 @@ def _searched(items: Items):  # noqa: ANN202
             latent[:-1] += np.where(last[:, None], 0, latent[1:])  # a passage: a block and the next of its text
             norm = np.linalg.norm(latent[:-1], axis=1)
             some = np.flatnonzero(norm > 0)
-            best: dict[tuple[int, int], tuple] = {}
-            for start in range(0, len(some), 4096):
-                part = some[start : start + 4096]
-                cosines = (latent[part] / norm[part, None]) @ items.latent.T
-                for p, i in np.argwhere(cosines >= COSINE):
-                    block = int(part[p])
-                    doc = int(np.searchsorted(w.first_block, block, "right")) - 1
-                    at = (block - w.first_block[doc]) * BLOCK
-                    reach = max(len(items.words[i]), BLOCK)
-                    shares = checked(items.words[i], items.answers[i], w.docs[doc][max(0, at - reach) : at + 2 * BLOCK + reach])
+            rows = []
+            for start in range(0, len(some), 2048):
+                part = some[start : start + 2048]
+                near, item = np.nonzero((latent[part] / norm[part, None]) @ items.latent.T >= COSINE)
+                doc = np.searchsorted(w.first_block, part[near], "right") - 1
+                rows += zip([w.keys[d] for d in doc], item.tolist(), (part[near] - w.first_block[doc]).tolist(), strict=True)
+            columns = zip(*rows, strict=True) if rows else [[], [], []]
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["key", "item", "block"])
+
+    return searched
+
+
+def _verified(items: Items):  # noqa: ANN202
+    """The candidates of each document whose words hold the item."""
+    words, answers, ids = items.words, items.answers, items.ids
+
+    def verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc_id, text, near in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+                held = folded(text.as_py())
+                best: dict[int, tuple] = {}
+                for i, block in ((r["item"], r["block"]) for r in near.as_py()):
+                    at, reach = block * BLOCK, max(len(words[i]), BLOCK)
+                    shares = checked(words[i], answers[i], held[max(0, at - reach) : at + 2 * BLOCK + reach])
                     if shares:
-                        found = (shares[0], shares[1], float(cosines[p, i]), -at)
-                        best[doc, int(i)] = max(best.get((doc, int(i)), found), found)
-            rows = [(w.ids[d], items.ids[i], -f[3], f[2], f[0], f[1]) for (d, i), f in sorted(best.items())]
-            columns = zip(*rows, strict=True) if rows else [[] for _ in range(6)]
-            kinds = [pa.int64()] * 3 + [pa.float64()] * 3
-            names = ["doc_id", "item_id", "at_word", "cosine", "sequence", "answer"]
+                        best[i] = max(best.get(i, (0, 0, 0)), (*shares, -at))
+                rows += [(doc_id.as_py(), ids[i], -f[2], f[0], f[1]) for i, f in sorted(best.items())]
+            columns = zip(*rows, strict=True) if rows else [[] for _ in range(5)]
+            kinds = [pa.int64()] * 3 + [pa.float64()] * 2
+            names = ["doc_id", "item_id", "at_word", "sequence", "answer"]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
-    return searched
+    return verified
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, at_word, cosine, sequence, answer): each row of docs and item of benchmark found in it.
+    """(doc_id, item_id, at_word, sequence, answer): each row of docs and item of benchmark found in it.
 
     Documents are cut into overlapping passages over their whole texts. Passages whose latent vector has a
     cosine of COSINE or more with an item's are candidates. The item is found if SEQUENCE of its words occur
@@ -265,15 +310,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     them; rows with a null or wordless text are found nowhere. Repeated rows of docs are each found, those with
     a null id too. Empty tables give no rows.
     """
-    given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    given = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("key"))
     wanted = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    ddl = "doc_id long, item_id long, at_word long, cosine double, sequence double, answer double"
+    ddl = "doc_id long, item_id long, at_word long, sequence double, answer double"
     found, held = None, []
 
     def searched(rows: list[tuple]) -> DataFrame:
         items = Items.of(rows)
-        learn(given, items)
-        return given.mapInArrow(_searched(items), ddl)
+        table = materialise(encoded(given.select("key", "text"), items), "encoded")
+        learn(table, items)
+        near = table.mapInArrow(_searched(items), "key long, item long, block long").distinct()
+        near = materialise(near.groupBy("key").agg(F.collect_list(F.struct("item", "block")).alias("near")), "candidates")
+        drop_table(table)
+        small = input_bytes(near) <= MOST_BROADCAST
+        asked = given.join(F.broadcast(near) if small else near, "key")
+        return asked.select("id", "text", "near").mapInArrow(_verified(items), ddl)
 
     for row in wanted.distinct().orderBy("item_id", "text").toLocalIterator():
         if folded(row["text"]):
