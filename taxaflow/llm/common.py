@@ -8,12 +8,20 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ASCII white space of the corpus contracts, as a Java regular expression class.
 SPACE = r"[\x20\x09-\x0D]"
 
 
+def bounded(spark: SparkSession) -> SparkSession:
+    """Rows go to Python in batches of 8 MB at most, which bounds a worker's memory for texts of any length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -71,6 +79,16 @@ def input_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def without(df: DataFrame, lost: DataFrame, key: str, most_broadcast: int = 8 << 20) -> DataFrame:
+    """Rows of df whose key is not among lost's; rows with a null key stay.
+
+    lost is written once. It goes to all tasks if its files have most_broadcast bytes at most, so that df is not
+    moved; beyond, df is joined to it by a shuffle.
+    """
+    keys = materialise(lost.select(key).filter(F.col(key).isNotNull()).distinct(), "lost")
+    return df.join(F.broadcast(keys) if input_bytes(keys) <= most_broadcast else keys, key, "left_anti")
+
+
 def bucket_count(df: DataFrame, per_bucket_mb: float = 12.0, least: int = 4) -> int:
     """Buckets of about per_bucket_mb of input, so that a bucket's share stays level as the input grows."""
     return max(least, min(1 << 20, math.ceil(input_bytes(df) / (per_bucket_mb * 1e6))))

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
 
-#: The separator between words that are encoded together; no word holds it.
-MARK = "<|endoftext|>"
 #: A worker keeps at most so many words with their ids.
 CACHED = 1_000_000
 #: A text is handled in pieces of about so many characters, cut at white space.
@@ -31,17 +30,15 @@ class WordEncoder:
     """Encodes texts with word_bpe_49k or a file like it: pretokens never cross ASCII white space.
 
     The ids of a text are those of its words in order, and are cached by word. A plain word's letters and its
-    punctuation are one pretoken each and go to the byte-pair model directly. Other words are encoded together,
-    with an added token between them; words that hold "<|" go to the tokenizer by themselves.
+    punctuation are one pretoken each and go to the byte-pair model directly. Other words go to the tokenizer.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core
         from tokenizers import Tokenizer
 
         self.plain = Tokenizer.from_file(path)
         self.plain.encode_special_tokens = True
-        self.marked = Tokenizer.from_file(path)
-        self.mark_id = self.marked.token_to_id(MARK)
         self.words: dict[str, bytes] = {}
         self.model = self.plain.model
         self.ends: dict[str, bytes] = {"": b""}
@@ -70,18 +67,8 @@ class WordEncoder:
             else:
                 self.words[letters] = ids = self._pretoken(letters) if letters else b""
                 self.words[word] = ids + self._ending(end)
-        fresh = rest
-        odd = [w for w in fresh if "<|" in w]
-        fresh = [w for w in fresh if "<|" not in w]
-        for word in odd:
-            self.words[word] = np.array(self.plain.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if fresh and self.mark_id is None:
-            raise ValueError(f"the tokenizer has no added token {MARK}")
-        for start in range(0, len(fresh), 20_000):
-            some = fresh[start : start + 20_000]
-            ids = np.array(self.marked.encode(MARK.join(some), add_special_tokens=False).ids, "<u4")
-            for word, part in zip(some, np.split(ids, np.flatnonzero(ids == self.mark_id)), strict=True):
-                self.words[word] = part.tobytes() if not len(part) or part[0] != self.mark_id else part[1:].tobytes()
+        for word, found in zip(rest, self.plain.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.words[word] = np.array(found.ids, "<u4").tobytes()
 
     def _bytes_of(self, words: list[str]) -> bytes:
         known = self.words
