@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import tempfile
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +81,13 @@ def input_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def release_memory() -> None:
+    """Give memory that Arrow and the C library hold without need back to the machine; a worker's next task can be far off."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries do it by themselves
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def without(df: DataFrame, lost: DataFrame, key: str, most_broadcast: int = 8 << 20) -> DataFrame:
     """Rows of df whose key is not among lost's; rows with a null key stay.
 
