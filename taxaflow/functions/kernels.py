@@ -88,15 +88,14 @@ def without_duplicate_masks(df: DataFrame, image: str = "image_id", most: float
 def points_in_masks(points: DataFrame, instances: DataFrame, image: str = "image_id") -> DataFrame:
     """points (image, p_id, x, y) with instance_id: the first instance whose mask holds the point, else the smallest box.
 
-    instances: (instance_id, box, win_x1, win_y1, mask_rle, mask_h, mask_w). Coordinates are rounded half to even;
-    a point without coordinates, or nowhere, has a null instance_id.
+    instances: (instance_id, box, win_x1, win_y1, mask_rle, mask_h, mask_w). A point's pixel in a
+    mask's window is rounded half to even; a point without coordinates, or nowhere, has a null instance_id.
     """
     cols = ["instance_id", "box", "win_x1", "win_y1", "mask_rle", "mask_h", "mask_w"]
-    x, y = F.rint("x").cast("long"), F.rint("y").cast("long")
-    near = points.filter("x IS NOT NULL AND y IS NOT NULL").select(image, "p_id", x.alias("_x"), y.alias("_y")).join(instances.select(image, *cols), image)
-    dx, dy = F.col("_x") - F.col("win_x1"), F.col("_y") - F.col("win_y1")
+    near = points.filter("x IS NOT NULL AND y IS NOT NULL").select(image, "p_id", "x", "y").join(instances.select(image, *cols), image)
+    dx, dy = F.rint(F.col("x") - F.col("win_x1")).cast("long"), F.rint(F.col("y") - F.col("win_y1")).cast("long")
     window = (dx >= 0) & (dy >= 0) & (dx < F.col("mask_w")) & (dy < F.col("mask_h"))
-    in_box = (F.col("_x") >= F.col("box.x1")) & (F.col("_x") <= F.col("box.x2")) & (F.col("_y") >= F.col("box.y1")) & (F.col("_y") <= F.col("box.y2"))
+    in_box = (F.col("x") >= F.col("box.x1")) & (F.col("x") <= F.col("box.x2")) & (F.col("y") >= F.col("box.y1")) & (F.col("y") <= F.col("box.y2"))
     # the pixel's place in column-major order falls into a run of ones if it is in an odd run
     place = dx * F.col("mask_h") + dy
     runs = F.when(window, mask_runs("mask_rle"))

@@ -136,12 +136,12 @@ def best_box(df: DataFrame, on: str, width: str, height: str, weight: float = 0.
 
 
 def smallest_containing(points: DataFrame, boxes: DataFrame, on: str) -> DataFrame:
-    """points (on, p_id, x, y) with box_id: the smallest box (on, id, box) that contains the rounded point.
+    """points (on, p_id, x, y) with box_id: the smallest box (on, id, box) that contains the point; ties: the smaller id.
 
-    Coordinates are rounded half to even. Points without coordinates or outside all boxes keep a null box_id.
+    Points without coordinates or outside all boxes keep a null box_id.
     """
     b = boxes.select(on, F.col("id").alias("box_id"), F.col("box").alias("_b"), area(F.col("box")).alias("_area"))
-    x, y = F.rint("x"), F.rint("y")
+    x, y = F.col("x"), F.col("y")
     inside = (x >= F.col("_b.x1")) & (x <= F.col("_b.x2")) & (y >= F.col("_b.y1")) & (y <= F.col("_b.y2"))
     found = points.join(b, on).filter(inside).groupBy("p_id").agg(F.min(F.struct("_area", "box_id")).alias("_m"))
     return points.join(found.select("p_id", F.col("_m.box_id").alias("box_id")), "p_id", "left")

@@ -72,11 +72,12 @@ def number(col: Column) -> Column:
 def fixed_annotation_frame(df: DataFrame, groups: Sequence[str], measured: str, annotated: str, coords: Sequence[str], tolerance: float = 0.08) -> DataFrame:
     """frame_factor, frame_ok and coordinates in the measured frame.
 
-    The factor is the group's median of measured / annotated scale. Groups off by more than the tolerance have
-    their coordinates multiplied by it and are not ok; groups without a factor keep theirs and are not ok.
+    The factor is the group's median of measured / annotated scale where that is off by more than the tolerance,
+    and 1 otherwise; coordinates are multiplied by it. Groups that are off, or without a median, are not ok.
     """
-    factor = df.groupBy(*groups).agg(F.median(F.try_divide(F.col(measured), F.col(annotated))).alias("frame_factor"))
-    joined = df.join(factor, list(groups), "left")
-    off = F.coalesce(F.abs(F.col("frame_factor") - 1) > tolerance, F.lit(False))
-    moved = {c: F.when(off, F.col(c) * F.col("frame_factor")).otherwise(F.col(c)) for c in coords}
-    return joined.withColumns(moved | {"frame_ok": F.coalesce(F.abs(F.col("frame_factor") - 1) <= tolerance, F.lit(False))})
+    median = F.median(F.try_divide(F.col(measured), F.col(annotated)))
+    joined = df.join(df.groupBy(*groups).agg(median.alias("_median")), list(groups), "left")
+    off = F.coalesce(F.abs(F.col("_median") - 1) > tolerance, F.lit(False))
+    factor = F.when(off, F.col("_median")).otherwise(F.lit(1.0))
+    moved = {c: F.col(c) * factor for c in coords}
+    return joined.withColumns(moved | {"frame_factor": factor, "frame_ok": F.col("_median").isNotNull() & ~off}).drop("_median")

@@ -142,7 +142,7 @@ def crop_windows(t: Tables) -> DataFrame:
 
 
 @query(f"""WITH d AS ({_DET.format(0)}), p AS (SELECT event_id AS p_id, user_id % 300 AS image, CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS x, (event_id % 120) + 0.5 AS y FROM events)
-SELECT p_id, p.image, (SELECT id FROM d WHERE d.image = p.image AND round_even(x, 0) BETWEEN x1 AND x2 AND round_even(y, 0) BETWEEN y1 AND y2 ORDER BY (x2 - x1) * (y2 - y1), id LIMIT 1) AS box_id FROM p""")
+SELECT p_id, p.image, (SELECT id FROM d WHERE d.image = p.image AND x BETWEEN x1 AND x2 AND y BETWEEN y1 AND y2 ORDER BY (x2 - x1) * (y2 - y1), id LIMIT 1) AS box_id FROM p""")
 def point_in_box_smallest(t: Tables) -> DataFrame:
     e = F.col("event_id")
     points = t.events.select(e.alias("p_id"), (F.col("user_id") % 300).alias("image"), F.when(e % 9 != 0, F.col("value")).alias("x"), (e % 120 + 0.5).alias("y"))

@@ -213,7 +213,7 @@ def year_from_string(t: Tables) -> DataFrame:
 
 
 @query("""WITH g AS (SELECT l_returnflag, l_linestatus, median(l_extendedprice / l_quantity / 1500) AS frame_factor FROM lineitem GROUP BY ALL)
-SELECT l_orderkey, l_linenumber, round(frame_factor, 6) AS frame_factor, abs(frame_factor - 1) <= 0.08 AS frame_ok, round(CASE WHEN abs(frame_factor - 1) > 0.08 THEN l_tax * frame_factor ELSE l_tax END, 6) AS x1
+SELECT l_orderkey, l_linenumber, round(CASE WHEN abs(frame_factor - 1) > 0.08 THEN frame_factor ELSE 1.0 END, 6)::DOUBLE AS frame_factor, abs(frame_factor - 1) <= 0.08 AS frame_ok, round(CASE WHEN abs(frame_factor - 1) > 0.08 THEN l_tax * frame_factor ELSE l_tax END, 6) AS x1
 FROM lineitem JOIN g USING (l_returnflag, l_linestatus)""")
 def median_broadcast_correct(t: Tables) -> DataFrame:
     rows = t.lineitem.withColumns({"m": F.col("l_extendedprice") / F.col("l_quantity"), "a": F.lit(1500.0), "x1": F.col("l_tax")})
