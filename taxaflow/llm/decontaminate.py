@@ -18,9 +18,9 @@ BLOCK = 32
 #: Terms of more than this share of blocks have no weight, as in a TF-IDF index with a maximum document frequency.
 MAX_DF = 0.005
 #: Latent dimensions, and the random ones beyond them.
-RANK, OVERSAMPLED = 128, 8
+RANK, OVERSAMPLED = 96, 8
 #: Smallest cosine of a candidate, share of an item's words in order in it, and share of the item's rarest words.
-COSINE, SEQUENCE, ANSWER = 0.45, 0.6, 0.6
+COSINE, SEQUENCE, ANSWER = 0.5, 0.6, 0.6
 #: How many of an item's rarest words are its answer; items with fewer words than SHORT must occur whole.
 ANSWER_WORDS, SHORT = 5, 8
 #: Items that are searched for at once; more are taken in turns over all documents.
@@ -245,10 +245,11 @@ def common_subsequence(item: list[bytes], passage: list[bytes]) -> int:
 
 def checked(item: list[bytes], answer: set[bytes], words: list[bytes]) -> tuple[float, float] | None:
     """Shares of the item's words in order and of its answer in words, if both are large enough."""
-    sequence = common_subsequence(item, words) / len(item)
     held = len(answer.intersection(words)) / len(answer)
-    least = SEQUENCE if len(item) >= SHORT else 1.0
-    return (sequence, held) if sequence >= least and held >= ANSWER else None
+    if held < ANSWER:
+        return None
+    sequence = common_subsequence(item, words) / len(item)
+    return (sequence, held) if sequence >= (SEQUENCE if len(item) >= SHORT else 1.0) else None
 
 
 def _searched(items: Items):  # noqa: ANN202
