@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from taxaflow.functions import kernels, text
+from taxaflow.functions.rasters import rle_decode
 from taxaflow.operators import boxes, linkage, selection, shaping
 
 #: Measured columns in pixels that become millimetres, and areas.
@@ -50,7 +53,7 @@ def trait_manifest(traits: DataFrame, metadata: DataFrame, kinds: Sequence[str]
 def anonymous_manifest(rows: DataFrame) -> DataFrame:
     """Crops whose places are anonymised; their ids carry a prefix, and they are one specimen each."""
     renamed = rows.withColumnsRenamed({"siteID": "anon_siteID", "domainID": "anon_domainID", "eventID": "anon_eventID"})
-    return renamed.withColumns({"image_id": F.concat(F.lit("sentinel/"), text.stem(F.col("relative_img_loc"))), "source": F.lit("sentinel"), "route": F.lit("crop"), "year": F.substring("collectDate", 1, 4)})
+    return renamed.withColumns({"image_kind": F.lit("pinned"), "is_carabid": F.lit(True), "eventDate": F.col("collectDate"), "image_id": F.concat(F.lit("sentinel/"), F.col("public_id")), "source": F.lit("sentinel"), "route": F.lit("crop"), "year": F.substring("collectDate", 1, 4)})
 
 
 def image_manifest(biorepo: DataFrame, files: DataFrame, pools: Sequence[DataFrame], tray_barcodes: DataFrame, schema: T.StructType) -> DataFrame:
@@ -105,22 +108,16 @@ def with_base_widths(instances: DataFrame, sizes: DataFrame) -> DataFrame:
     """
     rows = instances.join(sizes.select("image_id", F.col("width").alias("_w"), F.col("height").alias("_h")), "image_id", "left")
     rows = rows.withColumn("_b", kernels.base_widths("head_rle", "pronotum_rle", "elytra_rle", "parts_h", "parts_w"))
-    ends = F.transform(F.array("head_rle", "pronotum_rle", "elytra_rle"), lambda c: c)
-    rows = rows.withColumn("_e", trunk_extent(ends, F.col("parts_h"), F.col("parts_w")))
+    rows = rows.withColumn("_e", trunk_extent(F.array("head_rle", "pronotum_rle", "elytra_rle"), F.col("parts_h"), F.col("parts_w")))
     w, h = F.coalesce("_w", F.col("pwin_x1") + F.col("parts_w")), F.coalesce("_h", F.col("pwin_y1") + F.col("parts_h"))
     extent = F.struct(*[(F.col(f"pwin_{n[0]}1") + F.col("_e")[n]).alias(n) for n in boxes.BOX])
-    edge = F.when(F.col("_e").isNotNull(), boxes.touches_edge(extent, w, h))
+    edge = F.when(F.col("_e.x1").isNotNull(), boxes.touches_edge(extent, w, h))
     return rows.select("*", "_b.*").withColumn("trunk_touches_edge", edge).drop("_b", "_e", "_w", "_h")
 
 
-@F.pandas_udf("struct<x1:int,y1:int,x2:int,y2:int>")
-def trunk_extent(codes, height, width):  # noqa: ANN001, ANN201  pandas_udf reads the types given above
+@F.pandas_udf(T.StructType([T.StructField(n, T.IntegerType()) for n in boxes.BOX]))
+def trunk_extent(codes: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
     """First and last columns and rows of any of a row's coded masks; null where all are empty or one is null."""
-    import numpy as np
-    import pandas as pd
-
-    from taxaflow.functions.rasters import rle_decode
-
     rows = []
     for some, h, w in zip(codes, height, width, strict=True):
         found = {n: None for n in boxes.BOX}

@@ -40,7 +40,8 @@ def specimen_manifest(para: DataFrame, expert: DataFrame | None = None, field: D
     if expert is not None:
         e = shaping.present(_latest(expert), EXPERT)
         man = man.join(e.withColumnsRenamed({c: f"expert_{c}" for c in ("taxonID", "scientificName", "taxonRank", "identifiedBy", "identifiedDate")}), "individualID", "left")
-    missing = [c for c in ("expert_taxonID", "expert_scientificName", "expert_taxonRank", "sex") if c not in man.columns]
+    needed = [f"{who}_{c}" for who in ("para", "expert") for c in ("taxonID", "scientificName", "taxonRank")] + ["sex", "collectDate"]
+    missing = [c for c in needed if c not in man.columns]
     man = man.withColumns({c: F.lit(None).cast("string") for c in missing})
     has = F.col("expert_scientificName").isNotNull()
     best = {f"best{c[0].upper()}{c[1:]}": shaping.preferred(has, F.col(f"expert_{c}"), F.col(f"para_{c}")) for c in ("taxonID", "scientificName", "taxonRank")}
