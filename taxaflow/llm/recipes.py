@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from taxaflow.llm.common import SPACE, materialise
 
-#: A chunk ends at the first sentence end after LEAST characters, or at MOST characters where there is none.
-LEAST, MOST = 512, 4096
-CHUNK = rf"(?s).{{{LEAST},{MOST - 2}}}?[.!?] |.{{1,{MOST}}}"
+#: A chunk has LEAST characters or more, and MOST at most.
+LEAST, MOST = 64, 4096
+#: Two halves of the characters; the seven before a space must fall into these for a chunk to end there, which one
+#: space in 128 does. So ends follow from content alone, and texts that share a part share its chunks.
+LOW, HIGH = "[a-mA-M0-4., ]", "[^a-mA-M0-4., ]"
+END = f" (?<={LOW}{HIGH}{HIGH}{LOW}{HIGH}{LOW}{LOW} )"
+CHUNK = rf"(?s).{{{LEAST - 1},{MOST - 1}}}?{END}|.{{1,{MOST}}}"
 
 
 def normalised(text: Column) -> Column:
