@@ -25,7 +25,7 @@ IMPLIED = {
 }
 P_BOUNDS = frozenset("table td th caption html body article section div blockquote li dd button object".split())
 
-MARKUP = re.compile(r"<(?:!--(?:.*?-->|.*)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|[!?/][^>]*(?:>|\Z))", re.S)
+MARKUP = re.compile(r"<(?:!--(?:.*?-->|.*)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(>|\Z)|[!?/][^>]*(?:>|\Z))", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 

@@ -102,8 +102,9 @@ def _gradients(net: Network, chunks: np.ndarray, firsts: np.ndarray, n_bytes: np
     doc = np.repeat(np.arange(len(firsts)), n)
     mean, most, least = (onto[:, i * FILTERS : (i + 1) * FILTERS] for i in range(3))
     pool = (mean / n[:, None])[doc]
-    pool = pool + most[doc] * (pools == feats[doc, FILTERS : 2 * FILTERS])
-    pool = pool + least[doc] * (pools == feats[doc, 2 * FILTERS : 3 * FILTERS])
+    for share, at_end in ((most, feats[doc, FILTERS : 2 * FILTERS]), (least, feats[doc, 2 * FILTERS : 3 * FILTERS])):
+        ends = (pools == at_end).astype(pools.dtype)  # chunks that overlap can tie
+        pool = pool + share[doc] * ends / np.add.reduceat(ends, firsts)[doc]
     row = np.arange(len(chunks))[:, None, None]
     span = np.arange(2 * STEP)
     seen = chunks[row, at[:, :, None] * STEP + span]
