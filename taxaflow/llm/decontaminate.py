@@ -15,14 +15,15 @@ from taxaflow.llm.common import drop_table, input_bytes, materialise
 
 #: Words of a block; a passage is two neighbouring blocks, so passages overlap by half.
 BLOCK = 32
-#: Terms of more than this share of blocks have no weight, as in a TF-IDF index with a maximum document frequency.
-MAX_DF = 0.005
+#: Terms of more than this share of blocks, and of more than so many, have no weight, as in a TF-IDF index with a
+#: maximum document frequency.
+MAX_DF, FEW = 0.005, 64
 #: Latent dimensions, and the random ones beyond them.
 RANK, OVERSAMPLED = 96, 8
 #: Smallest cosine of a candidate, share of an item's words in order in it, and share of the item's rarest words.
-COSINE, SEQUENCE, ANSWER = 0.5, 0.6, 0.6
+COSINE, SEQUENCE, ANSWER = 0.5, 0.6, 0.5
 #: How many of an item's rarest words are its answer; items with fewer words than SHORT must occur whole.
-ANSWER_WORDS, SHORT = 5, 8
+ANSWER_WORDS, SHORT = 8, 8
 #: Items that are searched for at once; more are taken in turns over all documents.
 ITEMS = 1000
 #: Terms whose sums one task adds up.
@@ -207,7 +208,7 @@ def learn(table: DataFrame, items: Items, seed: int = 11) -> None:
     """
     df, n = _frequencies(table, items)
     idf = np.log((1 + n) / (1 + df)) + 1e-3
-    common = df > MAX_DF * n
+    common = df > max(MAX_DF * n, FEW)
     for ws in items.words:
         own = [items.index[w] for w in ws]
         if own and common[own].all():
