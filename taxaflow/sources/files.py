@@ -156,7 +156,8 @@ class TableStore:
         for value in hit:
             part = f"{by}={value}"
             fs.delete(path(f"{self.root}/shards/{kind}/{part}"), True)
-            fs.rename(path(f"{staged}/{part}"), path(f"{self.root}/shards/{kind}/{part}"))
+            if fs.exists(path(f"{staged}/{part}")):
+                fs.rename(path(f"{staged}/{part}"), path(f"{self.root}/shards/{kind}/{part}"))
         fs.delete(path(staged), True)
         self.spark.catalog.refreshByPath(f"{self.root}/shards/{kind}")
 
