@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -24,7 +25,11 @@ def distinct_events(stream: DataFrame, ts: str, keys: Sequence[str], late: str =
 
 
 def _folder(spark: SparkSession, label: str) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='taxaflow-')}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='taxaflow-')}"
     return f"{root}/streams/{label}-{uuid.uuid4().hex}"
 
 
