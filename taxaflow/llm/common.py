@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import math
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager, suppress
@@ -28,9 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where all is one process, as in tests, it can be unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='taxaflow-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return root

@@ -146,6 +146,8 @@ def test_broken_markup():
     assert wrapper.main_text("<article><p>a &lt;b&gt; 1 < 2</p><!-- no --><ul><li>x<li>y</ul></article>") == "a <b> 1 < 2\n\nx\n\ny"
     assert wrapper.main_text("<article><p>in<script>if (a</p>) x</script>side</p></article>") == "inside"
     assert wrapper.main_text("plain text &eacute;") == "plain text é"
+    deep = "<article>" + "<div>" * 5000 + "<p>deep" + "</div>" * 5000 + "<p>after</article>"
+    assert wrapper.main_text(deep) == "deep\n\nafter" and wrapper.main_text("<b>" * 9000 + "x") == "x"
     assert parse("</p></div><x y=1/>").children[0].tag == "x"
 
 
