@@ -33,18 +33,18 @@ def mask_metrics(code: pd.Series, height: pd.Series, width: pd.Series) -> pd.Dat
     return _per_row(lambda c, h, w: rasters.body_metrics(rasters.rle_decode(c, int(h), int(w))), (code, height, width), BODY.names)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def midline(code: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
     return _per_row(lambda c, h, w: {"x": rasters.midline_length(rasters.rle_decode(c, int(h), int(w)))}, (code, height, width), ["x"])["x"].astype("float64")
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def mask_runs(code: pd.Series) -> pd.Series:
     """Lengths of a coded mask's runs, zeros first."""
     return code.map(lambda c: None if c is None else rasters.rle_runs(c))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def mask_code(runs: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
     """The code of a mask given by its runs."""
     return pd.Series([None if r is None else rasters.rle_encode(np.repeat(np.arange(len(r)) % 2 == 1, r).reshape((int(h), int(w)), order="F")) for r, h, w in zip(runs, height, width, strict=True)])
@@ -58,7 +58,7 @@ def base_widths(head: pd.Series, pronotum: pd.Series, elytra: pd.Series, height:
     return _per_row(one, (head, pronotum, elytra, height, width), BASE.names)
 
 
-@F.pandas_udf("struct<period:double,strength:double>")
+@F.pandas_udf(T.StructType([T.StructField("period", T.DoubleType()), T.StructField("strength", T.DoubleType())]))
 def signal_period(profile: pd.Series, low: pd.Series, high: pd.Series) -> pd.DataFrame:
     return _per_row(lambda p, a, b: dict(zip(("period", "strength"), signals.period(np.asarray(p, float), int(a), int(b)), strict=True)), (profile, low, high), ["period", "strength"])
 
