@@ -1,12 +1,12 @@
-"""Near copies by word shingles: wide SimHash fingerprints find them, their shingles' Jaccard similarity decides."""
+"""Near copies by word shingles: texts that share a rare shingle meet, their sets' Jaccard similarity decides."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,127 +14,208 @@ from taxaflow.llm.common import drop_table, input_bytes, materialise
 from taxaflow.llm.graph import connected_components
 from taxaflow.llm.simhash import lowered_words, shingle_hashes
 
-#: A fingerprint has so many segments of 32 bits.
-SEGMENTS = 12
-#: Words of so many bytes are a text's features, or all words where it has fewer than FEW such.
-LONG, FEW = 6, 8
-#: Fingerprints of one segment value that are all compared; in larger groups each meets the first and its NEXT in order.
-CROWD, NEXT = 4, 2
-#: Differing bits, of 32 * SEGMENTS, up to which a candidate's shingles are compared. Texts at a similarity of 0.8
-#: differ in some 30 to 60, short ones in up to twice that; unrelated ones in some 150 or more.
-MOST_BITS = 110
+#: Texts that hold one shingle and all meet at once; in a larger crowd the members meet one of them first, and then
+#: all those that are not yet in one group.
+CROWD = 8
+#: Rounds of such first meetings, and by how many of a text's most crowded shingles.
+ROUNDS, HUBS = 3, 4
+#: One of SAMPLE texts counts for which shingles are common: those met SEEN times, MOST_COMMON at most. They only order.
+SAMPLE, SEEN, MOST_COMMON = 8, 3, 100_000
+#: A set's sketch has so many numbers of 64 bits: each bit is the parity of the shingles that fall on it. Its wide
+#: sketch has two bits a shingle or more, a power of two.
+SKETCH = 8
 #: Ids go to all tasks if their files have so many bytes at most; beyond, texts are joined to them by a shuffle.
 MOST_BROADCAST = 8 << 20
 
 
-def wide_simhash(words: list[bytes]) -> np.ndarray:
-    """SEGMENTS numbers of 32 bits: each bit is the majority of its values in the hashes of distinct long words."""
-    distinct = set(words)
-    long = {w for w in distinct if len(w) >= LONG}
-    hashed = b"".join(xxhash.xxh3_128_digest(w, s) for w in (long if len(long) >= FEW else distinct) for s in range(SEGMENTS // 4))
-    votes, n = np.zeros(32 * SEGMENTS, np.int64), len(hashed) // (4 * SEGMENTS)
-    for start in range(0, n, 4096):
-        part = np.frombuffer(hashed, np.uint8)[start * 4 * SEGMENTS : (start + 4096) * 4 * SEGMENTS]
-        votes += np.unpackbits(part.reshape(-1, 4 * SEGMENTS), axis=1).sum(0, dtype=np.int64)
-    return np.packbits(2 * votes > n).view(">u4").astype(np.int64)
+def _set_of(text: str | None, size: int) -> np.ndarray:
+    return np.unique(shingle_hashes(lowered_words(text), size))
 
 
-def _sketched(size: int):  # noqa: ANN202
-    def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def parity_sketch(shingles: np.ndarray, bits: int = 64 * SKETCH) -> np.ndarray:
+    """A power of two of bits, as bytes. Two sets differ in as many shingles at least as their sketches in bits."""
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
+def wide_sketch(shingles: np.ndarray) -> bytes:
+    return parity_sketch(shingles, max(64, 1 << (2 * len(shingles) - 1).bit_length())).tobytes()
+
+
+def sketches_differ(x: bytes, y: bytes) -> int:
+    """Bits in which two wide sketches differ, the longer one folded to the length of the other."""
+    a, b = sorted((np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)), key=len)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def prefix(shingles: np.ndarray, least: float, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first shingles of an ascending set in the order of all sets: two sets at least similar share one of them.
+
+    A set of n shares least * n or more with such a partner, so it has too few others to fill this prefix. Common
+    shingles (ascending, with their ranks from 1) come last.
+    """
+    take = len(shingles) - math.ceil(least * len(shingles) - 1e-9) + 1
+    if len(common) and len(shingles):
+        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        late = np.where(common[at] == shingles, rank[at], 0)
+        if late.any():
+            shingles = shingles[np.lexsort((shingles, late))]
+    return shingles[:take]
+
+
+def _keyed(size: int, least: float, common: np.ndarray, rank: np.ndarray):  # noqa: ANN202
+    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, counts = [], []
-            for text in batch.column(1):
-                words = lowered_words(text.as_py())
-                fps.append(wide_simhash(words).tolist())
-                counts.append(max(1, len(words) - size + 1) if words else 0)
-            yield pa.record_batch([batch.column(0), pa.array(fps, pa.list_(pa.int64())), pa.array(counts, pa.int64())], names=["id", "fp", "n"])
+            sets = [_set_of(t.as_py(), size) for t in batch.column(1)]
+            keys = [prefix(s, least, common, rank) for s in sets]
+            spans = [len(k) for k in keys]
+            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), spans)
+            counts = np.repeat(np.array([len(s) for s in sets], np.int64), spans)
+            yield pa.record_batch([pa.array(np.concatenate([np.empty(0, np.uint64), *keys]).view(np.int64)), pa.array(ids, pa.int64()), pa.array(counts)], names=["key", "id", "n"])
+
+    return keyed
 
-    return sketched
+
+def _each_shingle(size: int):  # noqa: ANN202
+    def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [_set_of(t.as_py(), size) for t in batch.column(1)]
+            yield pa.record_batch([pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64))], names=["key"])
+
+    return each
 
 
 def _shingled(size: int):  # noqa: ANN202
     def shingled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingle_hashes(lowered_words(t.as_py()), size)).view(np.int64) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
+            sets = [_set_of(t.as_py(), size) for t in batch.column(1)]
+            columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([parity_sketch(s).view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(map(wide_sketch, sets), pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))]
+            yield pa.record_batch(columns, names=["id", "n", "bits", "wide", "shingles"])
 
     return shingled
 
 
-def candidates(sketches: DataFrame, only: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None, DataFrame]:
-    """(a, b) ids whose fingerprints (id, fp) are near, the ids in crowds if there are any, and the crowds.
+def _maybe_similar(least: float):  # noqa: ANN202
+    def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "widea", "wideb")), strict=True)
+            near = pa.array([sketches_differ(x, y) <= (n + m) * (1 - least) / (1 + least) + 1e-6 for n, m, x, y in rows], pa.bool_())
+            yield batch.select(["a", "b"]).filter(near)
+
+    return kept
 
-    Every segment has a table; each fingerprint looks up the Hamming ball of one bit around its segment. Where
-    more than CROWD hold a segment's value, each of them meets the one with the smallest id, and its neighbours in
-    the order of the remaining segments, which differs from table to table; a text that is in no crowd meets the
-    first of each crowd that it reaches. Of all that meet, complete distances are verified.
-    """
-    keys = F.array(*[F.col("fp")[s].bitwiseOR(F.lit(s << 32)) for s in range(SEGMENTS)])
-    every = sketches.select("id", F.explode(keys).alias("key"))
-    held = materialise(every.join(only, "key", "left_semi") if only is not None else every, "segments")
-    crowds = materialise(held.groupBy("key").agg(F.count("*").alias("k"), F.min("id").alias("hub")).filter(F.col("k") > CROWD), "crowds")
-    crowded = not crowds.isEmpty()
-    sparse = held.join(crowds, "key", "left_anti") if crowded else held
-    flips = F.array(*[F.lit(1 << i).cast("long") for i in range(32)])
-    ball = F.transform(F.filter(flips, lambda m: F.col("key").bitwiseAND(m) == 0), lambda m: F.col("key").bitwiseOR(m))
-    reach = held.select(F.col("id").alias("a"), F.explode(F.concat(F.array("key"), ball)).alias("key"))
-    pairs = reach.join(sparse.select(F.col("id").alias("b"), "key"), "key").select("a", "b")
-    members = None
-    if crowded:
-        inside = materialise(held.join(crowds, "key"), "crowded")
-        members = inside.select("id").distinct()
-        outside = reach.join(members.withColumnRenamed("id", "a"), "a", "left_anti").join(crowds, "key")
-        for near in (inside.select(F.col("id").alias("a"), F.col("hub").alias("b")), outside.select("a", F.col("hub").alias("b"))):
-            pairs = pairs.unionByName(near)
-        at = F.shiftright("key", 32).cast("int")
-        turned = F.concat(F.slice("fp", at + 1, F.lit(SEGMENTS) - at), F.slice("fp", F.lit(1), at))
-        order = Window.partitionBy("key").orderBy("turned", "id")
-        beside = F.array(*[F.lead("id", i).over(order) for i in range(1, NEXT + 1)])
-        ordered = inside.join(sketches.select("id", "fp"), "id").withColumn("turned", turned).select(F.col("id").alias("a"), beside.alias("next"))
-        pairs = pairs.unionByName(ordered.select("a", F.explode("next").alias("b")).filter("b IS NOT NULL"))
-    met = pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    known = sketches.select("id", "fp")
-    both = met.join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b")
-    bits = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, k: n + k)
-    return both.filter(bits <= MOST_BITS).select("a", "b").distinct(), members, crowds
-
-
-def _links(given: DataFrame, pairs: DataFrame, size: int, least: float) -> DataFrame:
-    """The pairs whose texts' sets of shingles are similar."""
-    met = materialise(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "met")
+
+def _common(given: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Common shingles of a sample of the texts, ascending, and their ranks by how often they are met, from 1."""
+    sampled = given.select("id", "text").filter(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0)
+    counted = sampled.mapInArrow(_each_shingle(size), "key long").groupBy("key").agg(F.count("*").alias("k")).filter(F.col("k") >= SEEN)
+    keys = counted.orderBy(F.desc("k"), "key").limit(MOST_COMMON).select("key").toArrow()["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], len(keys) - order
+
+
+def _sizes_fit(x: str, y: str, least: float) -> F.Column:
+    return F.least(x, y) >= least * F.greatest(x, y) - 1e-9
+
+
+def _bits_fit(x: str, y: str, n: F.Column, least: float) -> F.Column:
+    """Whether the sketches leave it possible that sets of n shingles together are similar."""
+    differ = sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(SKETCH)), F.lit(0))
+    return differ <= n * ((1 - least) / (1 + least)) + 1e-6
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _sets(given: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(id, n, bits, wide, shingles) of the texts whose ids are met."""
+    met = materialise(ids.distinct(), "met")
     met = F.broadcast(met) if input_bytes(met) <= MOST_BROADCAST else met
-    sets = materialise(given.join(met, "id", "left_semi").mapInArrow(_shingled(size), "id long, shingles array<long>"), "shingles")
-    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
+    return materialise(given.join(met, "id", "left_semi").mapInArrow(_shingled(size), "id long, n long, bits array<long>, wide binary, shingles array<long>"), "shingles")
+
+
+def _links(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """The pairs whose texts' sets of shingles are similar."""
+    sketches = [sets.select(F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.col("bits").alias(f"bits{i}"), F.col("wide").alias(f"wide{i}")) for i in "ab"]
+    near = pairs.join(sketches[0], "a").join(sketches[1], "b").filter(_sizes_fit("na", "nb", least) & _bits_fit("bitsa", "bitsb", F.col("na") + F.col("nb"), least))
+    near = near.select("a", "b", "na", "nb", "widea", "wideb").mapInArrow(_maybe_similar(least), "a long, b long")
+    near = materialise(near.distinct(), "near")
+    left = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    fits = F.least(F.size("x"), F.size("y")) >= least * F.greatest(F.size("x"), F.size("y"))
     shared = F.size(F.array_intersect("x", "y"))
-    edges = both.filter(fits).filter(shared >= least * (F.size("x") + F.size("y") - shared)).select("a", "b")
-    linked = materialise(edges.distinct(), "links")
+    edges = both.filter(shared >= least * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    return materialise(edges.distinct(), "links")
+
+
+def _met_links(given: DataFrame, pairs: DataFrame, size: int, least: float) -> DataFrame:
+    pairs = materialise(_ordered(pairs), "candidates")
+    sets = _sets(given, pairs.select(F.explode(F.array("a", "b")).alias("id")), size)
+    linked = _links(sets, pairs, least)
     drop_table(sets)
+    drop_table(pairs)
     return linked
 
 
+def _rooted(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """rows (id, ...) with the root of the group that their id is in so far."""
+    if roots is None:
+        return rows.withColumn("root", F.col("id"))
+    return rows.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
+def _open(rooted: DataFrame, *more: F.Column) -> DataFrame:
+    """Keys whose texts are not all in one group."""
+    return rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s"), *more).filter("r <> s").drop("r", "s")
+
+
+def links(given: DataFrame, size: int, least: float) -> DataFrame:
+    """Similar pairs (a, b) of given (id, text): what they connect is what all similar pairs connect.
+
+    Texts meet by the shingles of their prefixes. Where more than CROWD share one, pairs inside a group that links
+    have joined already are left out, since they join nothing; all others whose sizes and sketches leave a
+    similarity of least possible are compared.
+    """
+    keyed = given.mapInArrow(_keyed(size, least, *_common(given, size)), "key long, id long, n long")
+    shared = materialise(keyed.withColumn("k", F.count("*").over(Window.partitionBy("key"))).filter("k > 1"), "prefixes")
+    sparse, crowd = shared.filter(F.col("k") <= CROWD), shared.filter(F.col("k") > CROWD)
+    x, y = (sparse.select("key", F.col("id").alias(i), F.col("n").alias(f"n{i}")) for i in "ab")
+    pairs = x.join(y, "key").filter("a < b").filter(_sizes_fit("na", "nb", least)).select("a", "b")
+    if crowd.isEmpty():
+        return _met_links(given, pairs, size, least)
+    most = Window.partitionBy("id").orderBy(F.desc("k"), "key", "n")
+    first = materialise(crowd.withColumn("i", F.row_number().over(most)).filter(F.col("i") <= HUBS).drop("i", "k"), "crowds")
+    found, roots = None, None
+    for seed in range(ROUNDS):
+        now = _rooted(first, roots)
+        hubs = _open(now, F.min(F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "id", "n", "root")).alias("hub"))
+        meet = now.join(hubs, "key").filter("root <> hub.root").filter(_sizes_fit("n", "hub.n", least)).select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
+        linked = _met_links(given, pairs.unionByName(meet) if found is None else meet, size, least)
+        found = linked if found is None else found.unionByName(linked)
+        if seed and linked.isEmpty():
+            break
+        roots = materialise(connected_components(found), "roots")
+    now = _rooted(crowd.select("key", "id", "n"), roots)
+    left = materialise(now.join(_open(now), "key", "left_semi"), "open")
+    sets = _sets(given, left.select("id"), size)
+    sketched = left.join(sets.select("id", "n", "bits"), ["id", "n"])
+    x, y = (sketched.select("key", *(F.col(c).alias(f"{c}{i}") for c in ("id", "n", "root", "bits"))) for i in "ab")
+    may = _sizes_fit("na", "nb", least) & _bits_fit("bitsa", "bitsb", F.col("na") + F.col("nb"), least)
+    rest = materialise(_ordered(x.join(y, "key").filter(F.col("roota") < F.col("rootb")).filter(may).select(F.col("ida").alias("a"), F.col("idb").alias("b"))), "candidates")
+    found = found.unionByName(_links(sets, rest, least))
+    drop_table(sets)
+    return found
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: float = 0.8) -> DataFrame:
     """(id, group_id) of every id that has a near copy: the smallest id reachable over links.
 
     A link joins two texts whose sets of size-word shingles have a Jaccard similarity of least or more, computed
-    from the sets. Where crowds share a segment, their links are looked for in rounds: those that a round has
-    linked are one text, their first, in the next, until no round finds a link or no crowd is left.
+    from the sets. No link that would join two groups is missed.
     Ids without a near copy, rows with a null id and texts without words are in no group; a null text has no
     words. Rows that repeat an id count as one document. An empty table gives no rows.
     """
     given = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketches = materialise(given.mapInArrow(_sketched(size), "id long, fp array<long>, n long").filter("n > 0"), "sketches")
-    now, found, crowds = sketches, None, None
-    while True:
-        pairs, members, crowds = candidates(now, crowds)
-        pairs = materialise(pairs, "candidates")
-        linked = _links(given, pairs, size, least)
-        drop_table(pairs)
-        found = linked if found is None else found.unionByName(linked)
-        if members is None or linked.isEmpty():
-            break
-        merged = connected_components(linked).filter("node <> root").select(F.col("node").alias("id"))
-        now = materialise(now.join(members, "id", "left_semi").join(merged, "id", "left_anti"), "unlinked")
-    drop_table(sketches)
-    return connected_components(found).select(F.col("node").alias("id"), F.col("root").alias("group_id"))
+    return connected_components(links(given, size, least)).select(F.col("node").alias("id"), F.col("root").alias("group_id"))

@@ -180,3 +180,32 @@ def test_crowds_of_similar_texts(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     got = {r.group_id for r in similar.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {0}
+
+
+def groups_by_all_pairs(rows, size=5, least=0.8):
+    """(id, group_id) over every pair of texts whose sets of shingles are similar."""
+    sets = {i: {tuple(w[j : j + size]) for j in range(max(1, len(w) - size + 1))} for i, t in rows if (w := t.lower().split())}
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])]
+    root = groups_of(links, sets)
+    return {(i, root[i]) for link in links for i in link}
+
+
+def test_no_link_inside_a_crowd_is_missed(spark, monkeypatch):
+    """Families of near copies that share a long passage and, in another order, all their long words."""
+    monkeypatch.setattr(similar, "CROWD", 4)
+    rng = random.Random(5)
+    passage, own = ([f"vocabulary{rng.randrange(9000)}" for _ in range(n)] for n in (150, 70))
+    texts = []
+    for _ in range(40):
+        rng.shuffle(own)
+        for _ in range(3):
+            w = passage + own
+            for _ in range(2):
+                w.insert(rng.randrange(len(w)), f"w{rng.randrange(99)}")
+            texts.append(" ".join(w))
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    expected = groups_by_all_pairs(rows)
+    assert len({g for _, g in expected}) > 20
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {(r.id, r.group_id) for r in similar.similar_groups(df).collect()} == expected
