@@ -209,3 +209,22 @@ def test_no_link_inside_a_crowd_is_missed(spark, monkeypatch):
     assert len({g for _, g in expected}) > 20
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert {(r.id, r.group_id) for r in similar.similar_groups(df).collect()} == expected
+
+
+@pytest.mark.parametrize("kind", ["appended", "cut", "edited"])
+def test_copies_just_similar_enough_are_all_found(spark, kind):
+    """Pairs at a similarity of 0.8 to 0.85 of texts of 20 to 2,000 words."""
+    rng = random.Random(kind)
+    word = lambda: f"vocabulary{rng.randrange(90000)}"
+    rows = []
+    for n in (20, 40, 80, 200, 500, 2000):
+        for _ in range(20):
+            w = [word() for _ in range(n)]
+            other = w + [word() for _ in range(n // 5 - 1)] if kind == "appended" else w[: n - n // 5 + 1] if kind == "cut" else list(w)
+            for _ in range(n // 50 if kind == "edited" else 0):
+                other[rng.randrange(n)] = word()
+            rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(other))]
+    expected = groups_by_all_pairs(rows)
+    assert len(expected) > 150
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {(r.id, r.group_id) for r in similar.similar_groups(df).collect()} == expected
