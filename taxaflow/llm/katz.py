@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from taxaflow.llm.common import bucket_count, drop_table, materialise, release_memory
 from taxaflow.llm.simhash import lowered_words
 
-#: Counts above K are not discounted. Bigrams met less often than LEAST are left to the backoff.
-K, LEAST = 5, 2
+#: Counts above K are not discounted. Bigrams met LEAST times or more are in the model: all of them.
+K, LEAST = 5, 1
 #: A task's documents are handled in chunks of about so many tokens, and at most so many documents.
 CHUNK_TOKENS, CHUNK_DOCS = 1_000_000, 60_000
 #: White space is in no word, so these two are no words.

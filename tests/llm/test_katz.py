@@ -93,3 +93,9 @@ def test_empty_training_and_empty_input(spark):
     model = fit(none)
     assert {(r.n_tokens, r.n_known, r.base_score, r.score) for r in score(df, model).collect()} == {(3, 0, 0, 0), (1, 0, 0, 0)}
     assert score(none, fit(df)).count() == 0
+
+
+def test_a_bigram_met_once_is_known(spark):
+    model = fit(spark.createDataFrame([(1, "q r"), (2, "s t")], DDL), buckets=2)
+    got = {r.id: r.score for r in score(spark.createDataFrame([(1, "q r"), (2, "r q")], DDL), model).collect()}
+    assert got[1] > got[2] + 0.1
