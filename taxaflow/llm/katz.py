@@ -187,18 +187,19 @@ def _merge_words(buckets: int):  # noqa: ANN202
 def discounts(classes: list[int]) -> np.ndarray:
     """Factor of each count from 0 to K by Katz's use of Good-Turing; classes: how many have counts 1 to K + 1.
 
-    Where these counts of counts give a factor that is not between 0 and 1, absolute discounting by a half
-    takes the place of all of them.
+    The counts of counts are smoothed by a line through their logarithms, as in simple Good-Turing. Where the line
+    falls more steeply than 1 / r, all factors are between 0 and 1; else, as for a few texts or for less than two
+    counts that are met, Good-Turing has no estimate and counts are discounted by a half.
     """
-    r = np.arange(1, K + 1)
-    n = np.array(classes, float)
-    factors = (r - 0.5) / r
-    if (n[: K + 1] > 0).all():
-        rest = (K + 1) * n[K] / n[0]
-        turing = ((r + 1) * n[1 : K + 1] / n[:K] / r - rest) / (1 - rest) if rest < 1 else np.zeros(K)
-        if ((turing > 0) & (turing <= 1)).all() and turing.min() < 1:
-            factors = turing
-    return np.append(1.0, factors)
+    r = np.arange(1, K + 2)
+    n = np.array(classes[: K + 1], float)
+    met = n > 0
+    slope = np.polyfit(np.log(r[met]), np.log(n[met]), 1)[0] if met.sum() > 1 else 0.0
+    r = r[:K]
+    if slope >= -1:
+        return np.append(1.0, (r - 0.5) / r)
+    rest = (K + 1.0) ** (slope + 1)
+    return np.append(1.0, ((1 + 1 / r) ** (slope + 1) - rest) / (1 - rest))
 
 
 @dataclass

@@ -99,3 +99,11 @@ def test_a_bigram_met_once_is_known(spark):
     model = fit(spark.createDataFrame([(1, "q r"), (2, "s t")], DDL), buckets=2)
     got = {r.id: r.score for r in score(spark.createDataFrame([(1, "q r"), (2, "r q")], DDL), model).collect()}
     assert got[1] > got[2] + 0.1
+
+
+def test_uneven_counts_of_counts_keep_good_turing():
+    """Nearly as many have count 5 as count 4, so that plain Good-Turing would raise the fourth."""
+    found = discounts([1000, 300, 120, 60, 55, 30])[1:]
+    assert (np.diff(found) > 0).all() and 0 < found[0] and found[-1] < 1
+    assert abs(found[0] - 0.5) > 0.05
+    assert np.abs(discounts([1000, 300, 120, 60, 54, 30])[1:] - found).max() < 0.01
