@@ -161,16 +161,23 @@ def main_path(template: Slot) -> list[str]:
             return path
 
 
-def constant_paths(template: Slot, at: tuple[str, ...] = ()) -> set[tuple[str, ...]]:
-    """Paths of slots with one text on all of CONSTANT_PAGES pages or more: they belong to the template."""
-    found: set[tuple[str, ...]] = set()
-    for child in template.children:
-        path = (*at, child.label)
-        if child.text != -1 and child.pages >= CONSTANT_PAGES and child.pages == template.pages:
-            found.add(path)
-        else:
-            found |= constant_paths(child, path)
-    return found
+def constant_paths(template: Slot) -> set[tuple[str, ...]]:
+    """Paths of slots with one text on all of CONSTANT_PAGES pages or more: they belong to the template.
+
+    A path that a slot of varying text has too is not among them, as its nodes can be the article's.
+    """
+    constant: set[tuple[str, ...]] = set()
+    varying: set[tuple[str, ...]] = set()
+
+    def walk(slot: Slot, at: tuple[str, ...], inside: bool) -> None:
+        for child in slot.children:
+            path = (*at, child.label)
+            same = inside or (child.text != -1 and child.pages >= CONSTANT_PAGES and child.pages == slot.pages)
+            (constant if same else varying).add(path)
+            walk(child, path, same)
+
+    walk(template, (), False)
+    return constant - varying
 
 
 def _targets(node: Node, path: list[str]) -> list[Node]:

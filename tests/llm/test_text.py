@@ -258,3 +258,12 @@ def test_common_subsequences():
     for _ in range(200):
         a, b = ([rng.choice(b"abcd").to_bytes(1, "big") for _ in range(rng.randrange(1, 30))] for _ in range(2))
         assert decontaminate.common_subsequence(a, b) == slow(a, b)
+
+
+def test_a_constant_byline_hides_no_paragraph(spark):
+    from taxaflow.llm import wrapper as w
+
+    page = "<body><article><p>By the desk</p><h1>Title {0}</h1><p>First text of page {0}.</p><p>Second text {0}.</p></article></body>"
+    rows = [(i, f"http://a.example/{i}", page.format(f"number{i}")) for i in range(12)]
+    got = {r.page_id: r.text for r in w.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(f"First text of page number{i}." in got[i] and f"Second text number{i}." in got[i] for i in range(12))
