@@ -38,7 +38,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
+        #: Tokens that stand for themselves in raw text, such as an end mark; the tokenizer finds them inside words too.
+        self.specials = [t.content for t in self.plain.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
         self.model = self.plain.model
         self.ends: dict[str, bytes] = {"": b""}
@@ -85,7 +86,9 @@ class WordEncoder:
         if not text:
             return b""
         if not BEYOND_LATIN.search(text):
-            text = text.lower()  # as the tokenizer does; fewer words to know
+            lowered = text.lower()  # as the tokenizer does; fewer words to know
+            if not any(s in lowered for s in self.specials):
+                text = lowered
         return b"".join(self._bytes_of(words) for words in pieces(text))
 
 

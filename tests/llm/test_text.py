@@ -13,7 +13,7 @@ from taxaflow.llm.common import shared_path
 from taxaflow.llm.dom import parse
 from taxaflow.llm.tokens import encoder, tokenizer_path
 
-TEXTS = ["Hello, World's 12 words", "", None, " \t\n", "é" * 9000, "İstanbul ΣΑΣ  x\x1cy", "<|endoftext|> is text", "word " * 7000, "same text", "same text", "don't it's 'S", "a.b!? ***", "ﷺ"]
+TEXTS = ["Hello, World's 12 words", "", None, " \t\n", "é" * 9000, "İstanbul ΣΑΣ  x\x1cy", "<|endoftext|> is no text, nor is<|startoftext|>this", "<|ENDOFTEXT|> is", "word " * 7000, "same text", "same text", "don't it's 'S", "a.b!? ***", "ﷺ"]
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +21,6 @@ def ids():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     return lambda text: np.array(t.encode(text or "", add_special_tokens=False).ids, "<u4")
 
 
