@@ -79,6 +79,19 @@ def drop_table(df: DataFrame) -> None:
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def named(column: str) -> F.Column:
+    """A column of any name, with dots, blanks and quotes too."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    """name, with so many underscores that no column of df has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of df; for a scan, the bytes of its files."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -9,6 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
+
+from taxaflow.llm.common import named
 
 #: Bytes of a chunk, and from one chunk to the next. The last chunk of a text ends where the text does.
 CHUNK, HOP = 512, 448
@@ -90,9 +93,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def _gradients(net: Network, chunks: np.ndarray, firsts: np.ndarray, n_bytes: np.ndarray, errors: np.ndarray) -> list[np.ndarray]:
     """Of the loss with regard to each of net.arrays(); errors is called with the logits and returns the loss's slope."""
-    found = net.responses(chunks)
-    at = found.argmax(1)
-    pools = np.take_along_axis(found, at[:, None], 1)[:, 0]
+    at, pools = np.empty((len(chunks), FILTERS), np.int64), np.empty((len(chunks), FILTERS), net.bias.dtype)
+    for i in range(0, len(chunks), AT_ONCE):
+        found = net.responses(chunks[i : i + AT_ONCE])
+        at[i : i + AT_ONCE], pools[i : i + AT_ONCE] = found.argmax(1), found.max(1)
     feats = _features(pools, firsts, n_bytes)
     act = np.tanh(feats @ net.hidden + net.hidden_bias)
     slope = errors((act @ net.out + net.out_bias)[:, 0])[:, None]
@@ -105,21 +109,23 @@ def _gradients(net: Network, chunks: np.ndarray, firsts: np.ndarray, n_bytes: np
     for share, at_end in ((most, feats[doc, FILTERS : 2 * FILTERS]), (least, feats[doc, 2 * FILTERS : 3 * FILTERS])):
         ends = (pools == at_end).astype(pools.dtype)  # chunks that overlap can tie
         pool = pool + share[doc] * ends / np.add.reduceat(ends, firsts)[doc]
-    row = np.arange(len(chunks))[:, None, None]
-    span = np.arange(2 * STEP)
-    seen = chunks[row, at[:, :, None] * STEP + span]
-    window = net.embed[seen].reshape(len(chunks), FILTERS, 2 * STEP * EMBED)
-    both = np.einsum("nf,nfk->kf", pool, window, optimize=True)
-    weights = np.concatenate([net.left, net.right])
-    spread = (pool[:, :, None] * weights.T[None]).reshape(-1, EMBED)
-    flat = seen.ravel()
-    embed = np.stack([np.bincount(flat, spread[:, k], 256) for k in range(EMBED)], 1)
     wide = STEP * EMBED
+    weights = np.concatenate([net.left, net.right])
+    both, embed = np.zeros((2 * wide, FILTERS)), np.zeros((256, EMBED))
+    for i in range(0, len(chunks), AT_ONCE):
+        share = pool[i : i + AT_ONCE]
+        row = np.arange(i, i + len(share))[:, None, None]
+        seen = chunks[row, at[i : i + AT_ONCE, :, None] * STEP + np.arange(2 * STEP)]
+        window = net.embed[seen].reshape(len(share), FILTERS, 2 * wide)
+        both += np.einsum("nf,nfk->kf", share, window, optimize=True)
+        spread = (share[:, :, None] * weights.T[None]).reshape(-1, EMBED)
+        flat = seen.ravel()
+        embed += np.stack([np.bincount(flat, spread[:, k], 256) for k in range(EMBED)], 1)
     return [embed, both[:wide], both[wide:], pool.sum(0), feats.T @ back, back.sum(0), act.T @ slope, slope.sum(0)]
 
 
-def train(texts: list[bytes], chunks: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, steps: int = 600, seed: int = 7) -> Network:
-    """Fit the network by Adam on weighted log loss; texts are only asked for their lengths."""
+def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, steps: int = 600, seed: int = 7) -> Network:
+    """Fit the network by Adam on weighted log loss over all chunks of the texts."""
     net, rng = Network.fresh(seed), np.random.default_rng(seed)
     sizes = np.array([len(t) for t in texts], np.float32)
     sums = [[np.zeros(a.shape), np.zeros(a.shape)] for a in net.arrays()]
@@ -128,15 +134,15 @@ def train(texts: list[bytes], chunks: list[np.ndarray], labels: np.ndarray, weig
         if len(order) < 32:
             order += rng.permutation(len(texts)).tolist()
         picked, order = order[:32], order[32:]
-        n = np.array([len(chunks[i]) for i in picked])
-        firsts = np.append(0, np.cumsum(n)[:-1])
+        chunks = [chunks_of(texts[i]) for i in picked]
+        firsts = np.append(0, np.cumsum([len(c) for c in chunks])[:-1])
         y, w = labels[picked], weights[picked]
 
         def errors(logits: np.ndarray, y: np.ndarray = y, w: np.ndarray = w) -> np.ndarray:
             return ((_sigmoid(logits) - y) * w / w.sum()).astype(np.float32)
 
         rate = 0.01 * min(1, step / 20) * (1 - step / (steps + 1)) + 1e-4
-        grads = _gradients(net, np.concatenate([chunks[i] for i in picked]), firsts, sizes[picked], errors)
+        grads = _gradients(net, np.concatenate(chunks), firsts, sizes[picked], errors)
         for a, g, s in zip(net.arrays(), grads, sums, strict=True):
             g = g + 1e-5 * a
             s[0] = 0.9 * s[0] + 0.1 * g
@@ -145,11 +151,11 @@ def train(texts: list[bytes], chunks: list[np.ndarray], labels: np.ndarray, weig
     return net
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 2400, per_text: int = 8, steps: int = 600) -> Network | float:
-    """The network, fitted on at most `most` labelled rows and per_text chunks of each, spread over its text.
+def fit(docs: DataFrame, labels: DataFrame, most: int = 2400, steps: int = 600) -> Network | float:
+    """The network, fitted on at most `most` labelled rows, all chunks of each.
 
     labels (doc_id, quality) are those to learn from; rows whose quality is not 0 or 1 and documents without a
-    label do not count. Half of the rows are taken from each class, in the order of a hash of their doc_id, and
+    label do not count; a null text is an empty one, and a document that repeats counts as often. Half of the rows are taken from each class, in the order of a hash of their doc_id, and
     weighted to the classes' shares among all labels. With labels of one class only, the result is its value,
     and without any labels 0.5, which score() then gives to every text.
     """
@@ -163,32 +169,27 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 2400, per_text: int = 8,
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc_id, text, quality in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = (text or "").encode("utf-8", "surrogatepass")
-                held = chunks_of(data)
-                spread = np.unique(np.linspace(0, len(held) - 1, per_text).astype(int))
-                rows.append((doc_id, quality, len(data), held[spread].tobytes()))
-            if rows:
-                yield pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], names=["id", "quality", "n_bytes", "chunks"])
+            data = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in batch.column("text")]
+            yield pa.record_batch([batch.column("id"), batch.column("quality"), pa.array(data, pa.binary())], names=["id", "quality", "data"])
 
     # sample has `most` rows at most
     given = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string")).join(F.broadcast(sample), "id")
-    rows = given.mapInArrow(cut, "id long, quality long, n_bytes long, chunks binary").collect()
+    ddl = StructType([StructField("id", given.schema["id"].dataType), StructField("quality", given.schema["quality"].dataType), StructField("data", BinaryType())])
+    rows = given.mapInArrow(cut, ddl).collect()
     if len({r["quality"] for r in rows}) < 2:
         return float(max(shares, key=shares.get))
-    rows.sort(key=lambda r: (r["id"], r["n_bytes"], r["chunks"]))
+    rows.sort(key=lambda r: (r["id"], bytes(r["data"])))
     y = np.array([r["quality"] for r in rows], np.float32)
     share = np.array([np.mean(y == q) for q in (0, 1)])
     weight = np.array([shares[0], shares[1]]) / sum(shares.values()) / share
-    chunks = [np.frombuffer(r["chunks"], np.uint8).reshape(-1, CHUNK) for r in rows]
-    return train([range(r["n_bytes"]) for r in rows], chunks, y, weight[y.astype(int)], steps)
+    return train([bytes(r["data"]) for r in rows], y, weight[y.astype(int)], steps)
 
 
-def score(docs: DataFrame, net: Network | float, text_col: str = "text") -> DataFrame:
-    """docs with the column score, from 0 to 1: the network's probability of label 1 from the whole text.
+def score(docs: DataFrame, net: Network | float, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """docs with the column score_col, from 0 to 1: the network's probability of label 1 from the whole text.
 
-    A null text scores as an empty one. All columns of docs are kept; one named score is replaced.
+    A null text scores as an empty one, a repeated row like the other. All columns of docs are kept, whatever their
+    names and nulls; one named like score_col is replaced. An empty table gives no rows.
     """
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,10 +208,10 @@ def score(docs: DataFrame, net: Network | float, text_col: str = "text") -> Data
                         held, sizes, pending, first = [], [], 0, i + 1
             yield pa.record_batch([batch.column(1), pa.array(found)], names=["kept", "score"])
 
-    columns = [c for c in docs.columns if c != "score"]
-    given = docs.select(F.col(text_col).cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("kept"))
-    kept = given.schema["kept"].dataType.simpleString()
-    return given.mapInArrow(scored, f"kept {kept}, score double").select("kept.*", "score")
+    kept = F.struct(*[named(c) for c in docs.columns if c.lower() != score_col.lower()])
+    given = docs.select(named(text_col).cast("string").alias("text"), kept.alias("kept"))
+    schema = StructType([StructField("kept", given.schema["kept"].dataType), StructField("score", DoubleType())])
+    return given.mapInArrow(scored, schema).select("kept.*", F.col("score").alias(score_col))
 
 
 def _scores(net: Network, held: list[np.ndarray], sizes: list[int]) -> np.ndarray:
