@@ -20,6 +20,7 @@ def corpus(spark, tmp_path_factory):
     vocabulary = [f"word{rng.randrange(10**6)}" for _ in range(3000)]
     prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n)).capitalize() + "."
     clean = {i: prose(rng.randrange(150, 400)) for i in range(100)}
+    clean[99] = prose(20_000)
     rows = dict(clean)
     rows |= {200 + i: " ".join(w.upper() + "!!" for w in prose(200).split()) for i in range(40)}
     rows |= {300 + i: clean[i].replace(" ", "  ") for i in range(10)}
@@ -31,7 +32,8 @@ def corpus(spark, tmp_path_factory):
     rows |= {500 + i: f"{prose(120)} {items[i]} {prose(60)}" for i in range(8)}
     path = str(tmp_path_factory.mktemp("sf"))
     docs = [(i, t, "en", "s", len(t)) for i, t in rows.items()] + [(None, clean[50], "en", None, None), (600, None, None, None, None), (601, "", "en", "s", 0), (7, clean[7], "en", "s", 1)]
-    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{path}/documents.parquet")
+    docs = [(*d, 0.5, "a", None) for d in docs]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long, Score double, `a.b c` string, `n-chars` int").repartition(3).write.parquet(f"{path}/documents.parquet")
     labels = [(i, 1, 0) for i in range(60)] + [(200 + i, 0, 0) for i in range(30)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     spark.createDataFrame(list(items.items()), "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
@@ -55,6 +57,12 @@ def test_stages_drop_what_is_planted_and_keep_what_is_clean(spark, corpus):
     assert {r.doc_id for r in corpus_pipeline.run(spark, corpus).select("doc_id").collect()} == kept[3]
 
 
+def test_labels_of_one_class_reject_nothing(spark, corpus, tmp_path):
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    spark.read.parquet(f"{corpus}/labels.parquet").filter("quality = 0").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.STAGES[0][1](spark, docs, str(tmp_path)).count() == docs.count()
+
+
 def test_stages_take_empty_tables(spark, corpus):
     docs = spark.read.parquet(f"{corpus}/documents.parquet").limit(0)
     assert all(stage(spark, docs, corpus).count() == 0 for _, stage in corpus_pipeline.STAGES)
