@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +16,15 @@ from pyspark.sql import functions as F
 from taxaflow.llm.common import bucket_count, drop_table, materialise, release_memory
 from taxaflow.llm.simhash import lowered_words
 
-#: Counts above K are not discounted. Bigrams met LEAST times or more are in the model: all of them.
-K, LEAST = 5, 1
+#: Counts above K are not discounted.
+K = 5
+#: Words and bigrams that are this part of all tokens or more: at most so many of each, whatever the input's size. Their
+#: counts and values go to all tasks, so that no bucket gathers a common word's histories or a common history's words.
+HOTTEST = 1 << 16
 #: A task's documents are handled in chunks of about so many tokens, and at most so many documents.
-CHUNK_TOKENS, CHUNK_DOCS = 1_000_000, 60_000
+CHUNK_TOKENS, CHUNK_DOCS = 400_000, 60_000
+#: Documents are scored in so many turns, each row in one of them: what one turn sends is on disk at a time.
+TURNS = 3
 #: White space is in no word, so these two are no words.
 START, END = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b" start", b" end"))
 U8, U4 = np.dtype("<u8"), np.dtype("<u4")
@@ -100,7 +106,7 @@ def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[Chunk]:
             if size >= CHUNK_TOKENS or len(ids) >= CHUNK_DOCS:
                 yield done()
                 held, ids, lengths, size = [], [], [], 0
-                if len(hashes) > 250_000:
+                if len(hashes) > 100_000:
                     hashes.clear()
     if ids:
         yield done()
@@ -128,7 +134,7 @@ MODEL = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("keys", pa.bin
 MODEL_DDL = "kind int, bucket long, keys binary, value binary, c binary"
 ASKED = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("uses", pa.binary()), ("doc", pa.binary()), ("n", pa.binary())])
 ASKED_DDL = "kind int, bucket long, chunk long, keys binary, uses binary, doc binary, n binary"
-PAIR, WORD, OTHER = 0, 1, 2
+PAIR, WORD, OTHER, HOT = 0, 1, 2, 3
 
 
 def _buffers(table: pa.Table, name: str) -> list:
@@ -144,15 +150,71 @@ def _joined(table: pa.Table, name: str, kind: np.dtype) -> np.ndarray:
     return np.concatenate([np.empty(0, kind), *(np.frombuffer(x, kind) for x in _buffers(table, name))])
 
 
-def _counted(buckets: int):  # noqa: ANN202
+def _is_in(keys: np.ndarray, ascending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of keys in an ascending array, and whether they are in it."""
+    if not len(ascending):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(ascending, keys), len(ascending) - 1)
+    return at, ascending[at] == keys
+
+
+def _dealt(keys: np.ndarray, pairs: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
+    """The buckets of bigrams by their word or history; those of the hot ones by the whole bigram."""
+    of = bucket_of(keys, buckets)
+    many = _is_in(keys, hot)[1]
+    of[many] = bucket_of(pairs[many], buckets)
+    return of
+
+
+def _runs(of: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The slices of an ascending array with one value each."""
+    cuts = np.flatnonzero(np.diff(of)) + 1
+    for a, b in zip([0, *cuts], [*cuts, len(of)], strict=True):
+        if b > a:
+            yield int(of[a]), slice(a, b)
+
+
+def _words_counted(buckets: int):  # noqa: ANN202
+    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks(batches):
+            w, n = np.unique(chunk.tokens[chunk.tokens != START], return_counts=True)
+            n = n.astype(U8)
+            yield _batch([(b, None, packed(w[s]), n[s].tobytes()) for b, s in slices(w, buckets)], COUNTS)
+            release_memory()
+
+    return counted
+
+
+def _merge_words(key: tuple, rows: pa.Table) -> pa.Table:
+    """All counts of a bucket of words."""
+    w, n = _unpacked(rows, "w"), _joined(rows, "n", U8)
+    order = np.argsort(w, kind="stable")
+    (w,), n = _summed([w[order]], n[order])
+    out = [(WORD, key[0].as_py(), None, packed(w), None, n.tobytes(), None), (OTHER, -1, None, None, None, None, [int(n.sum()), len(w), *_classes(n)])]
+    return pa.Table.from_batches([_batch(out, MERGED)])
+
+
+def _common_words(total: int):  # noqa: ANN202
+    def common(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w, c = _unpacked(batch, "w"), _joined(batch, "c", U8)
+            many = c * U8.type(HOTTEST) >= U8.type(total)
+            yield pa.record_batch([pa.array(w[many].view(np.int64)), pa.array(c[many].astype(np.int64))], names=["w", "c"])
+
+    return common
+
+
+def _pairs_counted(buckets: int, hot: np.ndarray):  # noqa: ANN202
     def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
             h, w, _ = chunk.pairs()
             order = np.lexsort((h, w))
             (w, h), n = _summed([w[order], h[order]], np.ones(len(h), U8))
-            rows = [(b, h[s].tobytes(), packed(w[s]), n[s].astype(U8).tobytes()) for b, s in slices(w, buckets)]
-            yield _batch(rows, COUNTS)
-            del h, w, n, order, rows
+            of = _dealt(w, pair_key(h, w), hot, buckets)
+            order = np.argsort(of, kind="stable")
+            h, w, n, of = h[order], w[order], n[order].astype(U8), of[order]
+            yield _batch([(b, h[s].tobytes(), packed(w[s]), n[s].tobytes()) for b, s in _runs(of)], COUNTS)
+            del h, w, n, order, of
             release_memory()
 
     return counted
@@ -162,28 +224,47 @@ def _classes(counts: np.ndarray) -> list[int]:
     return np.bincount(np.minimum(counts, K + 2).astype(np.int64), minlength=K + 3)[1 : K + 2].tolist()
 
 
-def _merge_words(buckets: int):  # noqa: ANN202
-    """All counts of a bucket of words: bigrams and words go on by the bucket of the history and of the word."""
+def _merge_pairs(buckets: int, k: Constants, hot: np.ndarray, hot_counts: np.ndarray):  # noqa: ANN202
+    """All counts of a bucket of bigrams, with those of their words: they go on by the bucket of the history.
+
+    For hot histories, whose bigrams are in many buckets, also what their backoff weights are made of: how many
+    bigrams have each count up to K, the sum of higher counts, and the sum of the words' own probabilities.
+    """
+    common = np.sort(np.append(hot, START))
 
     def merged(key: tuple, rows: pa.Table) -> pa.Table:
         h, n, w = _joined(rows, "h", U8), _joined(rows, "n", U8), _unpacked(rows, "w")
         order = np.lexsort((h, w))
         (w, h), n = _summed([w[order], h[order]], n[order])
-        (words,), total = _summed([w], n)
-        out = [(OTHER, -1, None, None, None, None, [int(total.sum()), len(words), *_classes(total), *_classes(n)])]
-        of_word = np.repeat(total, np.diff(np.append(np.searchsorted(w, words), len(w))))
-        kept = n >= LEAST
-        h, w, n, of_word = h[kept], w[kept], n[kept], of_word[kept]
-        order = np.lexsort((w, h))
-        h, w, n, of_word = h[order], w[order], n[order], of_word[order]
-        out += [(PAIR, b, packed(h[s]), w[s].tobytes(), n[s].tobytes(), of_word[s].tobytes(), None) for b, s in slices(h, buckets)]
-        out += [(WORD, b, None, packed(words[s]), None, total[s].tobytes(), None) for b, s in slices(words, buckets)]
+        words, total = _summed([w], n)
+        c = np.repeat(total, np.diff(np.append(np.searchsorted(w, words[0]), len(w))))
+        at, many = _is_in(w, hot)
+        c[many] = hot_counts[at[many]]
+        out = [(OTHER, -1, None, None, None, None, _classes(n))]
+        at, many = _is_in(h, common)
+        if many.any():
+            at, seen = at[many], n[many]
+            parts = np.zeros((len(common), K + 1), np.int64)
+            np.add.at(parts, (at, np.where(seen > K, K, seen - 1).astype(np.int64)), np.where(seen > K, seen, 1).astype(np.int64))
+            lower = np.bincount(at, k.word_probability(c[many]), len(common))
+            some = np.flatnonzero(parts.any(1))
+            out.append((HOT, -1, common[some].tobytes(), parts[some].tobytes(), lower[some].astype("<f8").tobytes(), None, None))
+        of = _dealt(h, pair_key(h, w), common, buckets)
+        order = np.lexsort((w, h, of))
+        h, w, n, c, of = h[order], w[order], n[order], c[order], of[order]
+        out += [(PAIR, b, packed(h[s]), w[s].tobytes(), n[s].tobytes(), c[s].tobytes(), None) for b, s in _runs(of)]
         release_memory()
         return pa.Table.from_batches([_batch(out, MERGED)])
 
     return merged
 
 
+def _history_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        h, parts, lower = _joined(batch, "h", U8), _joined(batch, "w", np.dtype("<i8")).reshape(-1, K + 1), _joined(batch, "n", np.dtype("<f8"))
+        yield pa.record_batch([pa.array(h.view(np.int64)), *(pa.array(np.ascontiguousarray(x)) for x in parts.T), pa.array(lower)], names=["h", *(f"r{i}" for i in range(K + 1)), "lower"])
+
+
 def discounts(classes: list[int]) -> np.ndarray:
     """Factor of each count from 0 to K by Katz's use of Good-Turing; classes: how many have counts 1 to K + 1.
 
@@ -231,7 +312,23 @@ class Constants:
         return np.log10((count + 0.5) / (self.total + 0.5 * (self.words + 1)))
 
 
-def _modelled(k: Constants, buckets: int):  # noqa: ANN202
+@dataclass
+class Histories:
+    """Histories, ascending, with how often they are met, what their bigrams' shares are scaled by and their backoff weights."""
+
+    keys: np.ndarray
+    times: np.ndarray
+    scale: np.ndarray
+    alpha: np.ndarray
+
+    @staticmethod
+    def of(keys: np.ndarray, times: np.ndarray, high: np.ndarray, lower: np.ndarray) -> Histories:
+        """high: sums of the bigrams' discounted shares; where all is taken, one part in times + 1 is given up."""
+        scale = np.where(1 - high < 1e-12, times / (times + 1), 1.0)
+        return Histories(keys, times, scale, (1 - high * scale) / (1 - lower))
+
+
+def _modelled(k: Constants, buckets: int, hot: Histories):  # noqa: ANN202
     """A bucket of histories: discounted bigrams, and the backoff weight that makes each history sum to one."""
 
     def modelled(key: tuple, rows: pa.Table) -> pa.Table:
@@ -239,39 +336,36 @@ def _modelled(k: Constants, buckets: int):  # noqa: ANN202
         pairs, singles = rows.filter(pa.array(kinds == PAIR)), rows.filter(pa.array(kinds == WORD))
         h, (w, n, c) = _unpacked(pairs, "h"), (_joined(pairs, x, U8) for x in ("w", "n", "c"))
         words, counts = _unpacked(singles, "w"), _joined(singles, "c", U8)
-        order = np.argsort(words, kind="stable")
-        words, counts = words[order], counts[order]
         order = np.lexsort((w, h))
         h, w, n, c = h[order], w[order], n[order], c[order]
-        firsts = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.empty(0, np.int64)
-        histories = h[firsts]
-        times = np.full(len(histories), k.docs, float)  # START stands before each document
-        place = np.minimum(np.searchsorted(words, histories), max(len(words) - 1, 0))
-        if len(words):
-            times = np.where(words[place] == histories, counts[place], times).astype(float)
-        alpha = np.ones(len(histories))
-        rows_out = []
+        found, rows_out = None, []
         if len(h):
+            firsts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
             spans = np.diff(np.append(firsts, len(h)))
             lower = k.word_probability(c)
-            high = k.pair_factors[(n * (n <= K)).astype(np.int64)] * n / np.repeat(times, spans)
-            sums = np.add.reduceat(high, firsts)
-            none_left = 1 - sums < 1e-12
-            high *= np.repeat(np.where(none_left, times / (times + 1), 1.0), spans)
-            left = 1 - np.where(none_left, sums * times / (times + 1), sums)
-            alpha = left / (1 - np.add.reduceat(lower, firsts))
-            value = np.log10(high) - np.log10(lower) - np.log10(np.repeat(alpha, spans))
+            share = k.pair_factors[(n * (n <= K)).astype(np.int64)] * n
+            at, known = _is_in(h[firsts], words)
+            times = np.where(known, counts[at] if len(words) else 1, 1).astype(float)
+            high = np.minimum(np.add.reduceat(share, firsts) / times, 1.0)
+            found = Histories.of(h[firsts], times, high, np.minimum(np.add.reduceat(lower, firsts), 1 - 1e-15))
+            at, many = _is_in(found.keys, hot.keys)  # of these, this bucket has a part alone
+            for mine, whole in ((found.times, hot.times), (found.scale, hot.scale), (found.alpha, hot.alpha)):
+                mine[many] = whole[at[many]]
+            high = share * np.repeat(found.scale / found.times, spans)
+            value = (np.log10(high) - np.log10(lower) - np.log10(np.repeat(found.alpha, spans))).astype("<f8")
             keys = pair_key(h, w)
             order = np.argsort(keys, kind="stable")
-            keys, value = keys[order], value[order].astype("<f8")
+            keys, value, n = keys[order], value[order], n[order]
             rows_out += [(PAIR, b, packed(keys[s]), value[s].tobytes(), None) for b, s in slices(keys, buckets)]
-            if (at := np.flatnonzero(histories == START)).size:
-                rows_out.append((OTHER, -1, None, np.log10(alpha[at]).astype("<f8").tobytes(), None))
+            if (many := n * U8.type(HOTTEST) >= U8.type(k.total)).any():
+                rows_out.append((HOT, -1, packed(keys[many]), value[many].tobytes(), None))
         if len(words):
             value = np.log10(k.word_probability(counts))
-            if len(histories):
-                place = np.minimum(np.searchsorted(histories, words), len(histories) - 1)
-                value += np.where(histories[place] == words, np.log10(alpha[place]), 0)
+            for known in (found, hot):
+                if known is not None and len(known.keys):
+                    at, met = _is_in(words, known.keys)
+                    alone = met if known is hot else met & ~_is_in(words, hot.keys)[1]
+                    value[alone] += np.log10(known.alpha[at[alone]])
             rows_out += [(WORD, b, packed(words[s]), value[s].astype("<f8").tobytes(), counts[s].tobytes()) for b, s in slices(words, word_buckets(buckets))]
         release_memory()
         return pa.Table.from_batches([_batch(rows_out, MODEL)])
@@ -279,41 +373,90 @@ def _modelled(k: Constants, buckets: int):  # noqa: ANN202
     return modelled
 
 
+@dataclass
+class Known:
+    """Keys, ascending, their values, and the counts of words."""
+
+    keys: np.ndarray
+    value: np.ndarray
+    counts: np.ndarray
+
+
 @dataclass
 class KatzModel:
     """A trained model. tables: packed columns partitioned by the bucket of their keys.
 
     kind 0: keys of bigrams, and the log10 of how much likelier they are than by backing off. kind 1: hashes of
-    words, the log10 of their probability times their own backoff weight as a history, and their counts.
+    words, the log10 of their probability times their own backoff weight as a history, and their counts. The hottest
+    of both, HOTTEST at most, also stand in pairs and words.
     """
 
     tables: DataFrame
     constants: Constants
     start: float
     buckets: int
+    pairs: Known
+    words: Known
 
 
-def fit(docs: DataFrame, text_col: str = "text", buckets: int | None = None) -> KatzModel:
-    """Learn from all rows of docs, whole texts, a null text as an empty one.
+def _total(rows: DataFrame, width: int) -> list[int]:
+    """Sums over the lists of numbers in the rows of kind OTHER."""
+    sums = rows.filter(F.col("kind") == OTHER).select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("s"))
+    found = {r["pos"]: r["s"] for r in sums.collect()}  # width rows at most
+    return [found.get(i, 0) for i in range(width)]
 
-    Tasks count their documents' bigrams, hashed, and send them by the bucket of the word. There counts of words
-    and bigrams are complete, and go on by the bucket of the history, where each history's backoff weight is
-    (1 - its discounted bigrams) / (1 - the same words' unigram probabilities). A bucket's memory follows the
-    bigrams in it, not the tokens, and the number of buckets follows the input.
+
+def fit(docs: DataFrame, text_col: str = "text", buckets: int | None = None) -> KatzModel:
+    """Learn from all rows of docs, whole texts, a null text as an empty one; rows that repeat are learned as often.
+
+    Tasks count their documents' words, hashed, by the bucket of the word; these totals say which words are hot. Then
+    they count bigrams and send them by the bucket of the word, where their counts are complete, and on by the bucket
+    of the history, where each history's backoff weight is (1 - its discounted bigrams) / (1 - the same words' unigram
+    probabilities). A hot word's or history's bigrams are dealt by the whole bigram, and sums of their parts give
+    the weight. So a bucket's memory follows the distinct bigrams in it, and the number of buckets follows the input.
+    An empty table gives a model in which every text has the score 0.
     """
     given = docs.select(F.lit(0).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    buckets = buckets or bucket_count(docs, 7)
-    sent = given.mapInArrow(_counted(buckets), COUNTS_DDL)
-    merged = materialise(sent.groupBy("bucket").applyInArrow(_merge_words(buckets), MERGED_DDL), "ngrams")
-    sums = merged.filter(F.col("kind") == OTHER).select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("s"))
-    total = {r["pos"]: r["s"] for r in sums.collect()}  # 14 rows
-    constants = Constants.of([total.get(i, 0) for i in range(2 * K + 4)], docs.count())
-    split = merged.filter(F.col("kind") != OTHER).drop("sums")
-    modelled = split.groupBy("bucket").applyInArrow(_modelled(constants, buckets), MODEL_DDL)
-    tables = materialise(modelled, "katz")
+    buckets = buckets or bucket_count(docs, 2.5)
+    words = materialise(given.mapInArrow(_words_counted(buckets), COUNTS_DDL).groupBy("bucket").applyInArrow(_merge_words, MERGED_DDL), "words")
+    singles = _total(words, K + 3)
+    n_docs, total = docs.count(), singles[0]
+    k = Constants.of([*singles, *[0] * (K + 1)], n_docs)
+    of_words = words.filter(F.col("kind") == WORD)
+    common = of_words.select("w", "c").mapInArrow(_common_words(total), "w long, c long").toArrow()  # HOTTEST rows at most
+    hot, counts = common["w"].to_numpy().view(U8), common["c"].to_numpy().astype(U8)
+    order = np.argsort(hot)
+    hot, counts = hot[order], counts[order]
+
+    sent = given.mapInArrow(_pairs_counted(buckets, hot), COUNTS_DDL)
+    merged = materialise(sent.groupBy("bucket").applyInArrow(_merge_pairs(buckets, k, hot, counts), MERGED_DDL), "ngrams")
+    k = Constants.of([*singles, *_total(merged, K + 1)], n_docs)
+    ddl = f"h long, {', '.join(f'r{i} long' for i in range(K + 1))}, lower double"
+    parts = merged.filter(F.col("kind") == HOT).mapInArrow(_history_parts, ddl).groupBy("h").agg(*(F.sum(c).alias(c) for c in [*(f"r{i}" for i in range(K + 1)), "lower"]))
+    parts = parts.toArrow()  # a row for each hot word and the start
+    keys = parts["h"].to_numpy().view(U8)
+    order = np.argsort(keys)
+    seen = np.array([parts[f"r{i}"].to_numpy() for i in range(K + 1)], float).reshape(K + 1, -1)[:, order]
+    keys = keys[order]
+    at, known = _is_in(keys, hot)
+    times = np.where(known, counts[at] if len(hot) else 1, max(n_docs, 1)).astype(float)  # START stands before each document
+    high = np.minimum((np.append(k.pair_factors[1:] * np.arange(1, K + 1), 1.0) @ seen) / times, 1.0)
+    histories = Histories.of(keys, times, high, np.minimum(parts["lower"].to_numpy()[order], 1 - 1e-15))
+
+    split = merged.filter(F.col("kind") == PAIR).unionByName(of_words).drop("sums")
+    tables = materialise(split.groupBy("bucket").applyInArrow(_modelled(k, buckets, histories), MODEL_DDL), "katz")
     drop_table(merged)
-    start = tables.filter(F.col("kind") == OTHER).select("value").first()  # one row at most
-    return KatzModel(tables, constants, float(np.frombuffer(start["value"], "<f8")[0]) if start else 0.0, buckets)
+    drop_table(words)
+    rows = tables.filter(F.col("kind") == HOT).select("keys", "value").toArrow()  # HOTTEST bigrams at most
+    keys, value = _unpacked(rows, "keys"), _joined(rows, "value", np.dtype("<f8"))
+    order = np.argsort(keys)
+    pairs = Known(keys[order], value[order], np.empty(0, U8))
+    value = np.log10(k.word_probability(counts)) if len(hot) else np.empty(0)
+    at, known = _is_in(hot, histories.keys)
+    value[known] += np.log10(histories.alpha[at[known]])
+    at, begun = _is_in(np.array([START]), histories.keys)
+    start = float(np.log10(histories.alpha[at[0]])) if begun[0] else 0.0
+    return KatzModel(tables, k, start, buckets, pairs, Known(hot, value, counts))
 
 
 def _grouped(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -324,25 +467,31 @@ def _grouped(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return distinct, uses, doc, n
 
 
-def _asked(buckets: int):  # noqa: ANN202
+def _asked(model_buckets: int, k: Constants, hot_pairs: Known, hot_words: Known):  # noqa: ANN202
     def asked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, chunk in enumerate(chunks(batches)):
             name = (TaskContext.get().partitionId() << 24) | number
             h, w, doc = chunk.pairs()
-            for kind, keys in ((PAIR, pair_key(h, w)), (WORD, w)):
-                distinct, uses, docs, n = _grouped(keys, doc)
+            own = np.zeros((3, len(chunk.ids)))  # score, base and known words by what all tasks hold
+            for kind, keys, hot in ((PAIR, pair_key(h, w), hot_pairs), (WORD, w, hot_words)):
+                at, many = _is_in(keys, hot.keys)
+                own[0] += np.bincount(doc[many], hot.value[at[many]], len(chunk.ids))
+                if kind == WORD:
+                    own[1] += np.bincount(doc[many], k.base(hot.counts[at[many]]), len(chunk.ids))
+                    own[2] += np.bincount(doc[many], minlength=len(chunk.ids))
+                distinct, uses, docs, n = _grouped(keys[~many], doc[~many])
                 ends = np.append(0, np.cumsum(uses, dtype=np.int64))
                 rows = []
-                for b, s in slices(distinct, buckets if kind == PAIR else word_buckets(buckets)):
+                for b, s in slices(distinct, model_buckets if kind == PAIR else word_buckets(model_buckets)):
                     of = slice(ends[s.start], ends[s.stop])
                     rows.append((kind, b, name, packed(distinct[s]), uses[s].astype(U4).tobytes(), docs[of].astype("<u2").tobytes(), n[of].astype(U4).tobytes()))
                 yield _batch(rows, ASKED)
-                del distinct, uses, docs, n, ends, rows
+                del distinct, uses, docs, n, ends, rows, at, many, keys
             del h, w, doc
             release_memory()
             known = np.array([i is not None for i in chunk.ids])
             ids = np.array([i or 0 for i in chunk.ids], "<i8")
-            yield _batch([(OTHER, name, name, ids.tobytes(), known.tobytes(), None, np.array(chunk.lengths, U4).tobytes())], ASKED)
+            yield _batch([(OTHER, name, name, ids.tobytes(), known.tobytes(), own.astype("<f8").tobytes(), np.array(chunk.lengths, U4).tobytes())], ASKED)
 
     return asked
 
@@ -387,7 +536,8 @@ def _finished(k: Constants, start: float):  # noqa: ANN202
         parts = rows.to_pylist()
         head = next(r for r in parts if r["kind"] == OTHER)
         ids, known, lengths = np.frombuffer(head["keys"], "<i8"), np.frombuffer(head["uses"], bool), np.frombuffer(head["n"], U4)
-        score, base, seen = np.full(len(ids), start), np.zeros(len(ids)), np.zeros(len(ids))
+        own = np.frombuffer(head["doc"], "<f8").reshape(3, -1)
+        score, base, seen = own[0] + start, own[1].copy(), own[2].copy()
         for r in sorted(parts, key=lambda r: (r["kind"], r["doc"] or b"", r["keys"])):
             if r["kind"] != OTHER:
                 doc = np.frombuffer(r["doc"], "<u2")
@@ -409,13 +559,18 @@ def score(docs: DataFrame, model: KatzModel, id_col: str = "doc_id", text_col: s
     P(word | history) is the bigram's discounted share, or else the history's backoff weight times P(word), and
     P(word) its discounted share, or the share of unknown words. A document's score is the sum of log10 P over
     its tokens and its end. Tasks send the distinct bigrams and words of a chunk of documents, with the
-    documents that use them, to the buckets of the model, and get sums by document back. Repeated rows and rows
+    documents that use them, to the buckets of the model, and get sums by document back; the hottest they know
+    themselves. Repeated rows and rows
     with a null id are scored like others; an empty table gives no rows.
     """
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    asked = given.mapInArrow(_asked(model.buckets), ASKED_DDL)
-    tables = model.tables.filter(F.col("kind") != OTHER)
-    cogrouped = asked.groupBy("kind", "bucket").cogroup(tables.groupBy("kind", "bucket"))
-    answers = cogrouped.applyInArrow(_answered(model.constants), ASKED_DDL)
+    tables = model.tables.filter(F.col("kind") < OTHER)
     ddl = "id long, n_tokens long, n_known long, base_score double, score double"
-    return answers.groupBy("chunk").applyInArrow(_finished(model.constants, model.start), ddl)
+    found = []
+    for turn in range(TURNS):
+        now = given.filter(F.pmod(F.xxhash64("id", "text"), F.lit(TURNS)) == turn)
+        asked = now.mapInArrow(_asked(model.buckets, model.constants, model.pairs, model.words), ASKED_DDL)
+        cogrouped = asked.groupBy("kind", "bucket").cogroup(tables.groupBy("kind", "bucket"))
+        answers = cogrouped.applyInArrow(_answered(model.constants), ASKED_DDL)
+        found.append(materialise(answers.groupBy("chunk").applyInArrow(_finished(model.constants, model.start), ddl), "scores"))
+    return reduce(DataFrame.unionByName, found)

@@ -7,7 +7,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from taxaflow.llm.katz import K, LEAST, Constants, discounts, fit, score
+from taxaflow.llm import katz
+from taxaflow.llm.katz import K, Constants, discounts, fit, score
 
 DDL = "doc_id long, text string"
 
@@ -36,8 +37,7 @@ def plain_model(texts):
 
     follow = defaultdict(dict)
     for (h, w), c in pairs.items():
-        if c >= LEAST:
-            follow[h][w] = (d[c] if c <= K else 1) * c / times[h]
+        follow[h][w] = (d[c] if c <= K else 1) * c / times[h]
     alpha = {}
     for h, f in follow.items():
         if 1 - sum(f.values()) < 1e-12:
@@ -57,8 +57,10 @@ def corpus(seed, n):
     return [*rows, (n, None), (n + 1, "\t \n"), (None, "w0é W1"), (3, "W1  w3é\nW1"), (n + 2, "never seen words here"), (n + 3, "W1 " * 9000)]
 
 
-@pytest.mark.parametrize("n", [5, 120])
-def test_scores_equal_a_dictionary_model(spark, n):
+@pytest.mark.parametrize("n,hottest", [(5, 1 << 16), (120, 1 << 16), (120, 40), (120, 1)])
+def test_scores_equal_a_dictionary_model(spark, monkeypatch, n, hottest):
+    """All words hot, some, and none."""
+    monkeypatch.setattr(katz, "HOTTEST", hottest)
     rows = corpus(1, n)
     learned = [t for i, t in rows if i is None or i % 5 != 1]
     df = spark.createDataFrame(rows, DDL).repartition(3)
@@ -107,3 +109,16 @@ def test_uneven_counts_of_counts_keep_good_turing():
     assert (np.diff(found) > 0).all() and 0 < found[0] and found[-1] < 1
     assert abs(found[0] - 0.5) > 0.05
     assert np.abs(discounts([1000, 300, 120, 60, 54, 30])[1:] - found).max() < 0.01
+
+
+@pytest.mark.parametrize("classes", [[1000, 300, 120, 60, 55, 30], [90, 20, 9, 5, 3, 2, 7]])
+def test_discounts_are_those_of_good_turing_by_the_textbook(classes):
+    """r* = (r + 1) n[r + 1] / n[r] of the smoothed counts of counts, less what counts above K keep."""
+    logs = [(math.log(r), math.log(n)) for r, n in enumerate(classes[: K + 1], 1)]
+    mx, my = (sum(v) / len(logs) for v in zip(*logs, strict=True))
+    slope = sum((x - mx) * (y - my) for x, y in logs) / sum((x - mx) ** 2 for x, _ in logs)
+    smooth = {r: math.exp(my + slope * (math.log(r) - mx)) for r in range(1, K + 2)}
+    above = (K + 1) * smooth[K + 1] / smooth[1]
+    for r in range(1, K + 1):
+        star = (r + 1) * smooth[r + 1] / smooth[r]
+        assert discounts(classes)[r] == pytest.approx((star / r - above) / (1 - above))
