@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from taxaflow.functions import rasters, signals
-
-BODY = T.StructType([T.StructField(n, T.DoubleType()) for n in (
-    "area_px perimeter_px length_px width_px ellipse_major_px ellipse_minor_px orientation_deg core_length_px core_width_px solidity "
-    "mean_r mean_g mean_b largest_blob_frac"
-).split()])
+from taxaflow.functions import rasters, signals, text
+
+BODY = T.StructType([T.StructField(n, T.DoubleType()) for n in rasters.BODY_COLUMNS])
+PARTS = T.StructType(
+    [T.StructField(n, T.BooleanType()) for n in ("parts_ok", "parts_complete")]
+    + [T.StructField(n, T.DoubleType()) for n in (*(f"{p}_area_px" for p in rasters.PARTS), "body_length_parts_px", *rasters.PART_COLUMNS)]
+)
+BAR = T.StructType([T.StructField(n, T.IntegerType()) for n in ("x1", "y1", "x2", "y2")])
+BOARD = T.StructType([T.StructField("px_per_mm", T.DoubleType()), T.StructField("n_squares", T.IntegerType()), T.StructField("spread", T.DoubleType())])
 BASE = T.StructType([T.StructField(n, T.DoubleType()) for n in ("elytra_midline_length_px", "elytra_base_width_px", "pronotum_base_width_px")])
 RULER = T.StructType([T.StructField("px_per_mm", T.DoubleType()), T.StructField("confidence", T.DoubleType()), T.StructField("orientation", T.StringType()), T.StructField("n_ticks", T.IntegerType())])
 
@@ -63,6 +66,30 @@ def signal_period(profile: pd.Series, low: pd.Series, high: pd.Series) -> pd.Dat
     return _per_row(lambda p, a, b: dict(zip(("period", "strength"), signals.period(np.asarray(p, float), int(a), int(b)), strict=True)), (profile, low, high), ["period", "strength"])
 
 
+@F.pandas_udf(PARTS)
+def part_metrics(labels: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
+    """Part measures of label maps given as bytes, row by row; null columns give nulls."""
+    return _per_row(lambda p, h, w: rasters.part_metrics(np.frombuffer(p, np.uint8).reshape(int(h), int(w))), (labels, height, width), PARTS.names)
+
+
+@F.pandas_udf(BAR)
+def printed_bar(pixels: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
+    """Box of the printed bar of grey images given as bytes; nulls where there is none."""
+    return _per_row(lambda p, h, w: signals.printed_bar(np.frombuffer(p, np.uint8).reshape(int(h), int(w))) or {}, (pixels, height, width), BAR.names)
+
+
+@F.pandas_udf(BOARD)
+def checkerboard_scale(pixels: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
+    """Scale of the checkerboard of grey images given as bytes."""
+    return _per_row(lambda p, h, w: signals.checkerboard_scale(np.frombuffer(p, np.uint8).reshape(int(h), int(w))), (pixels, height, width), BOARD.names)
+
+
+def printed_bar_scale(bar: F.Column, labels: F.Column) -> F.Column:
+    """Pixels per millimetre of a bar (x1, x2) by the first of its labels, an array of texts read, that states a length."""
+    lengths = F.filter(F.transform(labels, text.label_millimetres), lambda mm: mm.isNotNull())
+    return (bar["x2"] - bar["x1"]) / F.try_element_at(lengths, F.lit(1))
+
+
 @F.pandas_udf(RULER)
 def ruler_scale(pixels: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
     """Ruler scale of grey images given as bytes, row by row."""

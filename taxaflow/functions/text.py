@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import html as html_module
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Named character references that descriptions use, the ampersand last.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&copy;": "©", "&middot;": "·", "&amp;": "&"}
 #: Millimetres of a unit.
 MILLIMETRES = {"mm": 1.0, "cm": 10.0, "µm": 0.001, "um": 0.001}
 
 
+@F.pandas_udf(T.StringType())
+def unescaped(c: pd.Series) -> pd.Series:
+    """Named and numeric character references as the characters they stand for; the standard's table has over two thousand."""
+    return c.map(html_module.unescape, na_action="ignore")
+
+
 def or_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
@@ -82,11 +89,9 @@ def image_view(url: Column) -> Column:
 
 
 def plain_text(html: Column) -> Column:
-    """Text of an HTML fragment: list items marked, tags as spaces, known references decoded, white space single."""
+    """Text of an HTML fragment: list items marked, tags as spaces, all character references decoded, white space single."""
     text = F.regexp_replace(F.regexp_replace(html, "<li[^>]*>", " - "), "<[^>]+>", " ")
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return or_null(F.trim(F.regexp_replace(text, r"\s+", " ")))
+    return or_null(F.trim(F.regexp_replace(unescaped(text), r"(?U)\s+", " ")))
 
 
 def part_count(c: Column, sep: str = r"\|") -> Column:
