@@ -82,5 +82,5 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """n rows in the order of a seeded hash of their key: the same rows at every run and partitioning."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """n rows in the order of the MD5 of their key and the seed: the same rows at every run and partitioning, and in any engine."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary")), key).limit(n)

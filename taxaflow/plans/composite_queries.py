@@ -36,14 +36,14 @@ def range_picks(t: Tables) -> DataFrame:
     return validation.range_picks(rows.agg(F.count("*").alias("n_observations"))).select("siteID", "higher_taxon", "n_candidates", "range_pick", "range_pick_share")
 
 
-@query("""WITH s AS (SELECT 'v' || l_orderkey || '-' || l_partkey AS sample_id, CASE WHEN l_partkey % 3 = 0 THEN 'carabid' WHEN l_partkey % 3 = 1 THEN 'invert bycatch' ELSE 'odd' END AS st, min(l_suppkey) AS sup FROM lineitem WHERE l_orderkey <= 3000 GROUP BY ALL)
+@query("""WITH s AS (SELECT 'v' || l_orderkey || '-' || l_partkey AS sample_id, CASE WHEN l_partkey % 3 = 0 THEN 'carabid' WHEN l_partkey % 3 = 1 THEN 'invert bycatch' ELSE 'odd' END AS st, min(l_suppkey) AS sup FROM lineitem GROUP BY ALL)
 SELECT sample_id, CASE st WHEN 'carabid' THEN 'bulk carabid' WHEN 'invert bycatch' THEN 'invertebrate bycatch' ELSE st END AS specimen_group,
 s_name AS "biorepo_catalogNumber", CASE WHEN s_name IS NOT NULL THEN 'barcode' END AS biorepo_link, s_name IS NOT NULL AS in_biorepository FROM s LEFT JOIN (SELECT * FROM supplier WHERE s_suppkey % 2 = 0) ON s_suppkey = sup""")
 def preserved_samples(t: Tables) -> DataFrame:
     k = F.col("l_partkey") % 3
     kind = F.when(k == 0, "carabid").when(k == 1, "invert bycatch").otherwise("odd")
     sid = F.concat(F.lit("v"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_partkey").cast("string"))
-    sorting = t.lineitem.filter("l_orderkey <= 3000").groupBy(sid.alias("subsampleID"), kind.alias("sampleType")).agg(F.min("l_suppkey").cast("string").alias("subsampleCode"))
+    sorting = t.lineitem.groupBy(sid.alias("subsampleID"), kind.alias("sampleType")).agg(F.min("l_suppkey").cast("string").alias("subsampleCode"))
     none = F.lit(None).cast("string")
     records = t.supplier.filter("s_suppkey % 2 = 0").select(F.col("s_name").alias("catalogNumber"), none.alias("neon_sampleID"), none.alias("neon_sampleID_hash"), F.col("s_suppkey").cast("string").alias("neon_barcode"), F.lit("X").alias("collection"), F.lit("o").alias("occid"), F.lit(1).alias("n_images"))
     return specimens.preserved_samples(sorting, None, records).select("sample_id", "specimen_group", "biorepo_catalogNumber", "biorepo_link", "in_biorepository")

@@ -45,8 +45,8 @@ def rule_cascade_classify(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", text.cascade(rules, "individual").alias("kind"), text.first_contained(F.col("lang"), ["d", "f", "e"]).alias("first_word"))
 
 
-@query(r"""SELECT page_id, nullif(trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '<li[^>]*>', ' - ', 'g'), '<[^>]+>', ' ', 'g'),
-'&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g')), '') AS plain FROM pages""")
+@query(r"""SELECT page_id, nullif(trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '<li[^>]*>', ' - ', 'g'), '<[^>]+>', ' ', 'g'),
+'&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')), '') AS plain FROM pages""")
 def html_to_text(t: Tables) -> DataFrame:
     return t.pages.select("page_id", text.plain_text(F.col("html")).alias("plain"))
 
@@ -124,13 +124,13 @@ def nms_greedy(t: Tables) -> DataFrame:
     return kept.select("image", F.explode("kept").alias("k")).select("image", "k.id")
 
 
-@query("""WITH i AS (SELECT o_orderkey, CAST(o_orderkey % 4000 + 100 AS INT) AS w, CAST(o_custkey % 3000 + 100 AS INT) AS h FROM orders WHERE o_orderkey < 2000),
+@query("""WITH i AS (SELECT o_orderkey, CAST(o_orderkey % 4000 + 100 AS INT) AS w, CAST(o_custkey % 3000 + 100 AS INT) AS h FROM orders),
 x AS (SELECT *, CASE WHEN greatest(w, h) <= 1000 THEN [0] ELSE list_append(list_filter(range(0, greatest(w - 1000, 0) + 1, 750), lambda s: s < greatest(w - 1000, 0)), greatest(w - 1000, 0)) END AS xs,
 CASE WHEN greatest(w, h) <= 1000 THEN [0] ELSE list_append(list_filter(range(0, greatest(h - 1000, 0) + 1, 750), lambda s: s < greatest(h - 1000, 0)), greatest(h - 1000, 0)) END AS ys FROM i),
 t AS (SELECT o_orderkey, w, h, unnest(xs) AS x1, ys FROM x), u AS (SELECT o_orderkey, w, h, x1, unnest(ys) AS y1 FROM t)
 SELECT o_orderkey, CAST(x1 AS INT) AS x1, CAST(y1 AS INT) AS y1, CAST(least(x1 + 1000, w) AS INT) AS x2, CAST(least(y1 + 1000, h) AS INT) AS y2 FROM u""")
 def tile_grid(t: Tables) -> DataFrame:
-    sizes = t.orders.filter("o_orderkey < 2000").select("o_orderkey", (F.col("o_orderkey") % 4000 + 100).alias("w"), (F.col("o_custkey") % 3000 + 100).alias("h"))
+    sizes = t.orders.select("o_orderkey", (F.col("o_orderkey") % 4000 + 100).alias("w"), (F.col("o_custkey") % 3000 + 100).alias("h"))
     return boxes.tiles(sizes, "w", "h", 1000).select("o_orderkey", "x1", "y1", "x2", "y2")
 
 

@@ -29,9 +29,9 @@ def rle_roundtrip(t: Tables) -> DataFrame:
 
 
 @query("""SELECT p_partkey, (a * b)::DOUBLE AS area_px, (greatest(a, b) - 1)::DOUBLE AS length_px, (least(a, b) - 1)::DOUBLE AS width_px,
-(2 * (a - 1) + 2 * (b - 1))::DOUBLE AS perimeter_px, 1.0::DOUBLE AS largest_blob_frac FROM (SELECT p_partkey, p_size % 30 + 5 AS a, p_partkey % 20 + 4 AS b FROM part WHERE p_partkey <= 300)""")
+(2 * (a - 1) + 2 * (b - 1))::DOUBLE AS perimeter_px, 1.0::DOUBLE AS largest_blob_frac FROM (SELECT p_partkey, p_size % 30 + 5 AS a, p_partkey % 20 + 4 AS b FROM part)""")
 def mask_metrics(t: Tables) -> DataFrame:
-    m = _rectangles(t).filter("p_partkey <= 300").withColumn("m", kernels.mask_metrics("code", F.lit(_H), F.lit(_W)))
+    m = _rectangles(t).withColumn("m", kernels.mask_metrics("code", F.lit(_H), F.lit(_W)))
     return m.select("p_partkey", *[F.round(f"m.{c}", 6).alias(c) for c in ("area_px", "length_px", "width_px", "perimeter_px", "largest_blob_frac")])
 
 
@@ -40,13 +40,13 @@ def midline(t: Tables) -> DataFrame:
     return _rectangles(t).select("p_partkey", kernels.midline("code", F.lit(_H), F.lit(_W)).alias("midline_px"))
 
 
-@query("""SELECT event_id, CASE WHEN p.p_partkey IS NOT NULL THEN p.p_partkey END AS hit FROM (SELECT event_id, event_id % 200 + 1 AS image, (event_id % 50)::DOUBLE AS px, (event_id % 37)::DOUBLE AS py FROM events)
+@query("""SELECT event_id, CASE WHEN p.p_partkey IS NOT NULL THEN p.p_partkey END AS hit FROM (SELECT event_id, event_id % (SELECT count(*) FROM part) + 1 AS image, (event_id % 50)::DOUBLE AS px, (event_id % 37)::DOUBLE AS py FROM events)
 LEFT JOIN (SELECT p_partkey, p_partkey % 7 + 1 AS x, p_size % 9 + 1 AS y, p_size % 30 + 5 AS a, p_partkey % 20 + 4 AS b FROM part) p ON p.p_partkey = image AND px >= x AND px < x + a AND py >= y AND py < y + b""")
 def point_in_mask(t: Tables) -> DataFrame:
     box = F.struct(*[F.lit(-1.0).alias(n) for n in ("x1", "y1", "x2", "y2")])
-    inst = _rectangles(t).filter("p_partkey <= 200").select(F.col("p_partkey").alias("image_id"), F.col("p_partkey").alias("instance_id"), F.lit(0).alias("win_x1"), F.lit(0).alias("win_y1"), F.col("code").alias("mask_rle"), F.lit(_H).alias("mask_h"), F.lit(_W).alias("mask_w"), box.alias("box"))
+    inst = _rectangles(t).select(F.col("p_partkey").alias("image_id"), F.col("p_partkey").alias("instance_id"), F.lit(0).alias("win_x1"), F.lit(0).alias("win_y1"), F.col("code").alias("mask_rle"), F.lit(_H).alias("mask_h"), F.lit(_W).alias("mask_w"), box.alias("box"))
     e = F.col("event_id")
-    points = t.events.select(e.alias("p_id"), (e % 200 + 1).alias("image_id"), (e % 50).cast("double").alias("x"), (e % 37).cast("double").alias("y"))
+    points = t.events.select(e.alias("p_id"), (e % t.part.count() + 1).alias("image_id"), (e % 50).cast("double").alias("x"), (e % 37).cast("double").alias("y"))
     return kernels.points_in_masks(points, inst).select(F.col("p_id").alias("event_id"), F.col("instance_id").alias("hit"))
 
 

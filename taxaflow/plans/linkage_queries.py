@@ -201,7 +201,7 @@ def top_k(t: Tables) -> DataFrame:
     return selection.top_k(t.lineitem.groupBy("l_partkey").agg(F.count("*").alias("n")), 15, F.desc("n"), F.asc("l_partkey"))
 
 
-@query()
+@query("SELECT * FROM orders ORDER BY md5(o_orderkey || ':3'), o_orderkey LIMIT 100")
 def seeded_sample(t: Tables) -> DataFrame:
     return selection.seeded_sample(t.orders, "o_orderkey", 100, seed=3)
 
@@ -221,10 +221,10 @@ def median_broadcast_correct(t: Tables) -> DataFrame:
     return found.select("l_orderkey", "l_linenumber", F.round("frame_factor", 6).alias("frame_factor"), "frame_ok", F.round("x1", 6).alias("x1"))
 
 
-@query("""SELECT e.event_id, e.user_id, (SELECT max_by(o.value, (o.ts, o.event_id)) FROM events o WHERE o.user_id = e.user_id AND o.event_type = 'purchase' AND o.ts <= e.ts) IS NOT NULL AS has_before
+@query("""SELECT e.event_id, e.user_id, (SELECT max_by(o.value, (o.ts, o.value)) FROM events o WHERE o.user_id = e.user_id AND o.event_type = 'purchase' AND o.ts <= e.ts AND o.value IS NOT NULL) AS last_value
 FROM events e WHERE e.event_type = 'click'""")
 def asof_lookup(t: Tables) -> DataFrame:
     clicks = t.events.filter("event_type = 'click'").select("user_id", "event_id", "ts")
     bought = t.events.filter("event_type = 'purchase'").select("user_id", "ts", "value")
     found = linkage.asof(clicks, bought, "user_id", "ts", "ts", "value")
-    return found.select("event_id", "user_id", F.col("value").isNotNull().alias("has_before"))
+    return found.select("event_id", "user_id", F.col("value").alias("last_value"))
