@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from dataclasses import dataclass, field
 
 #: Element classes of the HTML standard.
@@ -24,8 +23,6 @@ IMPLIED = {
     "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}), "tfoot": ({"tbody", "thead", "tr", "td", "th"}, {"table"}),
     "option": ({"option"}, {"select"}), "optgroup": ({"option", "optgroup"}, {"select"}),
 }
-#: Elements nested deeper than this have no children of their own; what is in them belongs to the deepest one.
-MOST_DEEP = 100
 P_BOUNDS = frozenset("table td th caption html body article section div blockquote li dd button object".split())
 
 MARKUP = re.compile(r"<(?:!--(?:.*?-->|.*)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(>|\Z)|[!?/][^>]*(?:>|\Z))", re.S)
@@ -61,13 +58,12 @@ def _close(stack: list[Node], names: set[str] | frozenset[str], bounds: set[str]
 
 
 def parse(source: str) -> Node:
-    """The tree of a page or a part of one. Never fails: unknown, unclosed and cut-off markup has a defined place.
+    """The tree of a page or a part of one, of any depth. Never fails: unknown, unclosed and cut-off markup has a place.
 
     Comments and a tag that the end of the page cuts off are no text; an end tag without its start is ignored.
     """
     root = Node("#root")
     stack, at, n = [root], 0, len(source)
-    flat: Counter[str] = Counter()  # open elements that are not in the stack
     while at < n:
         found = MARKUP.search(source, at)
         if not found:
@@ -80,9 +76,6 @@ def parse(source: str) -> Node:
         if tag is None or end == "":
             continue
         tag = tag.lower()
-        if closing and flat[tag]:
-            flat[tag] -= 1
-            continue
         if closing:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
@@ -102,8 +95,5 @@ def parse(source: str) -> Node:
             node.children.append(source[at : stop.start() if stop else n])
             at = stop.end() if stop else n
         elif tag not in VOID and (tag in BLOCK or not attrs.endswith("/")):  # the slash of <div/> means nothing in HTML
-            if len(stack) < MOST_DEEP:
-                stack.append(node)
-            else:
-                flat[tag] += 1
+            stack.append(node)
     return root

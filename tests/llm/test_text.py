@@ -266,3 +266,27 @@ def test_a_constant_byline_hides_no_paragraph(spark):
     rows = [(i, f"http://a.example/{i}", page.format(f"number{i}")) for i in range(12)]
     got = {r.page_id: r.text for r in w.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(f"First text of page number{i}." in got[i] and f"Second text number{i}." in got[i] for i in range(12))
+
+
+def test_depth_is_no_way_into_the_text():
+    page = "<div>" * 3000 + "<nav>menu</nav><article><h1>Title</h1><div class='ad'>buy</div><p>body</p></article>" + "</div>" * 3000 + "<footer>end</footer>"
+    assert wrapper.main_text(page) == "Title\n\nbody"
+
+
+def test_names_of_paragraphs_and_anchors_are_text():
+    page = "<article><p class='social'>one</p><section id='search'><h2 class='notice'>two</h2></section><div class='related'>x</div><section class='comments'>y</section></article>"
+    assert wrapper.main_text(page) == "one\n\ntwo"
+
+
+def test_copies_of_a_page_do_not_make_it_a_template(spark):
+    """Thirty copies in as many tasks, and another page."""
+    pages = [(i, "http://h.example/a", "<html><body><div><p>the only article of its host, " * 3 + "</p></div></body></html>") for i in range(30)] + [(99, "http://h.example/b", "<html><body><div><p>x</p></div></body></html>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(31)
+    got = {r.page_id: r.text for r in wrapper.extract(df).collect()}
+    assert all(got[i].startswith("the only article") for i in range(30)) and len(got) == 31
+
+
+def test_templates_survive_packing():
+    slot = wrapper.page_slots(parse("<html><body>" + "<div class='a'>" * 2000 + "<p>x<b>y</b></p><ul><li>z</ul>"))
+    again = wrapper.unpacked(wrapper.packed(slot))
+    assert wrapper.packed(again) == wrapper.packed(slot) and wrapper.main_path(again) == wrapper.main_path(slot)
