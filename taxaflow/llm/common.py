@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of a row group of kept tables: what a writing task holds in memory.
+ROW_GROUP = 16 << 20
 #: ASCII white space of the corpus contracts, as a Java regular expression class.
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -67,7 +69,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     with _released_shuffles(spark):
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -114,6 +116,17 @@ def without(df: DataFrame, lost: DataFrame, key: str, most_broadcast: int = 8 <<
     return df.join(F.broadcast(keys) if input_bytes(keys) <= most_broadcast else keys, key, "left_anti")
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, copies: str, total: int, most: int = 1000) -> DataFrame:
+    """rows left-joined to groups by key; copies: how many of all total rows are in a group.
+
+    Groups of one part in `most` of all rows or more, which are `most` at most, go to all tasks. So the shuffled join
+    has small groups alone, and none makes a task hot.
+    """
+    hot = groups.filter(F.col(copies) * most >= total)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(rest.join(groups.filter(F.col(copies) * most < total), key, "left"))
+
+
 def bucket_count(df: DataFrame, per_bucket_mb: float = 12.0, least: int = 4) -> int:
     """Buckets of about per_bucket_mb of input, so that a bucket's share stays level as the input grows."""
     return max(least, min(1 << 20, math.ceil(input_bytes(df) / (per_bucket_mb * 1e6))))

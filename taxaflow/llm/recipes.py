@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxaflow.llm.common import SPACE, materialise
+from taxaflow.llm.common import SPACE, drop_table, join_groups, materialise
 
 #: A chunk has LEAST characters or more, and MOST at most.
 LEAST, MOST = 64, 4096
@@ -40,33 +40,37 @@ def with_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, recipe array<binary>, text_sha256, n_bytes) of every row; the empty text has the empty recipe."""
-    return with_chunks(docs, id_col, text_col).select(
-        "id",
-        F.transform("chunks", chunk_id).alias("recipe"),
-        F.sha2("text", 256).alias("text_sha256"),
-        F.octet_length("text").cast("long").alias("n_bytes"),
-    )
+    """(id, chunks, recipe array<binary>, text_sha256) of every row; the empty text has the empty recipe."""
+    return with_chunks(docs, id_col, text_col).select("id", "chunks", F.transform("chunks", chunk_id).alias("recipe"), F.sha2("text", 256).alias("text_sha256"))
 
 
-def chunk_store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(chunk_id, chunk, uses): each distinct chunk once. Raises if one identifier has two contents."""
-    rows = with_chunks(docs, id_col, text_col).select(F.explode("chunks").alias("chunk"))
-    rows = rows.withColumn("chunk_id", chunk_id(F.col("chunk")))
-    kept = rows.groupBy("chunk_id").agg(F.min("chunk").alias("chunk"), F.max("chunk").alias("last"), F.count("*").alias("uses"))
+def distinct_chunks(rows: DataFrame) -> DataFrame:
+    """(chunk_id, chunk, uses) of the rows of recipes(): each distinct chunk once. Raises if one identifier has two contents."""
+    each = rows.select(F.explode(F.arrays_zip("recipe", "chunks")).alias("c")).select(F.col("c.recipe").alias("chunk_id"), F.col("c.chunks").alias("chunk"))
+    kept = each.groupBy("chunk_id").agg(F.min("chunk").alias("chunk"), F.max("chunk").alias("last"), F.count("*").alias("uses"))
     checked = F.when(F.col("chunk") == F.col("last"), F.col("chunk")).otherwise(F.raise_error(F.lit("chunk identifiers collide")))
     return kept.select("chunk_id", checked.alias("chunk"), "uses")
 
 
+def chunk_store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(chunk_id, chunk, uses) of all texts: what recipes are made of, once."""
+    return distinct_chunks(recipes(docs, id_col, text_col))
+
+
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256) of every row of docs.
 
-    Texts are equal if their recipes, the ordered lists of their chunks' identifiers, are. A text's bytes are
-    read once and never shuffled: recipes alone move, a long document's as a few hundred bytes. The row with
-    the smallest id of a group stays; of rows that repeat this id all do. Rows with a null id belong to their
-    text's group and do not stay, unless no row of the group has an id: then keep_id is null and all stay.
+    Chunks are deduplicated first, into a table in which each identifier has one content, compared by its bytes. Then
+    texts are equal if their recipes, the ordered lists of their chunks' identifiers, are: a long document moves as a
+    few hundred bytes. The row with the smallest id of a group stays; of rows that repeat this id all do. Rows with a
+    null id belong to their text's group and do not stay, unless no row of the group has an id: then keep_id is null
+    and all stay. Null texts are empty ones. Other columns are not read; an empty table gives no rows.
     """
-    rows = materialise(recipes(docs, id_col, text_col).drop("n_bytes"), "recipes")
-    groups = rows.groupBy("recipe", "text_sha256").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
-    kept = F.coalesce(F.col("id") == F.col("keep_id"), F.col("keep_id").isNull())
-    return rows.join(groups, ["recipe", "text_sha256"]).select("id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+    cut = materialise(recipes(docs, id_col, text_col), "recipes")
+    drop_table(materialise(distinct_chunks(cut), "chunks"))  # raises before any comparison
+    rows = cut.drop("chunks")
+    groups = rows.groupBy("recipe").agg(F.min("id").alias("least"), F.count("*").alias("copies")).filter("copies > 1")
+    found = join_groups(rows, materialise(groups, "groups"), "recipe", "copies", rows.count())
+    keep = F.coalesce("least", "id")
+    kept = F.coalesce(F.col("id") == keep, keep.isNull())
+    return found.select("id", keep.alias("keep_id"), F.coalesce("copies", F.lit(1).cast("long")).alias("group_size"), kept.alias("kept"), "text_sha256")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from taxaflow.llm.common import bucket_count, materialise
+from taxaflow.llm.common import bucket_count, join_groups, materialise
 
-#: A group of equal texts stays in one shard if it has at most this part of a shard's target.
-TOGETHER = 1 / 64
+#: A group of equal texts stays in one shard if it has at most one of so many parts of a shard's target.
+TOGETHER = 64
 
 
 def byte_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -17,7 +17,7 @@ def byte_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_
     Rows stand in the order of their text's SHA-256 and id, which is as good as shuffled and keeps equal texts
     together. Range partitions sum their sizes, prefix sums of these totals place each partition, and a row's
     shard is where its prefix falls among equal targets. A small group of equal texts goes where its first row
-    falls; a group over TOGETHER of a target is cut like other rows, whatever its size. The slot is the row's
+    falls; a group over one TOGETHERth of a target is cut like other rows, whatever its size. The slot is the row's
     place in its shard, without gaps. A row's size is its text's UTF-8 bytes plus 1; a null text counts as an
     empty one, rows with a null id and repeated rows count like others, and an empty table gives no rows.
     """
@@ -55,11 +55,11 @@ def byte_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_
     )
 
     groups = placed.groupBy("digest").agg(F.min("prefix").alias("first"), F.sum("size").alias("bytes"), F.count("*").alias("n"))
-    groups = groups.filter("n > 1").drop("n")
-    small = F.col("bytes") * shards <= F.col("total") * F.lit(TOGETHER)
+    groups = materialise(groups.filter("n > 1"), "groups")
+    small = F.col("bytes") * (shards * TOGETHER) <= F.col("total")
     at = F.when(F.coalesce(small, F.lit(False)), F.col("first")).otherwise(F.col("prefix"))
     shard = F.least(F.lit(shards - 1), F.floor(at * shards / F.col("total")).cast("int"))
-    cut = placed.join(groups, "digest", "left").select("id", "size", "text_crc32", "nth", shard.alias("shard"))
+    cut = join_groups(placed, groups, "digest", "n", placed.count()).select("id", "size", "text_crc32", "nth", shard.alias("shard"))
     cut = materialise(cut, "cut")
     # at most one row for each shard
     firsts = cut.groupBy("shard").agg(F.min("nth").alias("start"))
