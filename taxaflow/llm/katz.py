@@ -23,7 +23,8 @@ K = 5
 HOTTEST = 1 << 16
 #: A task's documents are handled in chunks of about so many tokens, and at most so many documents.
 CHUNK_TOKENS, CHUNK_DOCS = 400_000, 60_000
-#: Documents are scored in so many turns, each row in one of them: what one turn sends is on disk at a time.
+#: Buckets of histories are modelled, and documents scored, in so many turns, each in one of them: what one turn sends is
+#: on disk at a time.
 TURNS = 3
 #: White space is in no word, so these two are no words.
 START, END = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b" start", b" end"))
@@ -444,7 +445,8 @@ def fit(docs: DataFrame, text_col: str = "text", buckets: int | None = None) ->
     histories = Histories.of(keys, times, high, np.minimum(parts["lower"].to_numpy()[order], 1 - 1e-15))
 
     split = merged.filter(F.col("kind") == PAIR).unionByName(of_words).drop("sums")
-    tables = materialise(split.groupBy("bucket").applyInArrow(_modelled(k, buckets, histories), MODEL_DDL), "katz")
+    turns = (split.filter(F.pmod("bucket", F.lit(TURNS)) == turn) for turn in range(TURNS))
+    tables = reduce(DataFrame.unionByName, (materialise(t.groupBy("bucket").applyInArrow(_modelled(k, buckets, histories), MODEL_DDL), "katz") for t in turns))
     drop_table(merged)
     drop_table(words)
     rows = tables.filter(F.col("kind") == HOT).select("keys", "value").toArrow()  # HOTTEST bigrams at most

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaflow.llm.common import materialise
+from taxaflow.llm.common import materialise, release_memory
 from taxaflow.llm.tokens import encoder, tokenizer_path
 
 #: Leftover windows that one task merges.
@@ -191,6 +191,7 @@ def pack(
         for window in packer.merge():
             out.add(window, keep_ids=window.room > 0)
         yield out.batch()
+        release_memory()
 
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     done = materialise(given.mapInArrow(packed, PIECE_DDL), "packed")

@@ -1,7 +1,8 @@
-"""Near copies by word shingles: texts that share a rare shingle meet, their sets' Jaccard similarity decides."""
+"""Near copies by word shingles: texts meet by SimHash fingerprints, then by rare shingles; their sets' Jaccard similarity decides."""
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterable, Iterator
 
@@ -10,15 +11,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from taxaflow.llm.common import drop_table, input_bytes, materialise
+from taxaflow.llm.common import drop_table, input_bytes, materialise, release_memory
 from taxaflow.llm.graph import connected_components
-from taxaflow.llm.simhash import lowered_words, shingle_hashes
+from taxaflow.llm.simhash import lowered_words, majority_bits, near_edges, shingle_hashes
 
 #: Texts that hold one shingle and all meet at once; in a larger crowd the members meet one of them first, and then
 #: all those that are not yet in one group.
 CROWD = 8
-#: Rounds of such first meetings, and by how many of a text's most crowded shingles.
-ROUNDS, HUBS = 3, 4
+#: By how many of its most crowded shingles a text meets one text each at first.
+HUBS = 4
+#: Groups meet by one text each in rounds, until only FEW pairs for each text and shingle are left to compare, or a round
+#: leaves more than LITTLE of them. All that is left then is compared.
+FEW, LITTLE = 4, 0.9
 #: One of SAMPLE texts counts for which shingles are common: those met SEEN times, MOST_COMMON at most. They only order.
 SAMPLE, SEEN, MOST_COMMON = 8, 3, 100_000
 #: A set's sketch has so many numbers of 64 bits: each bit is the parity of the shingles that fall on it. Its wide
@@ -68,12 +72,15 @@ def prefix(shingles: np.ndarray, least: float, common: np.ndarray, rank: np.ndar
 def _keyed(size: int, least: float, common: np.ndarray, rank: np.ndarray):  # noqa: ANN202
     def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [_set_of(t.as_py(), size) for t in batch.column(1)]
-            keys = [prefix(s, least, common, rank) for s in sets]
-            spans = [len(k) for k in keys]
+            keys, counts = [np.empty(0, np.uint64)], []
+            for text in batch.column(1):
+                found = _set_of(text.as_py(), size)
+                counts.append(len(found))
+                keys.append(prefix(found, least, common, rank))
+            spans = [len(k) for k in keys[1:]]
             ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), spans)
-            counts = np.repeat(np.array([len(s) for s in sets], np.int64), spans)
-            yield pa.record_batch([pa.array(np.concatenate([np.empty(0, np.uint64), *keys]).view(np.int64)), pa.array(ids, pa.int64()), pa.array(counts)], names=["key", "id", "n"])
+            yield pa.record_batch([pa.array(np.concatenate(keys).view(np.int64)), pa.array(ids, pa.int64()), pa.array(np.repeat(np.array(counts, np.int64), spans))], names=["key", "id", "n"])
+        release_memory()
 
     return keyed
 
@@ -87,12 +94,28 @@ def _each_shingle(size: int):  # noqa: ANN202
     return each
 
 
+def _sketched(size: int):  # noqa: ANN202
+    def sketched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for text in batch.column(1):
+                runs = shingle_hashes(lowered_words(text.as_py()), size)
+                found = np.unique(runs)
+                rows.append((len(found), majority_bits(runs), parity_sketch(found).view(np.int64), wide_sketch(found)))
+            n, fp, bits, wide = zip(*rows, strict=True) if rows else ([], [], [], [])
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(list(bits), pa.list_(pa.int64())), pa.array(wide, pa.binary())]
+            yield pa.record_batch(columns, names=["id", "n", "fp", "bits", "wide"])
+        release_memory()
+
+    return sketched
+
+
 def _shingled(size: int):  # noqa: ANN202
     def shingled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [_set_of(t.as_py(), size) for t in batch.column(1)]
-            columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([parity_sketch(s).view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(map(wide_sketch, sets), pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))]
-            yield pa.record_batch(columns, names=["id", "n", "bits", "wide", "shingles"])
+            yield pa.record_batch([batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "shingles"])
+        release_memory()
 
     return shingled
 
@@ -130,83 +153,99 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _sets(given: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(id, n, bits, wide, shingles) of the texts whose ids are met."""
+def _of(given: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts whose ids are met."""
     met = materialise(ids.distinct(), "met")
-    met = F.broadcast(met) if input_bytes(met) <= MOST_BROADCAST else met
-    return materialise(given.join(met, "id", "left_semi").mapInArrow(_shingled(size), "id long, n long, bits array<long>, wide binary, shingles array<long>"), "shingles")
-
-
-def _links(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
-    """The pairs whose texts' sets of shingles are similar."""
-    sketches = [sets.select(F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.col("bits").alias(f"bits{i}"), F.col("wide").alias(f"wide{i}")) for i in "ab"]
-    near = pairs.join(sketches[0], "a").join(sketches[1], "b").filter(_sizes_fit("na", "nb", least) & _bits_fit("bitsa", "bitsb", F.col("na") + F.col("nb"), least))
-    near = near.select("a", "b", "na", "nb", "widea", "wideb").mapInArrow(_maybe_similar(least), "a long, b long")
-    near = materialise(near.distinct(), "near")
-    left = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
-    both = left.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    edges = both.filter(shared >= least * (F.size("x") + F.size("y") - shared)).select("a", "b")
-    return materialise(edges.distinct(), "links")
+    return given.join(F.broadcast(met) if input_bytes(met) <= MOST_BROADCAST else met, "id", "left_semi")
 
 
-def _met_links(given: DataFrame, pairs: DataFrame, size: int, least: float) -> DataFrame:
+def _links(given: DataFrame, sketches: DataFrame, pairs: DataFrame, size: int, least: float) -> DataFrame:
+    """The pairs whose texts' sets of shingles are similar. Only sets that the sketches do not tell apart are moved."""
     pairs = materialise(_ordered(pairs), "candidates")
-    sets = _sets(given, pairs.select(F.explode(F.array("a", "b")).alias("id")), size)
-    linked = _links(sets, pairs, least)
-    drop_table(sets)
-    drop_table(pairs)
+    sides = [sketches.select(F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.col("bits").alias(f"bits{i}"), F.col("wide").alias(f"wide{i}")) for i in "ab"]
+    near = pairs.join(sides[0], "a").join(sides[1], "b").filter(_sizes_fit("na", "nb", least) & _bits_fit("bitsa", "bitsb", F.col("na") + F.col("nb"), least))
+    near = materialise(near.select("a", "b", "na", "nb", "widea", "wideb").mapInArrow(_maybe_similar(least), "a long, b long"), "near")
+    ends = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id")))
+    sets = materialise(_of(given, ends).mapInArrow(_shingled(size), "id long, shingles array<long>"), "shingles")
+    both = near.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    linked = materialise(both.filter(shared >= least * (F.size("x") + F.size("y") - shared)).select("a", "b").distinct(), "links")
+    for done in (pairs, near, sets):
+        drop_table(done)
     return linked
 
 
-def _rooted(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """rows (id, ...) with the root of the group that their id is in so far."""
-    if roots is None:
-        return rows.withColumn("root", F.col("id"))
-    return rows.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+def _fingerprint_pairs(sketches: DataFrame) -> DataFrame:
+    """Texts whose SimHash fingerprints are equal or met by multi-index hashing, each fingerprint by its smallest id."""
+    classes = materialise(sketches.groupBy("fp").agg(F.min("id").alias("least")), "classes")
+    same = sketches.join(classes, "fp").select(F.col("id").alias("a"), F.col("least").alias("b"))
+    ends = [classes.select(F.col("fp").alias(i), F.col("least").alias(f"id{i}")) for i in "ab"]
+    met = near_edges(classes.select("fp")).join(ends[0], "a").join(ends[1], "b")
+    return same.unionByName(met.select(F.col("ida").alias("a"), F.col("idb").alias("b")))
+
+
+def _open(crowd: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (key, id, n) with the root of the group that their id is in so far, of keys whose texts are not all in one group."""
+    rooted = crowd.select("key", "id", "n").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s").select("key")
+    return rooted.join(mixed, "key", "left_semi")
 
 
-def _open(rooted: DataFrame, *more: F.Column) -> DataFrame:
-    """Keys whose texts are not all in one group."""
-    return rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s"), *more).filter("r <> s").drop("r", "s")
+def _first_meetings(crowd: DataFrame, least: float) -> DataFrame:
+    """Pairs of a text and one of each of its HUBS most crowded keys."""
+    most = Window.partitionBy("id").orderBy(F.desc("k"), "key", "n")
+    first = materialise(crowd.withColumn("i", F.row_number().over(most)).filter(F.col("i") <= HUBS).drop("i", "k"), "crowds")
+    hubs = first.groupBy("key").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n")).alias("hub"))
+    return first.join(hubs, "key").filter(_sizes_fit("n", "hub.n", least)).select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
+
+
+def _group_meetings(left: DataFrame, seed: int, least: float) -> DataFrame:
+    """Pairs of one text of each group that has a key, and one of the largest such group and of another, drawn by seed."""
+    h = F.xxhash64("id", "key", F.lit(seed))
+    groups = left.groupBy("key", "root").agg(F.min(F.struct(h.alias("h"), "id", "n")).alias("x"), F.count("*").alias("members"))
+    groups = materialise(groups.select("key", "root", "members", "x.*"), "groups")
+    one = F.struct("members", "h", "id", "n", "root")
+    hubs = groups.groupBy("key").agg(F.max(one).alias("most"), F.min(F.struct("h", "id", "n", "root")).alias("any"))
+    met = groups.join(hubs, "key")
+    sides = [met.filter((F.col("root") != F.col(f"{hub}.root")) & _sizes_fit("n", f"{hub}.n", least)).select(F.col("id").alias("a"), F.col(f"{hub}.id").alias("b")) for hub in ("most", "any")]
+    return sides[0].unionByName(sides[1])
+
+
+def _left_over(left: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """All pairs of texts of different groups that share a key, but for those that sizes or sketches exclude."""
+    sketched = left.join(sketches.select("id", "n", "bits"), ["id", "n"])
+    x, y = (sketched.select("key", *(F.col(c).alias(f"{c}{i}") for c in ("id", "n", "root", "bits"))) for i in "ab")
+    may = _sizes_fit("na", "nb", least) & _bits_fit("bitsa", "bitsb", F.col("na") + F.col("nb"), least)
+    return x.join(y, "key").filter(F.col("roota") < F.col("rootb")).filter(may).select(F.col("ida").alias("a"), F.col("idb").alias("b"))
 
 
 def links(given: DataFrame, size: int, least: float) -> DataFrame:
     """Similar pairs (a, b) of given (id, text): what they connect is what all similar pairs connect.
 
-    Texts meet by the shingles of their prefixes. Where more than CROWD share one, pairs inside a group that links
-    have joined already are left out, since they join nothing; all others whose sizes and sketches leave a
-    similarity of least possible are compared.
+    Texts meet by SimHash fingerprints first, and by the shingles of their prefixes, which miss no similar pair.
+    Where more than CROWD share a shingle, members meet one of them, then groups that links have joined meet by
+    one text each, as long as such rounds join many groups. At last all pairs of different groups are compared.
+    Pairs inside a group join nothing and are left out.
     """
     keyed = given.mapInArrow(_keyed(size, least, *_common(given, size)), "key long, id long, n long")
     shared = materialise(keyed.withColumn("k", F.count("*").over(Window.partitionBy("key"))).filter("k > 1"), "prefixes")
+    sketches = materialise(_of(given, shared.select("id")).mapInArrow(_sketched(size), "id long, n long, fp long, bits array<long>, wide binary"), "sketches")
     sparse, crowd = shared.filter(F.col("k") <= CROWD), shared.filter(F.col("k") > CROWD)
     x, y = (sparse.select("key", F.col("id").alias(i), F.col("n").alias(f"n{i}")) for i in "ab")
     pairs = x.join(y, "key").filter("a < b").filter(_sizes_fit("na", "nb", least)).select("a", "b")
-    if crowd.isEmpty():
-        return _met_links(given, pairs, size, least)
-    most = Window.partitionBy("id").orderBy(F.desc("k"), "key", "n")
-    first = materialise(crowd.withColumn("i", F.row_number().over(most)).filter(F.col("i") <= HUBS).drop("i", "k"), "crowds")
-    found, roots = None, None
-    for seed in range(ROUNDS):
-        now = _rooted(first, roots)
-        hubs = _open(now, F.min(F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "id", "n", "root")).alias("hub"))
-        meet = now.join(hubs, "key").filter("root <> hub.root").filter(_sizes_fit("n", "hub.n", least)).select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
-        linked = _met_links(given, pairs.unionByName(meet) if found is None else meet, size, least)
-        found = linked if found is None else found.unionByName(linked)
-        if seed and linked.isEmpty():
-            break
-        roots = materialise(connected_components(found), "roots")
-    now = _rooted(crowd.select("key", "id", "n"), roots)
-    left = materialise(now.join(_open(now), "key", "left_semi"), "open")
-    sets = _sets(given, left.select("id"), size)
-    sketched = left.join(sets.select("id", "n", "bits"), ["id", "n"])
-    x, y = (sketched.select("key", *(F.col(c).alias(f"{c}{i}") for c in ("id", "n", "root", "bits"))) for i in "ab")
-    may = _sizes_fit("na", "nb", least) & _bits_fit("bitsa", "bitsb", F.col("na") + F.col("nb"), least)
-    rest = materialise(_ordered(x.join(y, "key").filter(F.col("roota") < F.col("rootb")).filter(may).select(F.col("ida").alias("a"), F.col("idb").alias("b"))), "candidates")
-    found = found.unionByName(_links(sets, rest, least))
-    drop_table(sets)
-    return found
+    pairs = pairs.unionByName(_fingerprint_pairs(sketches)).unionByName(_first_meetings(crowd, least))
+    found = _links(given, sketches, pairs, size, least)
+    before = math.inf
+    for seed in itertools.count():
+        left = materialise(_open(crowd, materialise(connected_components(found), "roots")), "open")
+        sizes = left.groupBy("key", "root").agg(F.count("*").alias("m")).groupBy("key").agg(F.sum("m").alias("s"), F.sum(F.col("m") * F.col("m")).alias("q"))
+        rows, apart = sizes.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
+        if not rows:
+            return found
+        if apart <= FEW * rows or apart > LITTLE * before:
+            return found.unionByName(_links(given, sketches, _left_over(left, sketches, least), size, least))
+        before = apart
+        found = found.unionByName(_links(given, sketches, _group_meetings(left, seed, least), size, least))
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: float = 0.8) -> DataFrame:

@@ -9,8 +9,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: A worker keeps at most so many words with their ids.
-CACHED = 1_000_000
+#: A worker keeps the ids of at most twice so many words: when so many are new, those not met since the last time go.
+CACHED = 250_000
 #: A text is handled in pieces of about so many characters, cut at white space.
 PIECE = 1 << 20
 ASCII_SPACE = re.compile(r"[\t-\r ]+")
@@ -41,6 +41,7 @@ class WordEncoder:
         #: Tokens that stand for themselves in raw text, such as an end mark; the tokenizer finds them inside words too.
         self.specials = [t.content for t in self.plain.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.model = self.plain.model
         self.ends: dict[str, bytes] = {"": b""}
 
@@ -77,8 +78,17 @@ class WordEncoder:
             return b"".join(map(known.__getitem__, words))
         except KeyError:
             if len(known) > CACHED:
-                known.clear()
-            self._learn([w for w in set(words) if w not in known])
+                self.older, self.words = known, {}
+                known = self.words
+            older, fresh = self.older, []
+            for word in set(words):
+                if word in known:
+                    continue
+                if (ids := older.get(word)) is None:
+                    fresh.append(word)
+                else:
+                    known[word] = ids
+            self._learn(fresh)
             return b"".join(map(known.__getitem__, words))
 
     def id_bytes(self, text: str | None) -> bytes:
