@@ -64,12 +64,15 @@ def _released_shuffles(spark: SparkSession):
             spark.conf.set(key, before)
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: cuts the lineage, survives lost executors."""
+def materialise(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """Write df once to the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    Row groups are measured from the first row on, so that rows of any length stay near ROW_GROUP bytes together.
+    """
     spark = df.sparkSession
     path = shared_path(spark, label)
     with _released_shuffles(spark):
-        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).option("parquet.page.size.row.check.min", 1).parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

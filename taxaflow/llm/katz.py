@@ -26,6 +26,11 @@ CHUNK_TOKENS, CHUNK_DOCS = 400_000, 60_000
 #: Buckets of histories are modelled, and documents scored, in so many turns, each in one of them: what one turn sends is
 #: on disk at a time.
 TURNS = 3
+#: A partition holds so many buckets; a table has so many partitions at most. So what a task sorts is bounded by the
+#: buckets' size and not by the setting of shuffle partitions.
+IN_PARTITION, MOST_PARTITIONS = 2, 1 << 15
+#: The model's tables are kept with this codec: it needs no buffers outside the heap, and less disk.
+CODEC = "zstd"
 #: White space is in no word, so these two are no words.
 START, END = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b" start", b" end"))
 U8, U4 = np.dtype("<u8"), np.dtype("<u4")
@@ -50,20 +55,33 @@ def word_buckets(buckets: int) -> int:
     return max(1, buckets // 3)
 
 
+def _by_bucket(rows: DataFrame, buckets: int, *keys: str) -> DataFrame:
+    """rows with all of a bucket in one partition."""
+    return rows.repartition(min(MOST_PARTITIONS, -(-buckets // IN_PARTITION)), *keys)
+
+
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Buckets in the order of keys, so that a sorted array falls into slices."""
     return (((keys >> U8.type(32)) * U8.type(buckets)) >> U8.type(32)).astype(np.int64)
 
 
+def planes(numbers: np.ndarray) -> bytes:
+    """The eight bytes of each number apart: those of small numbers are zeros, which shuffles and tables compress."""
+    return np.ascontiguousarray(numbers.astype(U8).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def of_planes(blob: bytes) -> np.ndarray:
+    bytes_of = np.frombuffer(blob, np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(bytes_of.T).view(U8)[:, 0] if bytes_of.size else np.empty(0, U8)
+
+
 def packed(numbers: np.ndarray) -> bytes:
-    """Ascending numbers as differences, the eight bytes of each apart, which shuffles compress."""
-    steps = np.diff(numbers, prepend=U8.type(0))
-    return np.ascontiguousarray(steps.astype(U8).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Ascending numbers as planes of their differences."""
+    return planes(np.diff(numbers, prepend=U8.type(0)))
 
 
 def unpacked(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(blob, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(U8)[:, 0], dtype=U8) if planes.size else np.empty(0, U8)
+    return np.cumsum(of_planes(blob), dtype=U8)
 
 
 def slices(sorted_keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
@@ -147,6 +165,10 @@ def _unpacked(table: pa.Table, name: str) -> np.ndarray:
     return np.concatenate([np.empty(0, U8), *map(unpacked, _buffers(table, name))])
 
 
+def _planed(table: pa.Table, name: str) -> np.ndarray:
+    return np.concatenate([np.empty(0, U8), *map(of_planes, _buffers(table, name))])
+
+
 def _joined(table: pa.Table, name: str, kind: np.dtype) -> np.ndarray:
     return np.concatenate([np.empty(0, kind), *(np.frombuffer(x, kind) for x in _buffers(table, name))])
 
@@ -180,7 +202,7 @@ def _words_counted(buckets: int):  # noqa: ANN202
         for chunk in chunks(batches):
             w, n = np.unique(chunk.tokens[chunk.tokens != START], return_counts=True)
             n = n.astype(U8)
-            yield _batch([(b, None, packed(w[s]), n[s].tobytes()) for b, s in slices(w, buckets)], COUNTS)
+            yield _batch([(b, None, packed(w[s]), planes(n[s])) for b, s in slices(w, buckets)], COUNTS)
             release_memory()
 
     return counted
@@ -188,17 +210,17 @@ def _words_counted(buckets: int):  # noqa: ANN202
 
 def _merge_words(key: tuple, rows: pa.Table) -> pa.Table:
     """All counts of a bucket of words."""
-    w, n = _unpacked(rows, "w"), _joined(rows, "n", U8)
+    w, n = _unpacked(rows, "w"), _planed(rows, "n")
     order = np.argsort(w, kind="stable")
     (w,), n = _summed([w[order]], n[order])
-    out = [(WORD, key[0].as_py(), None, packed(w), None, n.tobytes(), None), (OTHER, -1, None, None, None, None, [int(n.sum()), len(w), *_classes(n)])]
+    out = [(WORD, key[0].as_py(), None, packed(w), None, planes(n), None), (OTHER, -1, None, None, None, None, [int(n.sum()), len(w), *_classes(n)])]
     return pa.Table.from_batches([_batch(out, MERGED)])
 
 
 def _common_words(total: int):  # noqa: ANN202
     def common(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            w, c = _unpacked(batch, "w"), _joined(batch, "c", U8)
+            w, c = _unpacked(batch, "w"), _planed(batch, "c")
             many = c * U8.type(HOTTEST) >= U8.type(total)
             yield pa.record_batch([pa.array(w[many].view(np.int64)), pa.array(c[many].astype(np.int64))], names=["w", "c"])
 
@@ -214,7 +236,7 @@ def _pairs_counted(buckets: int, hot: np.ndarray):  # noqa: ANN202
             of = _dealt(w, pair_key(h, w), hot, buckets)
             order = np.argsort(of, kind="stable")
             h, w, n, of = h[order], w[order], n[order].astype(U8), of[order]
-            yield _batch([(b, h[s].tobytes(), packed(w[s]), n[s].tobytes()) for b, s in _runs(of)], COUNTS)
+            yield _batch([(b, h[s].tobytes(), packed(w[s]), planes(n[s])) for b, s in _runs(of)], COUNTS)
             del h, w, n, order, of
             release_memory()
 
@@ -234,7 +256,7 @@ def _merge_pairs(buckets: int, k: Constants, hot: np.ndarray, hot_counts: np.nda
     common = np.sort(np.append(hot, START))
 
     def merged(key: tuple, rows: pa.Table) -> pa.Table:
-        h, n, w = _joined(rows, "h", U8), _joined(rows, "n", U8), _unpacked(rows, "w")
+        h, n, w = _joined(rows, "h", U8), _planed(rows, "n"), _unpacked(rows, "w")
         order = np.lexsort((h, w))
         (w, h), n = _summed([w[order], h[order]], n[order])
         words, total = _summed([w], n)
@@ -253,7 +275,7 @@ def _merge_pairs(buckets: int, k: Constants, hot: np.ndarray, hot_counts: np.nda
         of = _dealt(h, pair_key(h, w), common, buckets)
         order = np.lexsort((w, h, of))
         h, w, n, c, of = h[order], w[order], n[order], c[order], of[order]
-        out += [(PAIR, b, packed(h[s]), w[s].tobytes(), n[s].tobytes(), c[s].tobytes(), None) for b, s in _runs(of)]
+        out += [(PAIR, b, packed(h[s]), w[s].tobytes(), planes(n[s]), planes(c[s]), None) for b, s in _runs(of)]
         release_memory()
         return pa.Table.from_batches([_batch(out, MERGED)])
 
@@ -335,8 +357,9 @@ def _modelled(k: Constants, buckets: int, hot: Histories):  # noqa: ANN202
     def modelled(key: tuple, rows: pa.Table) -> pa.Table:
         kinds = rows["kind"].to_numpy()
         pairs, singles = rows.filter(pa.array(kinds == PAIR)), rows.filter(pa.array(kinds == WORD))
-        h, (w, n, c) = _unpacked(pairs, "h"), (_joined(pairs, x, U8) for x in ("w", "n", "c"))
-        words, counts = _unpacked(singles, "w"), _joined(singles, "c", U8)
+        h, w = _unpacked(pairs, "h"), _joined(pairs, "w", U8)
+        n, c = _planed(pairs, "n"), _planed(pairs, "c")
+        words, counts = _unpacked(singles, "w"), _planed(singles, "c")
         order = np.lexsort((w, h))
         h, w, n, c = h[order], w[order], n[order], c[order]
         found, rows_out = None, []
@@ -419,7 +442,8 @@ def fit(docs: DataFrame, text_col: str = "text", buckets: int | None = None) ->
     """
     given = docs.select(F.lit(0).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     buckets = buckets or bucket_count(docs, 2.5)
-    words = materialise(given.mapInArrow(_words_counted(buckets), COUNTS_DDL).groupBy("bucket").applyInArrow(_merge_words, MERGED_DDL), "words")
+    sent = _by_bucket(given.mapInArrow(_words_counted(buckets), COUNTS_DDL), buckets, "bucket")
+    words = materialise(sent.groupBy("bucket").applyInArrow(_merge_words, MERGED_DDL), "words", CODEC)
     singles = _total(words, K + 3)
     n_docs, total = docs.count(), singles[0]
     k = Constants.of([*singles, *[0] * (K + 1)], n_docs)
@@ -429,8 +453,8 @@ def fit(docs: DataFrame, text_col: str = "text", buckets: int | None = None) ->
     order = np.argsort(hot)
     hot, counts = hot[order], counts[order]
 
-    sent = given.mapInArrow(_pairs_counted(buckets, hot), COUNTS_DDL)
-    merged = materialise(sent.groupBy("bucket").applyInArrow(_merge_pairs(buckets, k, hot, counts), MERGED_DDL), "ngrams")
+    sent = _by_bucket(given.mapInArrow(_pairs_counted(buckets, hot), COUNTS_DDL), buckets, "bucket")
+    merged = materialise(sent.groupBy("bucket").applyInArrow(_merge_pairs(buckets, k, hot, counts), MERGED_DDL), "ngrams", CODEC)
     k = Constants.of([*singles, *_total(merged, K + 1)], n_docs)
     ddl = f"h long, {', '.join(f'r{i} long' for i in range(K + 1))}, lower double"
     parts = merged.filter(F.col("kind") == HOT).mapInArrow(_history_parts, ddl).groupBy("h").agg(*(F.sum(c).alias(c) for c in [*(f"r{i}" for i in range(K + 1)), "lower"]))
@@ -445,8 +469,8 @@ def fit(docs: DataFrame, text_col: str = "text", buckets: int | None = None) ->
     histories = Histories.of(keys, times, high, np.minimum(parts["lower"].to_numpy()[order], 1 - 1e-15))
 
     split = merged.filter(F.col("kind") == PAIR).unionByName(of_words).drop("sums")
-    turns = (split.filter(F.pmod("bucket", F.lit(TURNS)) == turn) for turn in range(TURNS))
-    tables = reduce(DataFrame.unionByName, (materialise(t.groupBy("bucket").applyInArrow(_modelled(k, buckets, histories), MODEL_DDL), "katz") for t in turns))
+    turns = (_by_bucket(split.filter(F.pmod("bucket", F.lit(TURNS)) == turn), -(-buckets // TURNS), "bucket") for turn in range(TURNS))
+    tables = reduce(DataFrame.unionByName, (materialise(t.groupBy("bucket").applyInArrow(_modelled(k, buckets, histories), MODEL_DDL), "katz", CODEC) for t in turns))
     drop_table(merged)
     drop_table(words)
     rows = tables.filter(F.col("kind") == HOT).select("keys", "value").toArrow()  # HOTTEST bigrams at most
@@ -572,7 +596,8 @@ def score(docs: DataFrame, model: KatzModel, id_col: str = "doc_id", text_col: s
     for turn in range(TURNS):
         now = given.filter(F.pmod(F.xxhash64("id", "text"), F.lit(TURNS)) == turn)
         asked = now.mapInArrow(_asked(model.buckets, model.constants, model.pairs, model.words), ASKED_DDL)
-        cogrouped = asked.groupBy("kind", "bucket").cogroup(tables.groupBy("kind", "bucket"))
+        asked, known = (_by_bucket(rows, model.buckets, "kind", "bucket") for rows in (asked, tables))
+        cogrouped = asked.groupBy("kind", "bucket").cogroup(known.groupBy("kind", "bucket"))
         answers = cogrouped.applyInArrow(_answered(model.constants), ASKED_DDL)
         found.append(materialise(answers.groupBy("chunk").applyInArrow(_finished(model.constants, model.start), ddl), "scores"))
     return reduce(DataFrame.unionByName, found)
