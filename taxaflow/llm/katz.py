@@ -26,9 +26,9 @@ CHUNK_TOKENS, CHUNK_DOCS = 400_000, 60_000
 #: Buckets of histories are modelled, and documents scored, in so many turns, each in one of them: what one turn sends is
 #: on disk at a time.
 TURNS = 3
-#: A partition holds so many buckets; a table has so many partitions at most. So what a task sorts is bounded by the
-#: buckets' size and not by the setting of shuffle partitions.
-IN_PARTITION, MOST_PARTITIONS = 2, 1 << 15
+#: A partition of bigrams is made of about so many training tokens, as they were counted; a table has so many partitions
+#: at most. So what a task sorts does not grow with the input where the setting of shuffle partitions stays.
+IN_PARTITION, MOST_PARTITIONS = 1_000_000, 1 << 15
 #: The model's tables are kept with this codec: it needs no buffers outside the heap, and less disk.
 CODEC = "zstd"
 #: White space is in no word, so these two are no words.
@@ -55,9 +55,10 @@ def word_buckets(buckets: int) -> int:
     return max(1, buckets // 3)
 
 
-def _by_bucket(rows: DataFrame, buckets: int, *keys: str) -> DataFrame:
-    """rows with all of a bucket in one partition."""
-    return rows.repartition(min(MOST_PARTITIONS, -(-buckets // IN_PARTITION)), *keys)
+def _by_bucket(rows: DataFrame, tokens: int, *keys: str) -> DataFrame:
+    """rows with all of a bucket in one partition; never fewer partitions than the session's setting."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(least, min(MOST_PARTITIONS, -(-tokens // IN_PARTITION))), *keys)
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -442,7 +443,7 @@ def fit(docs: DataFrame, text_col: str = "text", buckets: int | None = None) ->
     """
     given = docs.select(F.lit(0).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     buckets = buckets or bucket_count(docs, 2.5)
-    sent = _by_bucket(given.mapInArrow(_words_counted(buckets), COUNTS_DDL), buckets, "bucket")
+    sent = given.mapInArrow(_words_counted(buckets), COUNTS_DDL)
     words = materialise(sent.groupBy("bucket").applyInArrow(_merge_words, MERGED_DDL), "words", CODEC)
     singles = _total(words, K + 3)
     n_docs, total = docs.count(), singles[0]
@@ -453,7 +454,7 @@ def fit(docs: DataFrame, text_col: str = "text", buckets: int | None = None) ->
     order = np.argsort(hot)
     hot, counts = hot[order], counts[order]
 
-    sent = _by_bucket(given.mapInArrow(_pairs_counted(buckets, hot), COUNTS_DDL), buckets, "bucket")
+    sent = _by_bucket(given.mapInArrow(_pairs_counted(buckets, hot), COUNTS_DDL), total, "bucket")
     merged = materialise(sent.groupBy("bucket").applyInArrow(_merge_pairs(buckets, k, hot, counts), MERGED_DDL), "ngrams", CODEC)
     k = Constants.of([*singles, *_total(merged, K + 1)], n_docs)
     ddl = f"h long, {', '.join(f'r{i} long' for i in range(K + 1))}, lower double"
@@ -469,7 +470,7 @@ def fit(docs: DataFrame, text_col: str = "text", buckets: int | None = None) ->
     histories = Histories.of(keys, times, high, np.minimum(parts["lower"].to_numpy()[order], 1 - 1e-15))
 
     split = merged.filter(F.col("kind") == PAIR).unionByName(of_words).drop("sums")
-    turns = (_by_bucket(split.filter(F.pmod("bucket", F.lit(TURNS)) == turn), -(-buckets // TURNS), "bucket") for turn in range(TURNS))
+    turns = (_by_bucket(split.filter(F.pmod("bucket", F.lit(TURNS)) == turn), total // TURNS, "bucket") for turn in range(TURNS))
     tables = reduce(DataFrame.unionByName, (materialise(t.groupBy("bucket").applyInArrow(_modelled(k, buckets, histories), MODEL_DDL), "katz", CODEC) for t in turns))
     drop_table(merged)
     drop_table(words)
@@ -596,7 +597,7 @@ def score(docs: DataFrame, model: KatzModel, id_col: str = "doc_id", text_col: s
     for turn in range(TURNS):
         now = given.filter(F.pmod(F.xxhash64("id", "text"), F.lit(TURNS)) == turn)
         asked = now.mapInArrow(_asked(model.buckets, model.constants, model.pairs, model.words), ASKED_DDL)
-        asked, known = (_by_bucket(rows, model.buckets, "kind", "bucket") for rows in (asked, tables))
+        asked, known = (_by_bucket(rows, model.constants.total // TURNS, "kind", "bucket") for rows in (asked, tables))
         cogrouped = asked.groupBy("kind", "bucket").cogroup(known.groupBy("kind", "bucket"))
         answers = cogrouped.applyInArrow(_answered(model.constants), ASKED_DDL)
         found.append(materialise(answers.groupBy("chunk").applyInArrow(_finished(model.constants, model.start), ddl), "scores"))
