@@ -4,6 +4,7 @@ from taxaflow.llm import (
     queries_decontaminate,
     queries_katz,
     queries_lengths,
+    queries_lines,
     queries_packing,
     queries_quality,
     queries_recipes,
@@ -15,7 +16,7 @@ from taxaflow.llm import (
 
 _MODULES = (
     queries_simhash, queries_packing, queries_wrapper, queries_warc, queries_lengths, queries_decontaminate, queries_quality, queries_katz,
-    queries_recipes, queries_sharding,
+    queries_recipes, queries_sharding, queries_lines,
 )
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}
