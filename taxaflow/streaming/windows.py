@@ -24,7 +24,8 @@ def distinct_events(stream: DataFrame, ts: str, keys: Sequence[str], late: str =
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
 
 
-def _folder(spark: SparkSession, label: str) -> str:
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new path under spark.checkpoint.dir, the folder that driver and executors share; in tests it can be unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
@@ -38,11 +39,11 @@ def run_available(spark: SparkSession, stream: DataFrame, mode: str = "append",
 
     With a checkpoint of an earlier run, only what came since is processed.
     """
-    writer = stream.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", checkpoint or _folder(spark, "checkpoint"))
+    writer = stream.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", checkpoint or shared_folder(spark, "checkpoint"))
     if sink:
         writer.foreachBatch(sink).start().awaitTermination()
         return None
-    path = _folder(spark, "out")
+    path = shared_folder(spark, "out")
     if mode == "complete":
         writer.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(path)).start().awaitTermination()
     else:
