@@ -27,33 +27,108 @@ def iou(a: Column, b: Column) -> Column:
     return inter / F.greatest(area(a) + area(b) - inter, F.lit(1e-9))
 
 
+def _placed(df: DataFrame, corners: tuple[Column, Column, Column, Column]) -> DataFrame:
+    """Rows with an area, and _level: the power of two that the longer side does not exceed, 0 at least.
+
+    Null, infinite, not-a-number and crossing coordinates have no area.
+    """
+    x1, y1, x2, y2 = corners
+    finite = F.lit(True)
+    for c in corners:
+        finite = finite & (F.abs(c) < 1e15)
+    level = F.greatest(F.ceil(F.log2(F.greatest(x2 - x1, y2 - y1))), F.lit(0)).cast("int")
+    return df.filter(finite & (x2 > x1) & (y2 > y1)).withColumn("_level", level)
+
+
+def _cell(c: Column, level: Column) -> Column:
+    return F.floor(c / F.pow(F.lit(2.0), level)).cast("long")
+
+
+def _cells(corners: tuple[Column, Column, Column, Column], level: Column) -> Column:
+    """The cells of a level's grid that a box touches, as structs (cx, cy); at its own level or above, four at most."""
+    x1, y1, x2, y2 = corners
+    ys = F.sequence(_cell(y1, level), _cell(y2, level))
+    return F.flatten(F.transform(F.sequence(_cell(x1, level), _cell(x2, level)), lambda cx: F.transform(ys, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
+
+
+def _in_cells(df: DataFrame, box: str) -> DataFrame:
+    """A row for each cell (_cx, _cy) that a box touches at the level _at."""
+    each = df.withColumn("_cell", F.explode(_cells(_corners(box), F.col("_at"))))
+    return each.withColumns({"_cx": F.col("_cell.cx"), "_cy": F.col("_cell.cy")}).drop("_cell")
+
+
+def _corners(box: str) -> tuple[Column, Column, Column, Column]:
+    return tuple(F.col(f"{box}.{n}").cast("double") for n in BOX)
+
+
+def _levels(df: DataFrame) -> DataFrame:
+    """One row: the levels that df's rows have, some fifty at most."""
+    return df.agg(F.collect_set("_level").alias("_levels"))
+
+
+def _dealt(df: DataFrame, box: str, levels: DataFrame) -> DataFrame:
+    """A row for each cell that a box touches at its own level and at those of levels above it: _at, _home, _cx and _cy.
+
+    A box is at home at its own level and a visitor above it.
+    """
+    there = df.crossJoin(F.broadcast(levels))
+    own = F.col("_level")
+    each = there.withColumn("_at", F.explode(F.array_union(F.array(own), F.filter("_levels", lambda v: v > own)))).drop("_levels")
+    return _in_cells(each.withColumn("_home", F.col("_at") == own), box)
+
+
+def overlaps(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """(on, l_id, r_id, l_box, r_box) of all boxes (id, box) that share an image and overlap.
+
+    Boxes meet in cells of grids, one for each power of two, at the level of the larger of the two: each is dealt to the
+    cells that it touches at its own level and at the other side's levels above, four cells a level at most. So an image
+    of any number of boxes is many keys, and candidates follow the overlaps, whatever mix of sizes there is. A pair that
+    meets in several cells counts in the one that has the intersection's lower corner. Boxes without an area, or with
+    coordinates that are null or not finite, overlap nothing; rows of a null image do not meet.
+    """
+    a = _placed(left.select(on, F.col("id").alias("l_id"), F.col("box").alias("l_box")), _corners("l_box"))
+    b = _placed(right.select(on, F.col("id").alias("r_id"), F.col("box").alias("r_box")), _corners("r_box"))
+    a, b = _dealt(a, "l_box", _levels(b)), _dealt(b, "r_box", _levels(a))
+    # side 0: a box of the left at home meets all of the right; side 1: a visitor of the left meets those at home
+    a = a.withColumn("_side", F.when(F.col("_home"), 0).otherwise(1)).drop("_level", "_home")
+    b = b.withColumn("_side", F.explode(F.when(F.col("_home"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("_level", "_home")
+    met = a.join(b, [on, "_at", "_cx", "_cy", "_side"])
+    (ax1, ay1, ax2, ay2), (bx1, by1, bx2, by2) = _corners("l_box"), _corners("r_box")
+    x, y = F.greatest(ax1, bx1), F.greatest(ay1, by1)
+    here = (F.col("_cx") == _cell(x, F.col("_at"))) & (F.col("_cy") == _cell(y, F.col("_at")))
+    return met.filter((F.least(ax2, bx2) > x) & (F.least(ay2, by2) > y) & here).select(on, "l_id", "r_id", "l_box", "r_box")
+
+
 def iou_pairs(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-    """(on, l_id, r_id, iou) of all boxes (id, box) that share an image and overlap."""
-    a = left.select(on, F.col("id").alias("l_id"), F.col("box").alias("_a"))
-    b = right.select(on, F.col("id").alias("r_id"), F.col("box").alias("_b"))
-    touch = (F.least("_a.x2", "_b.x2") > F.greatest("_a.x1", "_b.x1")) & (F.least("_a.y2", "_b.y2") > F.greatest("_a.y1", "_b.y1"))
-    return a.join(b, on).filter(touch).select(on, "l_id", "r_id", iou(F.col("_a"), F.col("_b")).alias("iou"))
+    """(on, l_id, r_id, iou) of all boxes (id, box) that share an image and overlap; see overlaps()."""
+    return overlaps(left, right, on).select(on, "l_id", "r_id", iou(F.col("l_box"), F.col("r_box")).alias("iou"))
 
 
 def suppressed(df: DataFrame, group: str, most_iou: float = 0.5, most_inside: float = 0.8) -> DataFrame:
     """(group, kept): boxes left by greedy suppression, the best score first.
 
     A box goes if its overlap with a kept one is above most_iou, or above most_inside of its own area. Input rows
-    are (group, id, score, box); ties of scores go to the smaller id. A group is one image's boxes.
-    """
-    item = F.struct((-F.col("score")).alias("rank"), F.col("id"), F.col("score"), F.col("box"))
-    boxes = F.array_sort(F.collect_list(item))
-    grouped = df.groupBy(group).agg(boxes.alias("_all"))
-
-    def step(kept: Column, x: Column) -> Column:
-        covers = lambda k: (iou(k["box"], x["box"]) > most_iou) | (
-            intersection(k["box"], x["box"]) > most_inside * F.greatest(area(x["box"]), F.lit(1e-9))
-        )
-        return F.when(F.exists(kept, covers), kept).otherwise(F.array_append(kept, x))
+    are (group, id, score, box); ties of scores go to the smaller id, and ids are unique in a group.
 
-    kind = grouped.schema["_all"].dataType
-    kept = F.aggregate("_all", F.array().cast(kind), step)
-    return grouped.select(group, F.transform(kept, lambda k: F.struct(k["id"].alias("id"), k["score"].alias("score"), k["box"].alias("box"))).alias("kept"))
+    Which better boxes would suppress a box is found by the grid join of overlaps(). Boxes that none would suppress stay.
+    Only of the others an image's ids are brought together, in the order of their scores: one goes if not all that would
+    suppress it have gone.
+    """
+    of = F.struct(F.col(group)).alias("_group")  # a null group is a group
+    ranked = df.select(of, "id", F.struct(*[F.col(f"box.{n}").alias(n) for n in BOX], "score").alias("box"))
+    pairs = overlaps(ranked, ranked, "_group")
+    a, b = F.col("l_box"), F.col("r_box")
+    better = (a["score"] > b["score"]) | ((a["score"] == b["score"]) & (F.col("l_id") < F.col("r_id")))
+    covers = (iou(a, b) > most_iou) | (intersection(a, b) > most_inside * F.greatest(area(b), F.lit(1e-9)))
+    threatened = pairs.filter(better & covers).groupBy("_group", "r_id").agg(F.collect_list("l_id").alias("by"), F.any_value("r_box.score").alias("score"))
+    in_order = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("rank"), F.col("r_id").alias("id"), "by")))
+    all_gone = lambda gone, x: F.size(F.array_except(x["by"], gone)) == 0
+    step = lambda gone, x: F.when(all_gone(gone, x), gone).otherwise(F.array_append(gone, x["id"]))
+    none = F.array().cast(f"array<{df.schema['id'].dataType.simpleString()}>")
+    gone = threatened.groupBy("_group").agg(in_order.alias("_all")).select("_group", F.explode(F.aggregate("_all", none, step)).alias("id"))
+    left = df.withColumn("_group", of).join(gone, ["_group", "id"], "left_anti")
+    kept = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("rank"), "id", "score", "box")))
+    return left.groupBy(group).agg(F.transform(kept, lambda k: F.struct(k["id"].alias("id"), k["score"].alias("score"), k["box"].alias("box"))).alias("kept"))
 
 
 def matched(detections: DataFrame, truth: DataFrame, on: str, least: float = 0.5) -> DataFrame:
@@ -62,10 +137,9 @@ def matched(detections: DataFrame, truth: DataFrame, on: str, least: float = 0.5
     A detection only claims the truth box that it overlaps most (ties: the smaller id), so counting distinct
     claimed boxes is the greedy one-to-one match, in any order. Images without overlaps are absent.
     """
-    pairs = iou_pairs(detections, truth, on)
-    nth = F.row_number().over(Window.partitionBy(on, "l_id").orderBy(F.desc("iou"), "r_id"))
-    best = pairs.withColumn("_nth", nth).filter((F.col("_nth") == 1) & (F.col("iou") >= least))
-    return best.groupBy(on).agg(F.countDistinct("r_id").alias("tp"))
+    best = iou_pairs(detections, truth, on).groupBy(on, "l_id").agg(F.min(F.struct((-F.col("iou")).alias("rank"), "r_id")).alias("_best"))
+    claimed = best.filter(F.col("_best.rank") <= -least).select(on, "_best.r_id").distinct()
+    return claimed.groupBy(on).agg(F.count("*").alias("tp"))
 
 
 def tiles(df: DataFrame, width: str, height: str, tile: int, overlap: float = 0.25) -> DataFrame:
@@ -138,12 +212,18 @@ def best_box(df: DataFrame, on: str, width: str, height: str, weight: float = 0.
 def smallest_containing(points: DataFrame, boxes: DataFrame, on: str) -> DataFrame:
     """points (on, p_id, x, y) with box_id: the smallest box (on, id, box) that contains the point; ties: the smaller id.
 
-    Points without coordinates or outside all boxes keep a null box_id.
+    A box is dealt to the cells that it touches at its own level (see iou_pairs), and a point to its one cell at each
+    level that boxes have, so each pair meets once. Points without finite coordinates or outside all boxes keep a null
+    box_id; boxes without an area contain nothing.
     """
     b = boxes.select(on, F.col("id").alias("box_id"), F.col("box").alias("_b"), area(F.col("box")).alias("_area"))
+    b = _placed(b, _corners("_b"))
+    at = _in_cells(b.withColumnRenamed("_level", "_at"), "_b")
     x, y = F.col("x"), F.col("y")
+    p = points.select(on, "p_id", "x", "y").filter((F.abs(x) < 1e15) & (F.abs(y) < 1e15)).crossJoin(F.broadcast(_levels(b)))
+    p = p.withColumn("_at", F.explode("_levels")).withColumns({"_cx": _cell(x, F.col("_at")), "_cy": _cell(y, F.col("_at"))}).drop("_levels")
     inside = (x >= F.col("_b.x1")) & (x <= F.col("_b.x2")) & (y >= F.col("_b.y1")) & (y <= F.col("_b.y2"))
-    found = points.join(b, on).filter(inside).groupBy("p_id").agg(F.min(F.struct("_area", "box_id")).alias("_m"))
+    found = p.join(at, [on, "_at", "_cx", "_cy"]).filter(inside).groupBy("p_id").agg(F.min(F.struct("_area", "box_id")).alias("_m"))
     return points.join(found.select("p_id", F.col("_m.box_id").alias("box_id")), "p_id", "left")
 
 

@@ -88,18 +88,24 @@ def padding_and_prompts(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", text.padded(k.cast("string"), 3).alias("padded"), parts.alias("prompt"))
 
 
-_DET = """SELECT o_custkey % 300 AS image, o_orderkey AS id, o_totalprice / 1000 AS score, (o_orderkey * 37 % 101)::DOUBLE AS x1, (o_orderkey * 53 % 103)::DOUBLE AS y1,
-(o_orderkey * 37 % 101 + 20 + o_orderkey % 30)::DOUBLE AS x2, (o_orderkey * 53 % 103 + 20 + o_orderkey % 25)::DOUBLE AS y2 FROM orders WHERE o_orderkey % 2 = {}"""
+#: Boxes of orders: an image has those of 50 customers, so images grow with the table. One box in 40 is ten times as large.
+_DET = """SELECT o_custkey // 50 AS image, o_orderkey AS id, o_totalprice / 1000 AS score, (o_orderkey * 37 % 601)::DOUBLE AS x1, (o_orderkey * 53 % 607)::DOUBLE AS y1,
+(o_orderkey * 37 % 601 + (20 + o_orderkey % 30) * CASE WHEN o_orderkey % 40 = 7 THEN 10 ELSE 1 END)::DOUBLE AS x2,
+(o_orderkey * 53 % 607 + (20 + o_orderkey % 25) * CASE WHEN o_orderkey % 40 = 7 THEN 10 ELSE 1 END)::DOUBLE AS y2 FROM orders{}"""
+_ALL, _EVEN, _ODD = _DET.format(""), _DET.format(" WHERE o_orderkey % 2 = 0"), _DET.format(" WHERE o_orderkey % 2 = 1")
 _IOU = """(greatest(least(a.x2, b.x2) - greatest(a.x1, b.x1), 0) * greatest(least(a.y2, b.y2) - greatest(a.y1, b.y1), 0)) AS inter"""
-_PAIRS = f"""d AS ({_DET.format(0)}), g AS ({_DET.format(1)}), x AS (SELECT a.image, a.id AS l_id, b.id AS r_id, {_IOU}, (a.x2 - a.x1) * (a.y2 - a.y1) AS area_a, (b.x2 - b.x1) * (b.y2 - b.y1) AS area_b
+_PAIRS = f"""d AS ({_EVEN}), g AS ({_ODD}), x AS (SELECT a.image, a.id AS l_id, b.id AS r_id, {_IOU}, (a.x2 - a.x1) * (a.y2 - a.y1) AS area_a, (b.x2 - b.x1) * (b.y2 - b.y1) AS area_b
 FROM d a JOIN g b ON a.image = b.image), p AS (SELECT image, l_id, r_id, inter / greatest(area_a + area_b - inter, 1e-9) AS iou FROM x WHERE inter > 0)"""
 
 
-def _boxes(t: Tables, odd: int) -> DataFrame:
+def _boxes(t: Tables, odd: int | None = None) -> DataFrame:
+    """The boxes of all orders, or one side of two: those of even or of odd orders."""
     k = F.col("o_orderkey")
-    x1, y1 = (k * 37 % 101).cast("double"), (k * 53 % 103).cast("double")
-    box = F.struct(x1.alias("x1"), y1.alias("y1"), (x1 + 20 + k % 30).alias("x2"), (y1 + 20 + k % 25).alias("y2"))
-    return t.orders.filter(k % 2 == odd).select((F.col("o_custkey") % 300).alias("image"), k.alias("id"), (F.col("o_totalprice") / 1000).alias("score"), box.alias("box"))
+    x1, y1 = (k * 37 % 601).cast("double"), (k * 53 % 607).cast("double")
+    times = F.when(k % 40 == 7, 10).otherwise(1)
+    box = F.struct(x1.alias("x1"), y1.alias("y1"), (x1 + (20 + k % 30) * times).alias("x2"), (y1 + (20 + k % 25) * times).alias("y2"))
+    rows = t.orders if odd is None else t.orders.filter(k % 2 == odd)
+    return rows.select(F.floor(F.col("o_custkey") / 50).alias("image"), k.alias("id"), (F.col("o_totalprice") / 1000).alias("score"), box.alias("box"))
 
 
 @query(f"WITH {_PAIRS} SELECT image, l_id, r_id, round(iou, 9) AS iou FROM p")
@@ -112,7 +118,7 @@ def box_match_tp(t: Tables) -> DataFrame:
     return boxes.matched(_boxes(t, 0), _boxes(t, 1), "image")
 
 
-@query(f"""WITH RECURSIVE d AS ({_DET.format(0)}), r AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, id) AS n FROM d),
+@query(f"""WITH RECURSIVE d AS ({_ALL}), r AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, id) AS n FROM d),
 k AS (SELECT image, 0 AS n, []::STRUCT(id BIGINT, x1 DOUBLE, y1 DOUBLE, x2 DOUBLE, y2 DOUBLE)[] AS kept FROM (SELECT DISTINCT image FROM d)
 UNION ALL SELECT r.image, r.n, CASE WHEN len(list_filter(k.kept, lambda b: (greatest(least(b.x2, r.x2) - greatest(b.x1, r.x1), 0) * greatest(least(b.y2, r.y2) - greatest(b.y1, r.y1), 0)) /
 greatest((b.x2 - b.x1) * (b.y2 - b.y1) + (r.x2 - r.x1) * (r.y2 - r.y1) - greatest(least(b.x2, r.x2) - greatest(b.x1, r.x1), 0) * greatest(least(b.y2, r.y2) - greatest(b.y1, r.y1), 0), 1e-9) > 0.5
@@ -120,7 +126,7 @@ OR greatest(least(b.x2, r.x2) - greatest(b.x1, r.x1), 0) * greatest(least(b.y2,
 THEN k.kept ELSE list_append(k.kept, {{'id': r.id, 'x1': r.x1, 'y1': r.y1, 'x2': r.x2, 'y2': r.y2}}) END FROM k JOIN r ON r.image = k.image AND r.n = k.n + 1)
 SELECT image, unnest(kept).id AS id FROM k QUALIFY n = max(n) OVER (PARTITION BY image)""")
 def nms_greedy(t: Tables) -> DataFrame:
-    kept = boxes.suppressed(_boxes(t, 0), "image")
+    kept = boxes.suppressed(_boxes(t), "image")
     return kept.select("image", F.explode("kept").alias("k")).select("image", "k.id")
 
 
@@ -134,43 +140,43 @@ def tile_grid(t: Tables) -> DataFrame:
     return boxes.tiles(sizes, "w", "h", 1000).select("o_orderkey", "x1", "y1", "x2", "y2")
 
 
-@query(f"""WITH d AS ({_DET.format(0)}) SELECT id, CAST(greatest(floor(x1 - 0.5 * (x2 - x1)), 0) AS INT) AS x1, CAST(greatest(floor(y1 - 0.5 * (y2 - y1)), 0) AS INT) AS y1,
+@query(f"""WITH d AS ({_ALL}) SELECT id, CAST(greatest(floor(x1 - 0.5 * (x2 - x1)), 0) AS INT) AS x1, CAST(greatest(floor(y1 - 0.5 * (y2 - y1)), 0) AS INT) AS y1,
 CAST(least(ceil(x2 + 0.5 * (x2 - x1)), 120) AS INT) AS x2, CAST(least(ceil(y2 + 0.5 * (y2 - y1)), 110) AS INT) AS y2 FROM d""")
 def crop_windows(t: Tables) -> DataFrame:
     window = boxes.crop_window(F.col("box"), F.lit(120), F.lit(110), 0.5)
-    return _boxes(t, 0).select("id", window.alias("w")).select("id", "w.*")
+    return _boxes(t).select("id", window.alias("w")).select("id", "w.*")
 
 
-@query(f"""WITH d AS ({_DET.format(0)}), p AS (SELECT event_id AS p_id, user_id % 300 AS image, CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS x, (event_id % 120) + 0.5 AS y FROM events)
+@query(f"""WITH d AS ({_ALL}), p AS (SELECT event_id AS p_id, user_id // 5 AS image, CASE WHEN event_id % 9 = 0 THEN NULL ELSE value * 2 END AS x, (event_id % 620) + 0.5 AS y FROM events)
 SELECT p_id, p.image, (SELECT id FROM d WHERE d.image = p.image AND x BETWEEN x1 AND x2 AND y BETWEEN y1 AND y2 ORDER BY (x2 - x1) * (y2 - y1), id LIMIT 1) AS box_id FROM p""")
 def point_in_box_smallest(t: Tables) -> DataFrame:
     e = F.col("event_id")
-    points = t.events.select(e.alias("p_id"), (F.col("user_id") % 300).alias("image"), F.when(e % 9 != 0, F.col("value")).alias("x"), (e % 120 + 0.5).alias("y"))
-    return boxes.smallest_containing(points, _boxes(t, 0), "image").select("p_id", "image", "box_id")
+    points = t.events.select(e.alias("p_id"), F.floor(F.col("user_id") / 5).alias("image"), F.when(e % 9 != 0, F.col("value") * 2).alias("x"), (e % 620 + 0.5).alias("y"))
+    return boxes.smallest_containing(points, _boxes(t), "image").select("p_id", "image", "box_id")
 
 
-@query(f"""WITH d AS ({_DET.format(0)}) SELECT image, arg_max(id, score / 500 + 0.1 * (x2 - x1) * (y2 - y1) / 10000) AS id FROM d GROUP BY 1""")
+@query(f"""WITH d AS ({_ALL}) SELECT image, arg_max(id, score / 500 + 0.1 * (x2 - x1) * (y2 - y1) / 10000) AS id FROM d GROUP BY 1""")
 def best_box_per_image(t: Tables) -> DataFrame:
-    rows = _boxes(t, 0).withColumns({"w": F.lit(100.0), "h": F.lit(100.0), "score": F.col("score") / 500})
+    rows = _boxes(t).withColumns({"w": F.lit(100.0), "h": F.lit(100.0), "score": F.col("score") / 500})
     return boxes.best_box(rows, "image", "w", "h").select("image", F.col("best.id").alias("id"))
 
 
-@query(f"""WITH d AS ({_DET.format(0)}), g AS ({_DET.format(1)}), a AS (SELECT image, count(*) AS n_whole FROM d GROUP BY 1), b AS (SELECT image, count(*) AS n_tiled FROM g GROUP BY 1)
+@query(f"""WITH d AS ({_EVEN}), g AS ({_ODD}), a AS (SELECT image, count(*) AS n_whole FROM d GROUP BY 1), b AS (SELECT image, count(*) AS n_tiled FROM g GROUP BY 1)
 SELECT image, coalesce(n_whole, 0) AS n_whole, coalesce(n_tiled, 0) AS n_tiled, CASE WHEN coalesce(n_tiled, 0) >= 1.25 * coalesce(n_whole, 0) + 3 THEN 'tiles' ELSE 'whole' END AS source FROM a FULL JOIN b USING (image)""")
 def tile_arbitration(t: Tables) -> DataFrame:
     return boxes.arbitrated(_boxes(t, 0), _boxes(t, 1), "image")
 
 
-@query(f"""WITH d AS ({_DET.format(0)}) SELECT id FROM d WHERE (x2 - x1) * (y2 - y1) / 22500 > 0.03 AND (x2 - x1) * (y2 - y1) / 22500 < 0.2 AND (y1 + y2) / 2 < 0.72 * 150""")
+@query(f"""WITH d AS ({_ALL}) SELECT id FROM d WHERE (x2 - x1) * (y2 - y1) / 22500 > 0.03 AND (x2 - x1) * (y2 - y1) / 22500 < 0.2 AND (y1 + y2) / 2 < 0.72 * 150""")
 def box_filters(t: Tables) -> DataFrame:
-    rows = _boxes(t, 0).withColumns({"w": F.lit(150.0), "h": F.lit(150.0)})
+    rows = _boxes(t).withColumns({"w": F.lit(150.0), "h": F.lit(150.0)})
     return boxes.sized(rows, "box", "w", "h", least=0.03, most=0.2, lowest_centre=0.72).select("id")
 
 
-@query(f"""WITH d AS ({_DET.format(0)}) SELECT id, x1 + 1000 AS x1, y1 AS y1, x2 + 1000 AS x2, y2 AS y2 FROM d WHERE NOT (x1 <= 3 OR x2 >= 97)""")
+@query(f"""WITH d AS ({_ALL}) SELECT id, x1 + 1000 AS x1, y1 AS y1, x2 + 1000 AS x2, y2 AS y2 FROM d WHERE NOT (x1 <= 3 OR x2 >= 97)""")
 def tile_edge_cut(t: Tables) -> DataFrame:
     tile = F.struct(F.lit(1000).alias("x1"), F.lit(0).alias("y1"), F.lit(1100).alias("x2"), F.lit(150).alias("y2"))
-    rows = _boxes(t, 0).withColumns({"tile": tile, "w": F.lit(2000), "h": F.lit(150)})
+    rows = _boxes(t).withColumns({"tile": tile, "w": F.lit(2000), "h": F.lit(150)})
     return boxes.within_tile(rows, "box", "tile", "w", "h").select("id", "box.*")
 
 
