@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from taxaflow.operators import quantiles
+
 
 def present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Those of the columns that exist, in the order asked for."""
@@ -75,8 +77,8 @@ def fixed_annotation_frame(df: DataFrame, groups: Sequence[str], measured: str,
     The factor is the group's median of measured / annotated scale where that is off by more than the tolerance,
     and 1 otherwise; coordinates are multiplied by it. Groups that are off, or without a median, are not ok.
     """
-    median = F.median(F.try_divide(F.col(measured), F.col(annotated)))
-    joined = df.join(df.groupBy(*groups).agg(median.alias("_median")), list(groups), "left")
+    medians = quantiles.exact_quantiles(df, groups, F.try_divide(F.col(measured), F.col(annotated)), {"_median": 0.5})
+    joined = df.join(medians, list(groups), "left")
     off = F.coalesce(F.abs(F.col("_median") - 1) > tolerance, F.lit(False))
     factor = F.when(off, F.col("_median")).otherwise(F.lit(1.0))
     moved = {c: F.col(c) * factor for c in coords}

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from taxaflow.operators import quantiles
 from taxaflow.operators.selection import first_by
 
 
@@ -47,35 +48,55 @@ def funnel(df: DataFrame, steps: Mapping[str, Column]) -> DataFrame:
     return wide.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def agreement(truth: Column, measured: Column) -> dict[str, Column]:
-    """Agreement of two measurements as aggregates.
-
-    Pairs need both values and a truth above zero; with fewer than 3 only n has a value. n_both counts pairs
-    with any truth.
-    """
+def _pairs(truth: Column, measured: Column) -> tuple[Column, Column, Column]:
+    """The truth and the measurement of usable pairs, null in others, and whether both are there."""
     both = truth.isNotNull() & measured.isNotNull()
     ok = both & (truth > 0)
-    t, m = F.when(ok, truth.cast("double")), F.when(ok, measured.cast("double"))
-    n = F.count_if(ok)
-    off = F.abs(m - t) / t
+    return F.when(ok, truth.cast("double")), F.when(ok, measured.cast("double")), both
+
+
+def _moments(t: Column, m: Column, both: Column) -> dict[str, Column]:
+    """The statistics of agreement that partial aggregates give; the median of deviations is not among them."""
+    n = F.count(t)
     stats = {
-        "bias": F.avg(m - t), "mae": F.avg(F.abs(m - t)), "median_abs_pct": F.median(off) * 100,
-        "within_10pct": F.avg((off <= 0.1).cast("double")), "pearson_r": F.corr(m, t), "slope": F.regr_slope(m, t),
+        "bias": F.avg(m - t), "mae": F.avg(F.abs(m - t)), "within_10pct": F.avg((F.abs(m - t) / t <= 0.1).cast("double")),
+        "pearson_r": F.corr(m, t), "slope": F.regr_slope(m, t),
     }
     return {"n": n, "n_both": F.count_if(both)} | {k: F.when(n >= 3, v) for k, v in stats.items()}
 
 
+def agreement(truth: Column, measured: Column) -> dict[str, Column]:
+    """Agreement of two measurements as aggregates, for groups whose values fit a task; agreement_by() has no such limit.
+
+    Pairs need both values and a truth above zero; with fewer than 3 only n has a value. n_both counts pairs
+    with any truth.
+    """
+    t, m, both = _pairs(truth, measured)
+    median = F.when(F.count(t) >= 3, F.median(F.abs(m - t) / t) * 100)
+    return _moments(t, m, both) | {"median_abs_pct": median}
+
+
+def agreement_by(df: DataFrame, groups: Sequence[str], truth: Column, measured: Column) -> DataFrame:
+    """(groups, the statistics of agreement()) for groups of any size: medians are exact quantiles by counted values."""
+    t, m, both = _pairs(truth, measured)
+    rows = df.select(*groups, t.alias("_t"), m.alias("_m"), both.alias("_both"))
+    stats = rows.groupBy(*groups).agg(*[c.alias(k) for k, c in _moments(F.col("_t"), F.col("_m"), F.col("_both")).items()])
+    medians = quantiles.exact_quantiles(rows, groups, F.abs(F.col("_m") - F.col("_t")) / F.col("_t"), {"median_abs_pct": 0.5})
+    return quantiles.with_quantiles(stats, medians, groups).withColumn("median_abs_pct", F.when(F.col("n") >= 3, F.col("median_abs_pct") * 100))
+
+
 def agreement_long(df: DataFrame, subsets: Mapping[str, Column], pairs: Mapping[str, tuple[str, str]], stats: Sequence[str] = ("bias", "mae", "median_abs_pct")) -> DataFrame:
-    """(subset, pair, metric, value, n): one pass with conditional aggregates, then unpivoted."""
-    aggs, rows = [], []
-    for s, condition in subsets.items():
-        for p, (truth, measured) in pairs.items():
-            kept = F.coalesce(condition, F.lit(False))
-            found = agreement(F.when(kept, F.col(truth)), F.when(kept, F.col(measured)))
-            at = f"{len(aggs)}"
-            aggs.append(F.struct(*[found[k].cast("double").alias(k) for k in stats], found["n_both"].alias("n")).alias(at))
-            rows += [F.struct(F.lit(s).alias("subset"), F.lit(p).alias("pair"), F.lit(k).alias("metric"), F.col(f"`{at}`.{k}").alias("value"), F.col(f"`{at}`.n").alias("n")) for k in stats]
-    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    """(subset, pair, metric, value, n): a row goes to each subset and pair that it belongs to; n counts pairs with any truth.
+
+    A subset without pairs has rows too, with n = 0 and null values.
+    """
+    parts = [(F.coalesce(condition, F.lit(False)), F.struct(F.lit(s).alias("subset"), F.lit(p).alias("pair"), F.col(t).cast("double").alias("t"), F.col(m).cast("double").alias("m"))) for s, condition in subsets.items() for p, (t, m) in pairs.items()]
+    own = F.filter(F.array(*[F.when(ok & part["t"].isNotNull() & part["m"].isNotNull(), part) for ok, part in parts]), lambda x: x.isNotNull())
+    found = agreement_by(df.select(F.explode(own).alias("x")).select("x.*"), ["subset", "pair"], F.col("t"), F.col("m"))
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.struct(F.lit(s).alias("subset"), F.lit(p).alias("pair")) for s in subsets for p in pairs])).alias("x")).select("x.*")
+    whole = names.join(found, ["subset", "pair"], "left").withColumn("n", F.coalesce("n_both", F.lit(0).cast("long")))
+    rows = F.array(*[F.struct(F.lit(k).alias("metric"), F.col(k).cast("double").alias("value")) for k in stats])
+    return whole.select("subset", "pair", F.explode(rows).alias("r"), "n").select("subset", "pair", "r.metric", "r.value", "n")
 
 
 def precision_recall(tp: Column, detected: Column, truth: Column) -> dict[str, Column]:

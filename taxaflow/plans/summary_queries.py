@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaflow.operators import shaping, summaries
+from taxaflow.operators import quantiles, shaping, summaries
 from taxaflow.plans.registry import Tables, query
 
 
@@ -26,7 +26,9 @@ m AS (SELECT p_brand, l_returnflag AS mode_flag FROM c QUALIFY row_number() OVER
 SELECT p_brand, mode_flag, round(median(l_quantity), 6) AS median_qty, min(p_name) AS first_name FROM lineitem JOIN part ON p_partkey = l_partkey JOIN m USING (p_brand) GROUP BY ALL""")
 def group_mode_median_first(t: Tables) -> DataFrame:
     joined = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey"))
-    return joined.groupBy("p_brand").agg(F.mode("l_returnflag", True).alias("mode_flag"), F.round(F.median("l_quantity"), 6).alias("median_qty"), F.min("p_name").alias("first_name"))
+    found = joined.groupBy("p_brand").agg(F.mode("l_returnflag", True).alias("mode_flag"), F.min("p_name").alias("first_name"))
+    medians = quantiles.exact_quantiles(joined, ["p_brand"], "l_quantity", {"median_qty": 0.5})
+    return quantiles.with_quantiles(found, medians, ["p_brand"]).withColumn("median_qty", F.round("median_qty", 6))
 
 
 @query("SELECT l_suppkey, round(median(l_extendedprice / nullif(l_quantity * 10, 0)), 6) AS px_per_mm FROM lineitem GROUP BY 1")
@@ -71,7 +73,7 @@ round(avg(CASE WHEN abs(m - x) / x <= 0.1 THEN 1.0 ELSE 0.0 END), 6) AS within_1
 SELECT l_returnflag, count(*) AS n, n_both, {_STATS} FROM p JOIN (SELECT l_returnflag, count(*) AS n_both FROM p WHERE x IS NOT NULL AND m IS NOT NULL GROUP BY 1) USING (l_returnflag) WHERE x > 0 GROUP BY ALL""")
 def agreement_stats(t: Tables) -> DataFrame:
     truth = F.when(F.col("l_linenumber") == 5, F.lit(0.0)).when(F.col("l_linenumber") != 4, F.col("l_quantity") * 1500)
-    found = t.lineitem.groupBy("l_returnflag").agg(*[c.alias(k) for k, c in summaries.agreement(truth, F.col("l_extendedprice")).items()])
+    found = summaries.agreement_by(t.lineitem, ["l_returnflag"], truth, F.col("l_extendedprice"))
     digits = {"bias": 4, "mae": 4, "median_abs_pct": 6, "within_10pct": 6, "pearson_r": 6, "slope": 6}
     return found.withColumns({k: F.round(k, d) for k, d in digits.items()})
 
@@ -119,7 +121,8 @@ def histogram_closed(t: Tables) -> DataFrame:
 
 @query("""SELECT l_linestatus, round(quantile_cont(l_extendedprice, 0.995), 6) AS p995, round(median(l_extendedprice), 6) AS med FROM lineitem GROUP BY 1""")
 def percentiles(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_linestatus").agg(F.round(F.percentile("l_extendedprice", 0.995), 6).alias("p995"), F.round(F.median("l_extendedprice"), 6).alias("med"))
+    found = quantiles.exact_quantiles(t.lineitem, ["l_linestatus"], "l_extendedprice", {"p995": 0.995, "med": 0.5})
+    return found.withColumns({c: F.round(c, 6) for c in ("p995", "med")})
 
 
 @query("""WITH c AS (SELECT c_custkey, bool_or(o_orderkey IS NOT NULL) AS ordered, bool_or(o_totalprice > 200000) AS large, bool_or(o_orderstatus = 'P') AS pending
