@@ -180,11 +180,30 @@ def tile_edge_cut(t: Tables) -> DataFrame:
     return boxes.within_tile(rows, "box", "tile", "w", "h").select("id", "box.*")
 
 
-@query("""WITH m AS (SELECT label, i, avg(x) AS x FROM (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY ALL),
+_CENTRES = """m AS (SELECT label, i, avg(x) AS x FROM (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY ALL),
 c AS (SELECT label, list(x ORDER BY i) AS c FROM m GROUP BY 1), n AS (SELECT label, list_transform(c, lambda v: v / sqrt(list_inner_product(c, c))) AS c FROM c),
-e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), s AS (SELECT vec_id, label, list_inner_product(list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))), c) AS score FROM e, n)
-SELECT vec_id, label, round(score, 6) AS score FROM s QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, label) = 1""")
+e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)"""
+
+
+@query(f"""WITH {_CENTRES}, s AS (SELECT vec_id, label, list_inner_product(list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))), c) AS score FROM e, n),
+p AS (SELECT *, exp(100 * (score - max(score) OVER (PARTITION BY vec_id))) AS power FROM s)
+SELECT vec_id, label, round(score, 6) AS score, round(power / sum(power) OVER (PARTITION BY vec_id), 6) AS probability FROM p QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, label) = 1""")
 def vector_softmax_top1(t: Tables) -> DataFrame:
     centres = vectors.centroids(t.embeddings, "label", "embedding", 64)
     found = vectors.softmax_top1(t.embeddings.select("vec_id", "embedding"), centres, "vec_id", "embedding", "label", "centroid")
-    return found.select("vec_id", "label", F.round("score", 6).alias("score"))
+    return found.withColumns({c: F.round(c, 6) for c in ("score", "probability")})
+
+
+@query(f"""WITH {_CENTRES}, r AS (SELECT vec_id, vec_id // 4 AS record, vec_id // 4 % 3 AS site, v FROM e), k AS (SELECT label, site, c FROM n, range(3) AS s(site) WHERE (label + site) % 3 <> 0),
+s AS (SELECT record, vec_id, label, exp(20 * list_inner_product(list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))), c)) AS power FROM r JOIN k USING (site)),
+p AS (SELECT *, power / sum(power) OVER (PARTITION BY vec_id) AS share FROM s), g AS (SELECT record, label, avg(share) AS probability FROM p GROUP BY ALL)
+SELECT record, label AS pick, round(probability, 6) AS probability FROM g QUALIFY row_number() OVER (PARTITION BY record ORDER BY round(probability, 9) DESC, label) = 1""")
+def mean_probability_pick(t: Tables) -> DataFrame:
+    """The pick of records of four specimens, each among the candidates of its site, by the mean of the specimens' shares."""
+    centres = vectors.centroids(t.embeddings, "label", "embedding", 64)
+    listed = centres.withColumn("site", F.explode(F.array(*[F.lit(i).cast("long") for i in range(3)]))).filter((F.col("label") + F.col("site")) % 3 != 0)
+    record = F.floor(F.col("vec_id") / 4)
+    specimens = t.embeddings.select("vec_id", "embedding", record.alias("record"), (record % 3).alias("site"))
+    shares = vectors.softmax_all(specimens, listed, "vec_id", "embedding", "label", "centroid", scale=20.0, on=["site"])
+    picks = vectors.mean_probability(shares.join(specimens.select("vec_id", "record"), "vec_id"), "record", "label", "probability")
+    return picks.select("record", F.col("label").alias("pick"), F.round("probability", 6).alias("probability"))
