@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from taxaflow.functions import rasters, signals, text
+from taxaflow.functions import rasters, runs, signals, text
+from taxaflow.operators import boxes
 
 BODY = T.StructType([T.StructField(n, T.DoubleType()) for n in rasters.BODY_COLUMNS])
 PARTS = T.StructType(
@@ -36,6 +36,16 @@ def mask_metrics(code: pd.Series, height: pd.Series, width: pd.Series) -> pd.Dat
     return _per_row(lambda c, h, w: rasters.body_metrics(rasters.rle_decode(c, int(h), int(w))), (code, height, width), BODY.names)
 
 
+@F.pandas_udf(BODY)
+def specimen_metrics(code: pd.Series, height: pd.Series, width: pd.Series, pixels: pd.Series) -> pd.DataFrame:
+    """Body metrics with the mean colour; pixels: the window's RGB bytes, row by row. Null columns give nulls."""
+
+    def one(c: str, h: int, w: int, p: bytes) -> dict:
+        return rasters.body_metrics(rasters.rle_decode(c, int(h), int(w)), np.frombuffer(p, np.uint8).reshape(int(h), int(w), 3))
+
+    return _per_row(one, (code, height, width, pixels), BODY.names)
+
+
 @F.pandas_udf(T.DoubleType())
 def midline(code: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
     return _per_row(lambda c, h, w: {"x": rasters.midline_length(rasters.rle_decode(c, int(h), int(w)))}, (code, height, width), ["x"])["x"].astype("float64")
@@ -48,9 +58,9 @@ def mask_runs(code: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(T.StringType())
-def mask_code(runs: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
+def mask_code(lengths: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
     """The code of a mask given by its runs."""
-    return pd.Series([None if r is None else rasters.rle_encode(np.repeat(np.arange(len(r)) % 2 == 1, r).reshape((int(h), int(w)), order="F")) for r, h, w in zip(runs, height, width, strict=True)])
+    return pd.Series([None if r is None else rasters.rle_encode(np.repeat(np.arange(len(r)) % 2 == 1, r).reshape((int(h), int(w)), order="F")) for r, h, w in zip(lengths, height, width, strict=True)])
 
 
 @F.pandas_udf(BASE)
@@ -96,20 +106,89 @@ def ruler_scale(pixels: pd.Series, height: pd.Series, width: pd.Series) -> pd.Da
     return _per_row(lambda p, h, w: signals.ruler_scale(np.frombuffer(p, np.uint8).reshape(int(h), int(w))), (pixels, height, width), RULER.names)
 
 
-def without_duplicate_masks(df: DataFrame, image: str = "image_id", most: float = 0.5) -> DataFrame:
-    """Rows (instance_id, win_x1, win_y1, mask_rle, mask_h, mask_w) of each image without masks inside larger ones.
+def _windowed(f: Callable, columns: Iterable[pd.Series]) -> list:
+    """f of a code and a window, and of another code and its window, in each row; a row with a null gives None."""
+    out = []
+    for a, ax, ay, ah, aw, b, bx, by, bh, bw in zip(*columns, strict=True):
+        row = (a, ax, ay, ah, aw, b, bx, by, bh, bw)
+        none = any(v is None or v is pd.NA or v != v for v in row)
+        out.append(None if none else f(a, runs.Window(int(ax), int(ay), int(ah), int(aw)), b, runs.Window(int(bx), int(by), int(bh), int(bw))))
+    return out
+
+
+@F.pandas_udf(T.LongType())
+def _overlap(*columns: pd.Series) -> pd.Series:
+    return pd.Series(_windowed(runs.overlap, columns), dtype="Int64")
+
+
+@F.pandas_udf(T.StringType())
+def _restricted(*columns: pd.Series) -> pd.Series:
+    return pd.Series(_windowed(runs.restricted, columns), dtype=object)
+
+
+MASK = ("mask_rle", "win_x1", "win_y1", "mask_h", "mask_w")
+
+
+def mask_overlap(a: Sequence[F.Column | str], b: Sequence[F.Column | str]) -> F.Column:
+    """Pixels that two masks share; each is given by its code and its window's x, y, height and width in the image."""
+    return _overlap(*a, *b)
+
 
-    One image's instances form a group: some hundreds at most.
+def mask_restricted(part: Sequence[F.Column | str], mask: Sequence[F.Column | str]) -> F.Column:
+    """The code of a part's pixels inside another mask, in the part's own window."""
+    return _restricted(*part, *mask)
+
+
+@F.pandas_udf(T.LongType())
+def mask_pixels(code: pd.Series) -> pd.Series:
+    return code.map(lambda c: None if c is None else runs.intervals(c).pixels).astype("Int64")
+
+
+@F.pandas_udf(BAR)
+def mask_extent(code: pd.Series, height: pd.Series) -> pd.DataFrame:
+    """First and last column and row of a mask; nulls where it has no pixels."""
+    return _per_row(lambda c, h: dict(zip(BAR.names, runs.extent(c, int(h)) or [None] * 4, strict=True)), (code, height), BAR.names)
+
+
+@F.pandas_udf(T.StructType([T.StructField("code", T.StringType()), T.StructField("pixels", T.LongType())]))
+def mask_combined(how: pd.Series, a: pd.Series, b: pd.Series, size: pd.Series) -> pd.DataFrame:
+    """and, or, or minus of two masks of one window of `size` pixels: the code, and how many pixels it has."""
+
+    def one(how: str, a: str, b: str, size: int) -> dict:
+        x, y, n = runs.intervals(a), runs.intervals(b), int(size)
+        found = {"and": lambda: runs.both(x, y), "or": lambda: runs.either(x, y, n), "minus": lambda: runs.minus(x, y, n)}[how]()
+        return {"code": runs.coded(found, n), "pixels": found.pixels}
+
+    return _per_row(one, (how, a, b, size), ["code", "pixels"]).astype({"pixels": "Int64"})
+
+
+def parts_in_mask(df: DataFrame, parts: Sequence[str], part_window: Sequence[str] = ("pwin_x1", "pwin_y1", "parts_h", "parts_w")) -> DataFrame:
+    """Each part's code (<part>_rle) restricted to the row's own mask (MASK), in the parts' window, and <part>_area_px.
+
+    On a crowded tray a part's window also shows neighbours; what lies outside the specimen's mask goes. A row with a
+    null among a part's code, the windows and the mask has nulls for this part.
     """
-    kept = df.select(image, "instance_id", "win_x1", "win_y1", "mask_rle", "mask_h", "mask_w").groupBy(image)
+    kept = {f"{p}_rle": mask_restricted([f"{p}_rle", *part_window], MASK) for p in parts}
+    return df.withColumns(kept).withColumns({f"{p}_area_px": mask_pixels(f"{p}_rle") for p in parts})
 
-    def distinct(key: tuple, rows: pa.Table) -> pa.Table:
-        r = rows.sort_by("instance_id").to_pylist()
-        windows = [(x["win_x1"], x["win_y1"], rasters.rle_decode(x["mask_rle"], x["mask_h"], x["mask_w"])) for x in r]
-        return pa.table({"instance_id": pa.array([r[i]["instance_id"] for i in rasters.distinct_masks(windows, most)], rows.schema.field("instance_id").type)})
 
-    ids = kept.applyInArrow(distinct, f"instance_id {df.schema['instance_id'].dataType.simpleString()}")
-    return df.join(ids, "instance_id", "left_semi")
+def without_duplicate_masks(df: DataFrame, image: str = "image_id", most: float = 0.5) -> DataFrame:
+    """Rows (instance_id, win_x1, win_y1, mask_rle, mask_h, mask_w) of each image without masks inside larger ones.
+
+    From the largest mask on, a mask goes if more than `most` of its pixels lie in one that stays; of equally large ones
+    the smaller instance_id comes first. Masks without pixels stay. Only masks whose extents overlap are compared, by
+    their runs; then an image's ids that are in doubt are brought together. instance_id is unique.
+    """
+    code, x, y, height, width = (F.col(c) for c in MASK)
+    sized = df.select(image, F.col("instance_id").alias("id"), *MASK, mask_pixels("mask_rle").alias("pixels"), mask_extent("mask_rle", "mask_h").alias("e"))
+    corners = {"x1": x + F.col("e.x1"), "y1": y + F.col("e.y1"), "x2": x + F.col("e.x2") + 1, "y2": y + F.col("e.y2") + 1}
+    placed = sized.select(image, "id", F.struct(*[c.cast("double").alias(n) for n, c in corners.items()], "pixels", code, x, y, height, width).alias("box"))
+    pairs = boxes.overlaps(placed, placed, image)
+    a, b = F.col("l_box"), F.col("r_box")
+    larger = (a["pixels"] > b["pixels"]) | ((a["pixels"] == b["pixels"]) & (F.col("l_id") < F.col("r_id")))
+    shared = pairs.filter(larger).withColumn("shared", mask_overlap([b[c] for c in MASK], [a[c] for c in MASK]))
+    inside = shared.filter(F.col("shared") > most * b["pixels"]).select(image, "l_id", "r_id", (-b["pixels"]).alias("rank"))
+    return df.join(boxes.eliminated(inside, image, "rank").select(F.col("id").alias("instance_id")), "instance_id", "left_anti")
 
 
 def points_in_masks(points: DataFrame, instances: DataFrame, image: str = "image_id") -> DataFrame:
@@ -125,8 +204,8 @@ def points_in_masks(points: DataFrame, instances: DataFrame, image: str = "image
     in_box = (F.col("x") >= F.col("box.x1")) & (F.col("x") <= F.col("box.x2")) & (F.col("y") >= F.col("box.y1")) & (F.col("y") <= F.col("box.y2"))
     # the pixel's place in column-major order falls into a run of ones if it is in an odd run
     place = dx * F.col("mask_h") + dy
-    runs = F.when(window, mask_runs("mask_rle"))
-    ends = F.aggregate(runs, F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).alias("n")), lambda a, r: F.struct((a["at"] + r).alias("at"), (a["n"] + F.when(a["at"] + r <= place, 1).otherwise(0)).alias("n")))
+    lengths = F.when(window, mask_runs("mask_rle"))
+    ends = F.aggregate(lengths, F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).alias("n")), lambda a, r: F.struct((a["at"] + r).alias("at"), (a["n"] + F.when(a["at"] + r <= place, 1).otherwise(0)).alias("n")))
     hit = F.coalesce(window & (ends["n"] % 2 == 1), F.lit(False))
     size = (F.col("box.x2") - F.col("box.x1")) * (F.col("box.y2") - F.col("box.y1"))
     ranked = near.withColumn("_hit", hit).filter(F.col("_hit") | in_box)

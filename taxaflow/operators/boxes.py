@@ -104,15 +104,28 @@ def iou_pairs(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     return overlaps(left, right, on).select(on, "l_id", "r_id", iou(F.col("l_box"), F.col("r_box")).alias("iou"))
 
 
+def eliminated(pairs: DataFrame, group: str, rank: str) -> DataFrame:
+    """(group, id): what greedy elimination takes away. pairs (group, l_id, r_id, rank): l_id stays before r_id and would take it.
+
+    rank is r_id's place in the order, smaller first (ties: the smaller id). What nothing would take away stays; of the
+    others a group's ids are brought together in order, and one goes if not all that would take it have gone.
+    """
+    threatened = pairs.groupBy(group, "r_id").agg(F.collect_set("l_id").alias("by"), F.min(rank).alias("rank"))
+    in_order = F.array_sort(F.collect_list(F.struct("rank", F.col("r_id").alias("id"), "by")))
+    all_gone = lambda gone, x: F.size(F.array_except(x["by"], gone)) == 0
+    step = lambda gone, x: F.when(all_gone(gone, x), gone).otherwise(F.array_append(gone, x["id"]))
+    none = F.array().cast(f"array<{pairs.schema['r_id'].dataType.simpleString()}>")
+    return threatened.groupBy(group).agg(in_order.alias("_all")).select(group, F.explode(F.aggregate("_all", none, step)).alias("id"))
+
+
 def suppressed(df: DataFrame, group: str, most_iou: float = 0.5, most_inside: float = 0.8) -> DataFrame:
     """(group, kept): boxes left by greedy suppression, the best score first.
 
     A box goes if its overlap with a kept one is above most_iou, or above most_inside of its own area. Input rows
     are (group, id, score, box); ties of scores go to the smaller id, and ids are unique in a group.
 
-    Which better boxes would suppress a box is found by the grid join of overlaps(). Boxes that none would suppress stay.
-    Only of the others an image's ids are brought together, in the order of their scores: one goes if not all that would
-    suppress it have gone.
+    Which better boxes would suppress a box is found by the grid join of overlaps(), and only those that some would are
+    brought together; see eliminated().
     """
     of = F.struct(F.col(group)).alias("_group")  # a null group is a group
     ranked = df.select(of, "id", F.struct(*[F.col(f"box.{n}").alias(n) for n in BOX], "score").alias("box"))
@@ -120,12 +133,7 @@ def suppressed(df: DataFrame, group: str, most_iou: float = 0.5, most_inside: fl
     a, b = F.col("l_box"), F.col("r_box")
     better = (a["score"] > b["score"]) | ((a["score"] == b["score"]) & (F.col("l_id") < F.col("r_id")))
     covers = (iou(a, b) > most_iou) | (intersection(a, b) > most_inside * F.greatest(area(b), F.lit(1e-9)))
-    threatened = pairs.filter(better & covers).groupBy("_group", "r_id").agg(F.collect_list("l_id").alias("by"), F.any_value("r_box.score").alias("score"))
-    in_order = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("rank"), F.col("r_id").alias("id"), "by")))
-    all_gone = lambda gone, x: F.size(F.array_except(x["by"], gone)) == 0
-    step = lambda gone, x: F.when(all_gone(gone, x), gone).otherwise(F.array_append(gone, x["id"]))
-    none = F.array().cast(f"array<{df.schema['id'].dataType.simpleString()}>")
-    gone = threatened.groupBy("_group").agg(in_order.alias("_all")).select("_group", F.explode(F.aggregate("_all", none, step)).alias("id"))
+    gone = eliminated(pairs.filter(better & covers).select("_group", "l_id", "r_id", (-b["score"]).alias("rank")), "_group", "rank")
     left = df.withColumn("_group", of).join(gone, ["_group", "id"], "left_anti")
     kept = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("rank"), "id", "score", "box")))
     return left.groupBy(group).agg(F.transform(kept, lambda k: F.struct(k["id"].alias("id"), k["score"].alias("score"), k["box"].alias("box"))).alias("kept"))
