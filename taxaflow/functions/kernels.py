@@ -172,6 +172,44 @@ def parts_in_mask(df: DataFrame, parts: Sequence[str], part_window: Sequence[str
     return df.withColumns(kept).withColumns({f"{p}_area_px": mask_pixels(f"{p}_rle") for p in parts})
 
 
+READING = T.StructType([
+    T.StructField("px_per_mm", T.DoubleType()), T.StructField("strength", T.DoubleType()), T.StructField("n", T.IntegerType()), T.StructField("spread", T.DoubleType()),
+    T.StructField("orientation", T.StringType()), T.StructField("bar", BAR),
+])
+
+
+def _reading(how: str, image: np.ndarray, least: int, x1: float, y1: float, x2: float, y2: float) -> dict:
+    """A region (in parts of the sides) of an image read in one of the ways: checkerboard, ruler or bar."""
+    h, w = image.shape
+    part = image[int(y1 * h) : int(y2 * h), int(x1 * w) : int(x2 * w)]
+    if how == "checkerboard":
+        r = signals.checkerboard_scale(part)
+        return {"px_per_mm": r["px_per_mm"], "strength": None if r["spread"] is None else 1 - r["spread"], "n": r["n_squares"], "spread": r["spread"]}
+    if how == "ruler":
+        r = signals.ruler_scale(part, int(least))
+        return {"px_per_mm": r["px_per_mm"], "strength": r["confidence"], "n": r["n_ticks"], "orientation": r["orientation"]}
+    if how == "bar":
+        bar = signals.printed_bar(part)
+        return {"bar": bar and {n: int(bar[n]) for n in BAR.names}}
+    raise ValueError(f"no way to read a scale: {how}")
+
+
+@F.pandas_udf(READING)
+def scale_reading(how: pd.Series, pixels: pd.Series, height: pd.Series, width: pd.Series, least: pd.Series, x1: pd.Series, y1: pd.Series, x2: pd.Series, y2: pd.Series) -> pd.DataFrame:
+    """The scale that a grey image (bytes, row by row) shows, read in the way that the row says; null columns give nulls.
+
+    One function has all ways, as Spark would run a function of each branch of a CASE on all rows.
+    """
+
+    def one(how: str, p: bytes, h: int, w: int, least: int, *region: float) -> dict:
+        return dict.fromkeys(READING.names) | _reading(how, np.frombuffer(p, np.uint8).reshape(int(h), int(w)), least, *region)
+
+    found = _per_row(one, (how, pixels, height, width, least, x1, y1, x2, y2), READING.names)
+    bars = pd.DataFrame([b if isinstance(b, dict) else dict.fromkeys(BAR.names) for b in found["bar"]], columns=BAR.names)
+    found["bar"] = bars.to_dict("records")
+    return found
+
+
 def without_duplicate_masks(df: DataFrame, image: str = "image_id", most: float = 0.5) -> DataFrame:
     """Rows (instance_id, win_x1, win_y1, mask_rle, mask_h, mask_w) of each image without masks inside larger ones.
 

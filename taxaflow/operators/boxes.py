@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -104,18 +104,33 @@ def iou_pairs(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     return overlaps(left, right, on).select(on, "l_id", "r_id", iou(F.col("l_box"), F.col("r_box")).alias("iou"))
 
 
+def _in_doubt(pairs: DataFrame, group: str, rank: str) -> DataFrame:
+    """(group, doubt): the ids that something would take away, in the order of their ranks, each with what would: by."""
+    threatened = pairs.groupBy(group, "r_id").agg(F.collect_set("l_id").alias("by"), F.min(rank).alias("rank"))
+    return threatened.groupBy(group).agg(F.array_sort(F.collect_list(F.struct("rank", F.col("r_id").alias("id"), "by"))).alias("doubt"))
+
+
+def _gone(doubt: Column, before: Column, by: Callable[[Column], Column]) -> Column:
+    """Ids that greedy elimination takes away, after those of `before`: in order, one goes if not all of by(it) have gone."""
+    stays = lambda gone, x: F.array_contains(gone, x["id"]) | (F.size(F.array_except(by(x), gone)) == 0)
+    return F.aggregate(doubt, before, lambda gone, x: F.when(stays(gone, x), gone).otherwise(F.array_append(gone, x["id"])))
+
+
 def eliminated(pairs: DataFrame, group: str, rank: str) -> DataFrame:
     """(group, id): what greedy elimination takes away. pairs (group, l_id, r_id, rank): l_id stays before r_id and would take it.
 
     rank is r_id's place in the order, smaller first (ties: the smaller id). What nothing would take away stays; of the
     others a group's ids are brought together in order, and one goes if not all that would take it have gone.
     """
-    threatened = pairs.groupBy(group, "r_id").agg(F.collect_set("l_id").alias("by"), F.min(rank).alias("rank"))
-    in_order = F.array_sort(F.collect_list(F.struct("rank", F.col("r_id").alias("id"), "by")))
-    all_gone = lambda gone, x: F.size(F.array_except(x["by"], gone)) == 0
-    step = lambda gone, x: F.when(all_gone(gone, x), gone).otherwise(F.array_append(gone, x["id"]))
     none = F.array().cast(f"array<{pairs.schema['r_id'].dataType.simpleString()}>")
-    return threatened.groupBy(group).agg(in_order.alias("_all")).select(group, F.explode(F.aggregate("_all", none, step)).alias("id"))
+    return _in_doubt(pairs, group, rank).select(group, F.explode(_gone(F.col("doubt"), none, lambda x: x["by"])).alias("id"))
+
+
+def _better_covers(most_iou: float, most_inside: float) -> Column:
+    """Whether the left box of a pair of overlaps() comes first and would suppress the right one; boxes have their score."""
+    a, b = F.col("l_box"), F.col("r_box")
+    better = (a["score"] > b["score"]) | ((a["score"] == b["score"]) & (F.col("l_id") < F.col("r_id")))
+    return better & ((iou(a, b) > most_iou) | (intersection(a, b) > most_inside * F.greatest(area(b), F.lit(1e-9))))
 
 
 def suppressed(df: DataFrame, group: str, most_iou: float = 0.5, most_inside: float = 0.8) -> DataFrame:
@@ -129,11 +144,8 @@ def suppressed(df: DataFrame, group: str, most_iou: float = 0.5, most_inside: fl
     """
     of = F.struct(F.col(group)).alias("_group")  # a null group is a group
     ranked = df.select(of, "id", F.struct(*[F.col(f"box.{n}").alias(n) for n in BOX], "score").alias("box"))
-    pairs = overlaps(ranked, ranked, "_group")
-    a, b = F.col("l_box"), F.col("r_box")
-    better = (a["score"] > b["score"]) | ((a["score"] == b["score"]) & (F.col("l_id") < F.col("r_id")))
-    covers = (iou(a, b) > most_iou) | (intersection(a, b) > most_inside * F.greatest(area(b), F.lit(1e-9)))
-    gone = eliminated(pairs.filter(better & covers).select("_group", "l_id", "r_id", (-b["score"]).alias("rank")), "_group", "rank")
+    covering = overlaps(ranked, ranked, "_group").filter(_better_covers(most_iou, most_inside))
+    gone = eliminated(covering.select("_group", "l_id", "r_id", (-F.col("r_box.score")).alias("rank")), "_group", "rank")
     left = df.withColumn("_group", of).join(gone, ["_group", "id"], "left_anti")
     kept = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("rank"), "id", "score", "box")))
     return left.groupBy(group).agg(F.transform(kept, lambda k: F.struct(k["id"].alias("id"), k["score"].alias("score"), k["box"].alias("box"))).alias("kept"))
@@ -211,6 +223,36 @@ def arbitrated(whole: DataFrame, tiled: DataFrame, on: str, gain: float = 1.25,
     return n.withColumn("source", F.when(F.col("n_tiled") >= gain * F.col("n_whole") + margin, "tiles").otherwise("whole"))
 
 
+def tray_boxes(whole: DataFrame, tiled: DataFrame, sizes: DataFrame, on: str, most: float = 0.2, gain: float = 1.25, margin: int = 3) -> DataFrame:
+    """(on, source, id, score, box): the boxes of each image of sizes (on, width, height).
+
+    Boxes of `most` of their image or more go, and each detection is cleaned by suppression. Where at least gain times as
+    many boxes of tiles are left as of the whole image and margin more, both are taken together ("tiles") and cleaned
+    again, so that a specimen cut by a tile's border gives way to the whole one; elsewhere the whole image's stay ("whole").
+
+    Pairs that suppress are found once, for both detections together; then an image's ids in doubt pass three eliminations
+    in one row. Ids are unique in each detection, as long numbers or texts; boxes of images without a size do not count.
+    """
+    every = whole.select(on, "id", "score", "box", F.lit(0).alias("_tile")).unionByName(tiled.select(on, "id", "score", "box", F.lit(1).alias("_tile")))
+    part = area(F.col("box")) < most * F.col("width") * F.col("height")
+    rows = every.join(sizes.select(on, "width", "height"), on).filter(part).withColumn("_id", F.struct("_tile", "id")).drop("width", "height")
+    ranked = rows.select(on, F.col("_id").alias("id"), F.struct(*[F.col(f"box.{n}").alias(n) for n in BOX], "score").alias("box"))
+    # of equal scores a whole image's box comes before a tile's, then the smaller id
+    pairs = overlaps(ranked, ranked, on).filter(_better_covers(0.5, 0.8)).select(on, "l_id", "r_id", (-F.col("r_box.score")).alias("rank"))
+    doubt = _in_doubt(pairs, on, "rank")
+    none = F.array().cast(f"array<{rows.schema['_id'].dataType.simpleString()}>")
+    alone = doubt.withColumn("_alone", _gone(F.col("doubt"), none, lambda x: F.filter(x["by"], lambda b: b["_tile"] == x["id"]["_tile"])))
+    lost = lambda tile: F.coalesce(F.size(F.filter("_alone", lambda i: i["_tile"] == tile)), F.lit(0))
+    counts = rows.groupBy(on).agg(*[F.count_if(F.col("_tile") == k).alias(f"_n{k}") for k in (0, 1)])
+    known = counts.join(alone, on, "left")
+    crowded = F.col("_n1") - lost(1) >= gain * (F.col("_n0") - lost(0)) + margin
+    together = F.when(crowded, _gone(F.col("doubt"), F.col("_alone"), lambda x: x["by"])).otherwise(F.col("_alone"))
+    chosen = known.select(on, F.when(crowded, "tiles").otherwise("whole").alias("source"), F.coalesce(together, none).alias("_out"))
+    gone = chosen.select(on, F.explode("_out").alias("_id"))
+    left = rows.join(gone, [on, "_id"], "left_anti").join(chosen.select(on, "source"), on)
+    return left.filter((F.col("source") == "tiles") | (F.col("_tile") == 0)).select(on, "source", "id", "score", "box")
+
+
 def best_box(df: DataFrame, on: str, width: str, height: str, weight: float = 0.1) -> DataFrame:
     """The box of each image with the largest score + weight * part of the image; ties: the smaller id."""
     value = F.col("score") + weight * area(F.col("box")) / (F.col(width) * F.col(height))

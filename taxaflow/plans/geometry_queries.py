@@ -118,6 +118,30 @@ def box_match_tp(t: Tables) -> DataFrame:
     return boxes.matched(_boxes(t, 0), _boxes(t, 1), "image")
 
 
+def _greedy(rows: str, name: str) -> str:
+    """SQL: <name> (image, id, score, x1, ...) of rows that greedy suppression leaves, one row of an image after the other."""
+    inter = "greatest(least(b.x2, r.x2) - greatest(b.x1, r.x1), 0) * greatest(least(b.y2, r.y2) - greatest(b.y1, r.y1), 0)"
+    kind = "STRUCT(id BIGINT, score DOUBLE, x1 DOUBLE, y1 DOUBLE, x2 DOUBLE, y2 DOUBLE)[]"
+    return f"""{name}_r AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, id) AS n FROM {rows}),
+{name}_k AS (SELECT image, 0 AS n, []::{kind} AS kept FROM (SELECT DISTINCT image FROM {rows}) UNION ALL
+SELECT r.image, r.n, CASE WHEN len(list_filter(k.kept, lambda b: {inter} / greatest((b.x2 - b.x1) * (b.y2 - b.y1) + (r.x2 - r.x1) * (r.y2 - r.y1) - {inter}, 1e-9) > 0.5 OR {inter} > 0.8 * (r.x2 - r.x1) * (r.y2 - r.y1))) > 0
+THEN k.kept ELSE list_append(k.kept, {{'id': r.id, 'score': r.score, 'x1': r.x1, 'y1': r.y1, 'x2': r.x2, 'y2': r.y2}}) END FROM {name}_k k JOIN {name}_r r ON r.image = k.image AND r.n = k.n + 1),
+{name} AS (SELECT image, unnest(kept, recursive := true) FROM (SELECT image, kept FROM {name}_k QUALIFY n = max(n) OVER (PARTITION BY image)))"""
+
+
+@query(f"""WITH RECURSIVE d AS (SELECT * FROM ({_EVEN}) WHERE image % 2 = 0 OR id % 4 = 0), g AS (SELECT * FROM ({_ODD}) WHERE image % 2 = 1 OR id % 3 = 0),
+a AS (SELECT * FROM d WHERE (x2 - x1) * (y2 - y1) < 0.2 * 600 * 600), b AS (SELECT * FROM g WHERE (x2 - x1) * (y2 - y1) < 0.2 * 600 * 600), {_greedy("a", "one")}, {_greedy("b", "two")},
+n AS (SELECT image, (SELECT count(*) FROM one WHERE one.image = i.image) AS w, (SELECT count(*) FROM two WHERE two.image = i.image) AS t FROM (SELECT image FROM one UNION SELECT image FROM two) i),
+u AS (SELECT * FROM (SELECT * FROM one UNION ALL SELECT * FROM two) WHERE image IN (SELECT image FROM n WHERE t >= 1.25 * w + 3)), {_greedy("u", "three")}
+SELECT image, 'whole' AS source, id FROM one WHERE image IN (SELECT image FROM n WHERE NOT t >= 1.25 * w + 3) UNION ALL SELECT image, 'tiles', id FROM three""")
+def tray_cleanup(t: Tables) -> DataFrame:
+    """Whole images' boxes, or those of tiles and whole together where tiles found clearly more; every other image is crowded."""
+    whole = _boxes(t, 0).filter((F.col("image") % 2 == 0) | (F.col("id") % 4 == 0))
+    tiled = _boxes(t, 1).filter((F.col("image") % 2 == 1) | (F.col("id") % 3 == 0))
+    sizes = t.orders.select(F.floor(F.col("o_custkey") / 50).alias("image")).distinct().withColumns({"width": F.lit(600), "height": F.lit(600)})
+    return boxes.tray_boxes(whole, tiled, sizes, "image").select("image", "source", "id")
+
+
 @query(f"""WITH RECURSIVE d AS ({_ALL}), r AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, id) AS n FROM d),
 k AS (SELECT image, 0 AS n, []::STRUCT(id BIGINT, x1 DOUBLE, y1 DOUBLE, x2 DOUBLE, y2 DOUBLE)[] AS kept FROM (SELECT DISTINCT image FROM d)
 UNION ALL SELECT r.image, r.n, CASE WHEN len(list_filter(k.kept, lambda b: (greatest(least(b.x2, r.x2) - greatest(b.x1, r.x1), 0) * greatest(least(b.y2, r.y2) - greatest(b.y1, r.y1), 0)) /

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,15 +82,67 @@ def image_manifest(biorepo: DataFrame, files: DataFrame, pools: Sequence[DataFra
     return every.withColumn("process", F.col("duplicate_of").isNull() & (shaping.flag(F.col("is_carabid")) | shaping.flag(F.col("source") == "herp")))
 
 
-def image_scale(readings: DataFrame, annotated: DataFrame | None = None, least: float = 0.35) -> DataFrame:
-    """(image_id, px_per_mm, scale_source, scale_confidence): readings below the least confidence keep that alone.
+class ScaleRule(NamedTuple):
+    """How a source's images show their scale, in which region (parts of the sides), and what a reading needs to count."""
 
-    readings has image_id, px_per_mm, scale_source, scale_confidence. Annotated scales count as certain where there
-    is no reading that passes.
+    how: str
+    name: str
+    least_strength: float = 0.0
+    least_n: int = 0
+    most_spread: float = 1.0
+    least_part: float = 0.0
+    region: tuple[float, float, float, float] = (0.0, 0.0, 1.0, 1.0)
+    read_least: int = 6
+
+
+#: The rule of each source; ticks of rulers, squares of boards, and the part of the width that a bar spans.
+SCALE_RULES = {
+    "hf2018": ScaleRule("checkerboard", "checkerboard", least_n=2, most_spread=0.03),
+    "sentinel": ScaleRule("ruler", "ruler_ticks", least_strength=0.4, least_n=8),
+    "herp": ScaleRule("ruler", "ruler_ticks", least_strength=0.4, region=(0.0, 0.62, 0.70, 1.0), read_least=20),
+    "biorepo": ScaleRule("bar", "printed_bar", least_part=0.15),
+}
+
+
+def _rules(spark: SparkSession, rules: Mapping[str, ScaleRule]) -> DataFrame:
+    fields = "source string, how string, name string, least_strength double, least_n int, most_spread double, least_part double, region array<double>, read_least int"
+    return spark.createDataFrame([(s, r.how, r.name, r.least_strength, r.least_n, r.most_spread, r.least_part, list(r.region), r.read_least) for s, r in rules.items()], fields)
+
+
+def read_scales(images: DataFrame, uses: DataFrame | None = None, rules: Mapping[str, ScaleRule] = SCALE_RULES) -> DataFrame:
+    """(image_id, source, px_per_mm, strength, n, spread, part): what the images show, before any rule refuses it.
+
+    images has image_id, source, pixels (grey bytes, row by row), height, width and labels, the texts read beside a
+    printed bar, or null. Each is read once, where it lies; pixels do not move. uses (image_id, scale_image) names the
+    image that shows an image's scale, for a ruler that many crops share: then there is a row for each of its images,
+    null where the scale image is missing. Sources without a rule are left out; images without pixels have nulls.
+    """
+    rule = F.broadcast(_rules(images.sparkSession, rules))  # a row for each source
+    known = images.join(rule.select("source", "how", "region", "read_least"), "source")
+    read = known.withColumn("_r", kernels.scale_reading("how", "pixels", "height", "width", "read_least", *[F.col("region")[i] for i in range(4)]))
+    bar = F.col("_r.bar")
+    by_bar = kernels.printed_bar_scale(bar, F.coalesce("labels", F.array().cast("array<string>")))
+    part = (bar["x2"] - bar["x1"]) / F.col("width")
+    found = read.select("image_id", "source", F.coalesce("_r.px_per_mm", by_bar).alias("px_per_mm"), *[f"_r.{c}" for c in ("strength", "n", "spread")], part.alias("part"))
+    if uses is None:
+        return found
+    return uses.select("image_id", "scale_image").join(found.withColumnRenamed("image_id", "scale_image"), "scale_image", "left").select("image_id", *found.columns[1:])
+
+
+def image_scale(readings: DataFrame, annotated: DataFrame | None = None, rules: Mapping[str, ScaleRule] = SCALE_RULES) -> DataFrame:
+    """(image_id, px_per_mm, scale_source, scale_confidence): readings that their source's rule refuses keep the confidence alone.
+
+    readings are those of read_scales(). A board's confidence is 1 less its spread, a ruler's the strength of its period,
+    both also of readings that are refused but for boards, which then have 0, as printed bars have. Annotated scales
+    (image_id, px_per_mm) count as certain where no reading passes. Sources without a rule pass nothing.
     """
-    ok = (F.col("scale_confidence") >= least) & (F.col("px_per_mm") > 0)
-    gate = shaping.gated(ok, px_per_mm=F.col("px_per_mm"), scale_source=F.col("scale_source"))
-    found = readings.select("image_id", "px_per_mm", "scale_source", "scale_confidence").withColumns(gate)
+    r = readings.join(F.broadcast(_rules(readings.sparkSession, rules)), "source", "left")
+    enough = lambda c, least: F.coalesce(F.col(c) >= F.col(least), F.col(least) <= 0)
+    ok = (F.col("px_per_mm") > 0) & enough("strength", "least_strength") & enough("n", "least_n") & enough("part", "least_part") & (F.coalesce("spread", F.lit(0.0)) <= F.col("most_spread"))
+    ok = F.coalesce(ok, F.lit(False))
+    strength = F.when(F.col("how") == "ruler", F.col("strength")).when(ok, F.coalesce("strength", F.lit(1.0))).when(F.col("how").isNotNull(), 0.0)
+    gate = shaping.gated(ok, px_per_mm=F.col("px_per_mm"), scale_source=F.col("name"))
+    found = r.select("image_id", gate["px_per_mm"].alias("px_per_mm"), gate["scale_source"].alias("scale_source"), strength.alias("scale_confidence"))
     if annotated is None:
         return found
     given = annotated.filter("px_per_mm IS NOT NULL").select("image_id", F.col("px_per_mm").alias("_k"))

@@ -100,3 +100,13 @@ def test_empty_sides(spark):
     assert boxes.iou_pairs(none, some, "image").count() == boxes.iou_pairs(some, none, "image").count() == 0
     assert boxes.suppressed(none, "image").count() == 0
     assert [r.box_id for r in boxes.smallest_containing(spark.createDataFrame([(1, 5, 1.0, 1.0)], "image long, p_id long, x double, y double"), none, "image").collect()] == [None]
+
+
+def test_trays(spark):
+    """Image 1: tiles find little more; image 2: clearly more, with a part of a whole one and a box of the whole tray; image 3: tiles alone."""
+    flat = lambda i, n, s, x, w=10.0: (i, n, s, (x, 0.0, x + w, 10.0))
+    whole = [flat(1, 1, 0.9, 0.0), flat(1, 2, 0.8, 20.0), flat(2, 3, 0.9, 0.0), (2, 4, 1.0, (0.0, 0.0, 300.0, 300.0)), flat(4, 5, 0.9, 0.0)]
+    tiled = [flat(1, k, 0.5, 20.0 * k) for k in range(10, 13)] + [flat(2, 20, 0.7, 0.0, 5.0)] + [flat(2, k, 0.6, 20.0 * k) for k in range(21, 27)] + [flat(3, k, 0.6, 20.0 * k) for k in range(30, 33)]
+    sizes = spark.createDataFrame([(i, 600, 600) for i in range(1, 4)], "image long, width int, height int")
+    found = boxes.tray_boxes(spark.createDataFrame(whole, SCHEMA), spark.createDataFrame(tiled, SCHEMA), sizes, "image").collect()
+    assert sorted((r.image, r.source, r.id) for r in found) == [(1, "whole", 1), (1, "whole", 2), (2, "tiles", 3), *[(2, "tiles", k) for k in range(21, 27)], *[(3, "tiles", k) for k in range(30, 33)]]

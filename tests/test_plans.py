@@ -239,11 +239,48 @@ def test_measurements_of_a_small_lake(spark):
     assert (b.length_mm, b.individualID, b.qc_low_solidity) == (5.0, "i9", False) and "head_rle" not in out["img#001"].asDict()
 
 
-def test_scales_are_gated_together(spark):
-    r = spark.createDataFrame([("a", 10.0, "ruler", 0.9), ("b", 11.0, "ruler", 0.1), ("c", None, None, None)], "image_id string, px_per_mm double, scale_source string, scale_confidence double")
-    given = spark.createDataFrame([("b", 5.0), ("d", 6.0)], "image_id string, px_per_mm double")
-    assert rows(measurements.image_scale(r), "image_id", "px_per_mm", "scale_source", "scale_confidence") == [("a", 10.0, "ruler", 0.9), ("b", None, None, 0.1), ("c", None, None, None)]
-    assert rows(measurements.image_scale(r, given), "image_id", "px_per_mm", "scale_source") == [("a", 10.0, "ruler"), ("b", 5.0, "annotated"), ("c", None, None), ("d", 6.0, "annotated")]
+def test_scales_are_gated_together_by_source(spark):
+    held = [
+        ("board", "hf2018", 10.0, 0.98, 5, 0.02, None), ("loose", "hf2018", 10.0, 0.96, 5, 0.04, None), ("lone", "hf2018", 10.0, 1.0, 1, 0.0, None),
+        ("ruler", "sentinel", 12.0, 0.4, 8, None, None), ("weak", "sentinel", 12.0, 0.39, 9, None, None), ("short", "sentinel", 12.0, 0.9, 7, None, None),
+        ("frog", "herp", 9.0, 0.41, 20, None, None), ("dim", "herp", 9.0, 0.35, 25, None, None), ("bar", "biorepo", 30.0, None, None, None, 0.15), ("stub", "biorepo", 30.0, None, None, None, 0.14),
+        ("none", "sentinel", None, 0.0, 0, None, None), ("other", "hawaii", 7.0, 1.0, 9, 0.0, 1.0),
+    ]
+    r = spark.createDataFrame(held, "image_id string, source string, px_per_mm double, strength double, n int, spread double, part double")
+    want = {
+        "board": (10.0, "checkerboard", 0.98), "loose": (None, None, 0.0), "lone": (None, None, 0.0), "ruler": (12.0, "ruler_ticks", 0.4), "weak": (None, None, 0.39), "short": (None, None, 0.9),
+        "frog": (9.0, "ruler_ticks", 0.41), "dim": (None, None, 0.35), "bar": (30.0, "printed_bar", 1.0), "stub": (None, None, 0.0), "none": (None, None, 0.0), "other": (None, None, None),
+    }
+    shown = lambda df: {x.image_id: (x.px_per_mm, x.scale_source, x.scale_confidence) for x in df.collect()}
+    assert shown(measurements.image_scale(r)) == want
+    given = spark.createDataFrame([("weak", 5.0), ("new", 6.0), ("board", 4.0), ("loose", None)], "image_id string, px_per_mm double")
+    assert shown(measurements.image_scale(r, given)) == want | {"weak": (5.0, "annotated", 1.0), "new": (6.0, "annotated", 1.0)}
+
+
+def test_scales_are_read_from_drawn_images(spark):
+    def page(h, w, light=222):
+        return np.full((h, w), light, np.uint8)
+
+    ruler, low = page(90, 330), page(400, 700)
+    for k in range(16):
+        ruler[18:72, 25 + 17 * k : 28 + 17 * k] = 40
+    for k in range(30):
+        low[290:370, 20 + 14 * k : 23 + 14 * k] = 40
+    board = page(480, 640, 35)
+    for i, j in ((i, j) for i in range(7) for j in range(6) if (i + j) % 2 == 0):
+        board[90 + 47 * j : 137 + 47 * j, 110 + 47 * i : 157 + 47 * i] = 225
+    printed = page(640, 980, 205)
+    printed[560:563, 120:385] = 25
+    images = [("r", "sentinel", ruler, None), ("f", "herp", low, None), ("c", "hf2018", board, None), ("p", "biorepo", printed, ["fig", "5 mm"]), ("q", "biorepo", printed, None), ("x", "unknown", ruler, None)]
+    rows_ = [(i, s, a.tobytes(), *a.shape, labels) for i, s, a, labels in images] + [("null", "sentinel", None, None, None, None)]
+    df = spark.createDataFrame(rows_, "image_id string, source string, pixels binary, height int, width int, labels array<string>")
+    got = {r.image_id: r for r in measurements.image_scale(measurements.read_scales(df)).collect()}
+    assert got.keys() == {"r", "f", "c", "p", "q", "null"}
+    assert [got[i].scale_source for i in "rfcpq"] == ["ruler_ticks", "ruler_ticks", "checkerboard", "printed_bar", None]
+    assert [got[i].px_per_mm for i in "rfcp"] == [pytest.approx(17, rel=0.02), pytest.approx(14, rel=0.02), pytest.approx(4.7, rel=0.05), pytest.approx(53, abs=0.5)]
+    uses = spark.createDataFrame([("crop1", "r"), ("crop2", "r"), ("crop3", "gone")], "image_id string, scale_image string")
+    shared = {r.image_id: r for r in measurements.read_scales(df, uses).collect()}
+    assert shared["crop1"].px_per_mm == shared["crop2"].px_per_mm == got["r"].px_per_mm and shared["crop3"].source is None
 
 
 def test_manifest_routes_and_duplicates(spark):
