@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -53,30 +56,79 @@ def read_xml_boxes(spark: SparkSession, path: str) -> DataFrame:
     return one.select("name", *[F.col(f"b._{a}").alias(n) for a, n in (("xtl", "x1"), ("ytl", "y1"), ("xbr", "x2"), ("ybr", "y2"))])
 
 
+def _member_rows(archive: str, file: str | io.BufferedIOBase, member: str, names: Sequence[str], size: int = 10_000) -> Iterator[list[list[str | None]]]:
+    """Rows of a member of a zip file as lists of strings, `size` at a time, inflated as they are read."""
+    with zipfile.ZipFile(file) as z:
+        if member not in z.namelist():
+            return
+        with z.open(member) as raw:
+            held = []
+            for row in csv.DictReader(io.TextIOWrapper(raw, "utf-8", newline="")):
+                held.append([archive, *(row.get(c) or None for c in names)])
+                if len(held) == size:
+                    yield held
+                    held = []
+            yield held
+
+
+class ArchivePart(InputPartition):
+    def __init__(self, archive: str):
+        super().__init__(archive)
+        self.archive = archive
+
+
+class ZipMembers(DataSource):
+    """A CSV member of zip files on a file system that all executors mount: a partition for each archive.
+
+    Options: archives (their URIs, one a line), member and columns (by tabs). A file's directory is read by seeks and the
+    member as a stream, so an archive of any size needs the memory of some thousand rows.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "zipmembers"
+
+    def schema(self) -> T.StructType:
+        return strings(["archive", *self.options["columns"].split("\t")])
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return _ZipReader(self.options)
+
+
+class _ZipReader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.archives = [a for a in options["archives"].split("\n") if a]
+        self.member, self.names = options["member"], options["columns"].split("\t")
+
+    def partitions(self) -> list[InputPartition]:
+        return [ArchivePart(a) for a in self.archives]
+
+    def read(self, partition: ArchivePart) -> Iterator[tuple]:
+        for some in _member_rows(partition.archive, re.sub("^file:(?://)?", "", partition.archive), self.member, self.names):
+            yield from map(tuple, some)
+
+
 def read_zip_member(spark: SparkSession, path: str, member: str, columns: Sequence[str]) -> DataFrame:
     """(archive, columns) of a CSV member of each zip file of a path, as strings; absent members and columns are empty.
 
-    An archive is one task's: zip files do not split. Its member is read as a stream.
+    An archive is one task's: zip files do not split. Archives of a mounted file system are read by seeks, as streams
+    (see ZipMembers); those of other stores, which Python cannot seek in, come whole as one value of two gigabytes at most.
     """
     names = list(columns)
+    files = spark.read.format("binaryFile").load(path)
+    archives = [r.path for r in files.select("path").collect()]  # names alone; no content is read for them
+    if all(a.startswith("file:") for a in archives):
+        spark.dataSource.register(ZipMembers)
+        reader = spark.read.format("zipmembers").option("archives", "\n".join(archives)).option("member", member)
+        return reader.option("columns", "\t".join(names)).load()
 
     def rows(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for archive, content in zip(frame["path"], frame["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    if member not in z.namelist():
-                        continue
-                    with z.open(member) as raw:
-                        held = []
-                        for row in csv.DictReader(io.TextIOWrapper(raw, "utf-8", newline="")):
-                            held.append([archive, *(row.get(c) or None for c in names)])
-                            if len(held) == 10_000:
-                                yield pd.DataFrame(held, columns=["archive", *names])
-                                held = []
-                        yield pd.DataFrame(held, columns=["archive", *names])
+                for some in _member_rows(archive, io.BytesIO(content), member, names):
+                    yield pd.DataFrame(some, columns=["archive", *names])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(rows, strings(["archive", *names]))
+    return files.select("path", "content").mapInPandas(rows, strings(["archive", *names]))
 
 
 def read_images(spark: SparkSession, path: str, decode: Callable[[bytes], tuple[int, int, bytes]] | None = None) -> DataFrame:
@@ -108,7 +160,7 @@ def read_pixmap(content: bytes) -> tuple[int, int, bytes]:
         raise ValueError("not a binary pixmap of 8 bits")
     n = int(width) * int(height) * (3 if kind == b"P6" else 1)
     pixels = content[-n:]
-    return int(height), int(width), pixels if kind == b"P6" else bytes(v for p in pixels for v in (p, p, p))
+    return int(height), int(width), pixels if kind == b"P6" else np.repeat(np.frombuffer(pixels, np.uint8), 3).tobytes()
 
 
 class TableStore:
@@ -145,21 +197,22 @@ class TableStore:
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(f"{self.root}/shards/{kind}")
 
     def drop_from_shards(self, kind: str, ids: DataFrame, key: str, by: str = "source") -> None:
-        """Rewrite the partitions that hold rows with these ids without them; a partition left empty goes."""
-        old = self.read_shards(kind)
-        hit = [r[by] for r in old.join(ids.select(key), key, "left_semi").select(by).distinct().collect()]  # partitions' names
-        left = old.filter(F.col(by).isin(hit)).join(ids.select(key), key, "left_anti")
-        staged = f"{self.root}/shards/_{kind}-staged"
-        left.write.mode("overwrite").partitionBy(by).parquet(staged)
-        fs = self.spark._jvm.org.apache.hadoop.fs.Path(staged).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        for value in hit:
-            part = f"{by}={value}"
-            fs.delete(path(f"{self.root}/shards/{kind}/{part}"), True)
-            if fs.exists(path(f"{staged}/{part}")):
-                fs.rename(path(f"{staged}/{part}"), path(f"{self.root}/shards/{kind}/{part}"))
-        fs.delete(path(staged), True)
-        self.spark.catalog.refreshByPath(f"{self.root}/shards/{kind}")
+        """Rewrite the partitions that hold rows with these ids without them; a partition left empty goes.
+
+        Partitions are known by their folders, so null and special values are as good as others. The new files replace a
+        partition's old ones as the write is committed; a run that failed is just run again, as dropping twice is no more.
+        """
+        path = f"{self.root}/shards/{kind}"
+        old = self.read_shards(kind).withColumn("_folder", F.regexp_replace("_metadata.file_path", "/[^/]*$", ""))
+        gone = ids.select(key).distinct()
+        hit = old.join(gone, key, "left_semi").select("_folder").distinct()
+        left = old.join(F.broadcast(hit), "_folder", "left_semi").join(gone, key, "left_anti")  # a row for each partition
+        emptied = [r[0] for r in hit.join(left.select("_folder").distinct(), "_folder", "left_anti").collect()]
+        left.drop("_folder").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+        for folder in emptied:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(self.spark._jvm.java.net.URI(folder))
+            place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        self.spark.catalog.refreshByPath(path)
 
 
 def read_settings(text: str, environment: dict[str, str]) -> dict[str, str]:

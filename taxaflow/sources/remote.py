@@ -12,6 +12,7 @@ from typing import TypeVar
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 Fetch = Callable[[str], dict]
@@ -31,9 +32,11 @@ def retried(call: Callable[[], R], tries: int = 5, wait: float = 1.0, exponentia
 
 
 class Slice(InputPartition):
-    def __init__(self, query: str):
+    """A query that is paged through by one task; expected: its rows by the service's own count, if that was asked."""
+
+    def __init__(self, query: str, search: str = "", expected: int | None = None):
         super().__init__(query)
-        self.query = query
+        self.query, self.search, self.expected = query, search, expected
 
 
 class PagedSearch(DataSource):
@@ -79,6 +82,62 @@ class _PagedReader(DataSourceReader):
                 return
 
 
+class FacetedSearch(PagedSearch):
+    """Rows of searches that are too long to page through, cut into slices by the counts of their values.
+
+    Options: searches (one query a line), dimensions (names that cut a query, by commas, in their order), deepest (most
+    rows of a slice, 3000) and size. A subclass also gives facet(query, dimension), which returns the query's count and
+    the count of each value of the dimension (of none, for an empty name).
+
+    A query of more than deepest rows is cut by the first dimension, and each part that is still too long by the next. A
+    part that no dimension is left for is paged through as it is. With the option report, the rows are the plan alone:
+    (search, slice, expected), where a null slice counts rows without a value in a dimension, which slices do not reach.
+    """
+
+    @staticmethod
+    def facet(query: str, dimension: str) -> tuple[int, dict[str, int]]:
+        raise NotImplementedError
+
+    def schema(self) -> str:
+        return "search string, slice string, expected long" if self.options.get("report") else super().schema()
+
+    def reader(self, schema: object) -> DataSourceReader:
+        return _FacetedReader(self.options, list(self.columns), type(self).fetch, type(self).facet)
+
+
+class _FacetedReader(_PagedReader):
+    def __init__(self, options: dict, columns: list[str], fetch: Callable, facet: Callable):
+        super().__init__(options, columns, fetch)
+        self.facet, self.report = facet, bool(options.get("report"))
+        self.searches = [q for q in options.get("searches", "").split("\n") if q]
+        self.dimensions = [d for d in options.get("dimensions", "").split(",") if d]
+        self.deepest = int(options.get("deepest", 3000))
+
+    def _cut(self, search: str, query: str, dimensions: list[str], count: int | None = None) -> Iterator[Slice]:
+        if count is not None and (count <= self.deepest or not dimensions):
+            yield Slice(query, search, count)
+            return
+        dimension, *rest = dimensions or [""]
+        total, values = retried(lambda: self.facet(query, dimension))
+        if total <= self.deepest or not dimensions:
+            yield Slice(query, search, total)
+            return
+        for value, n in sorted(values.items()):
+            yield from self._cut(search, f"{query}&{dimension}={value}", rest, n)
+        if self.report and (unreached := total - sum(values.values())) > 0:
+            yield Slice("", search, unreached)
+
+    def partitions(self) -> list[InputPartition]:
+        every = [s for search in self.searches for s in self._cut(search, search, self.dimensions)]
+        return [s for s in every if s.expected or not s.query]
+
+    def read(self, partition: Slice) -> Iterator[tuple]:
+        if self.report:
+            yield partition.search, partition.query or None, partition.expected
+        else:
+            yield from super().read(partition)
+
+
 def slices(years: Iterable[int], places: Iterable[str]) -> list[str]:
     """Queries that together cover a search, each small enough to page through."""
     held = list(places)
@@ -97,7 +156,8 @@ def memoised(spark: SparkSession, asked: DataFrame, key: str, answer: Callable[[
             yield pd.DataFrame({key: frame[key], "answer": [retried(lambda k=k: answer(k), tries=4, exponential=True) for k in frame[key]]})
 
     fresh.mapInPandas(rows, f"{key} string, answer string").write.mode("append").parquet(cache)
-    return spark.read.parquet(cache).join(keys, key, "left_semi")
+    # two runs at once can both have asked for a key: the cache then has it twice
+    return spark.read.parquet(cache).join(keys, key, "left_semi").groupBy(key).agg(F.min("answer").alias("answer"))
 
 
 def submitted(submit: Callable[[], str], status: Callable[[str], str], wait: float = 5.0, most: int = 1000, sleep: Callable[[float], None] = time.sleep) -> str:

@@ -152,3 +152,68 @@ def test_streams_resume_and_drop_repeats(spark, tmp_path):
     make([2, 3]).write.parquet(f"{source}/2")
     windows.run_available(spark, stream(), sink=lambda df, _: seen.extend(r.id for r in df.collect()), checkpoint=check)
     assert sorted(seen) == [1, 2, 3]
+
+
+def test_a_long_search_is_cut_into_slices(spark):
+    class Museum(remote.FacetedSearch):
+        """100,000 rows by year, place and month, some without a place; deep pages are refused."""
+
+        columns = ("key", "year", "place")
+
+        @staticmethod
+        def _held(query):
+            asked = dict(p.split("=") for p in query.split("&")[1:])
+            for i in range(100_000):
+                year = 2000 + min(i % 37, 9)  # one year has three quarters of all rows
+                place = None if i % 1000 == 3 else "AB"[i % 7 == 0]
+                row = {"key": i, "year": str(year), "place": place, "month": str(i // 11 % 12)}
+                if all(row[k] == v for k, v in asked.items()):
+                    yield row
+
+        @staticmethod
+        def fetch(query, offset, limit):
+            assert offset < 9000, "too deep"
+            every = list(Museum._held(query))
+            return {"results": every[offset : offset + limit], "endOfRecords": offset + limit >= len(every)}
+
+        @staticmethod
+        def facet(query, dimension):
+            counts, total = {}, 0
+            for row in Museum._held(query):
+                total += 1
+                if dimension and row[dimension] is not None:
+                    counts[row[dimension]] = counts.get(row[dimension], 0) + 1
+            return total, counts
+
+    spark.dataSource.register(Museum)
+    search = spark.read.format("museum").option("searches", "set=1").option("dimensions", "year,place,month").option("deepest", 9000).option("size", 9000)
+    plan = search.option("report", True).load().collect()
+    assert max(r.expected for r in plan if r.slice) <= 9000 and sum(r.expected for r in plan) == 100_000
+    assert sorted(r.slice for r in plan if r.slice)[:2] == ["set=1&year=2000", "set=1&year=2001"] and "set=1&year=2009&place=B&month=0" in {r.slice for r in plan}
+    unreached = sum(r.expected for r in plan if not r.slice)
+    got = spark.read.format("museum").option("searches", "set=1").option("dimensions", "year,place,month").option("deepest", 9000).option("size", 9000).load()
+    assert got.select("key").distinct().count() == got.count() == 100_000 - unreached and unreached == 76
+    whole = spark.read.format("museum").option("searches", "set=1&year=2001").option("deepest", 9000).option("size", 3000).load()
+    assert whole.count() == 2703 and whole.rdd.getNumPartitions() == 1
+
+
+def test_a_large_member_is_read_as_a_stream(spark, tmp_path):
+    line = "x" * 1000
+    with zipfile.ZipFile(tmp_path / "large one.zip", "w", zipfile.ZIP_DEFLATED) as z, z.open("a.csv", "w") as out:
+        out.write(b"id,v\n")
+        for i in range(60_000):
+            out.write(f"{i},{line}\n".encode())
+    df = files.read_zip_member(spark, str(tmp_path / "*.zip"), "a.csv", ["id", "w"])
+    assert df.count() == 60_000 and df.filter("w IS NOT NULL").count() == 0
+    assert df.select("archive").distinct().first()[0].endswith("large one.zip")
+
+
+def test_shards_of_null_and_special_partitions(spark, tmp_path):
+    store = files.TableStore(spark, str(tmp_path))
+    held = [(None, "a"), (None, "b"), ("x/y=z %", "c"), ("x/y=z %", "d"), ("007", "e"), ("gone", "f"), ("kept", "g")]
+    store.append_shard("k", spark.createDataFrame(held, "source string, image_id string"))
+    before = {r.image_id: r.source for r in store.read_shards("k").collect()}
+    for _ in range(2):  # again, as after a failure
+        store.drop_from_shards("k", spark.createDataFrame([("a",), ("c",), ("e",), ("f",), ("none",)], "image_id string"), "image_id")
+        assert {r.image_id: r.source for r in store.read_shards("k").collect()} == {i: before[i] for i in "bdg"}
+    assert len([p for p in (tmp_path / "shards" / "k").iterdir() if p.name.startswith("source=")]) == 3
