@@ -235,18 +235,19 @@ def points_in_masks(points: DataFrame, instances: DataFrame, image: str = "image
     instances: (instance_id, box, win_x1, win_y1, mask_rle, mask_h, mask_w). A point's pixel in a
     mask's window is rounded half to even; a point without coordinates, or nowhere, has a null instance_id.
     """
-    cols = ["instance_id", "box", "win_x1", "win_y1", "mask_rle", "mask_h", "mask_w"]
-    near = points.filter("x IS NOT NULL AND y IS NOT NULL").select(image, "p_id", "x", "y").join(instances.select(image, *cols), image)
+    cols = ["instance_id", "box", "win_x1", "win_y1", "mask_h", "mask_w"]
+    held = instances.select(image, *cols, mask_runs("mask_rle").alias("_runs"))  # decoded once, not for each point
+    near = points.filter("x IS NOT NULL AND y IS NOT NULL").select(image, "p_id", "x", "y").join(held, image)
     dx, dy = F.rint(F.col("x") - F.col("win_x1")).cast("long"), F.rint(F.col("y") - F.col("win_y1")).cast("long")
     window = (dx >= 0) & (dy >= 0) & (dx < F.col("mask_w")) & (dy < F.col("mask_h"))
     in_box = (F.col("x") >= F.col("box.x1")) & (F.col("x") <= F.col("box.x2")) & (F.col("y") >= F.col("box.y1")) & (F.col("y") <= F.col("box.y2"))
     # the pixel's place in column-major order falls into a run of ones if it is in an odd run
     place = dx * F.col("mask_h") + dy
-    lengths = F.when(window, mask_runs("mask_rle"))
+    lengths = F.when(window, F.col("_runs"))
     ends = F.aggregate(lengths, F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).alias("n")), lambda a, r: F.struct((a["at"] + r).alias("at"), (a["n"] + F.when(a["at"] + r <= place, 1).otherwise(0)).alias("n")))
     hit = F.coalesce(window & (ends["n"] % 2 == 1), F.lit(False))
     size = (F.col("box.x2") - F.col("box.x1")) * (F.col("box.y2") - F.col("box.y1"))
-    ranked = near.withColumn("_hit", hit).filter(F.col("_hit") | in_box)
+    ranked = near.filter(window | in_box).withColumn("_hit", hit).filter(F.col("_hit") | in_box)
     order = F.struct((~F.col("_hit")).alias("a"), F.when(F.col("_hit"), 0.0).otherwise(size).alias("b"), F.col("instance_id").alias("c"))
     best = ranked.groupBy("p_id").agg(F.min_by("instance_id", order).alias("instance_id"))
     return points.join(best, "p_id", "left")

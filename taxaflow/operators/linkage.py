@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +43,15 @@ def best_candidate(df: DataFrame, candidates: DataFrame, key: str, order: Sequen
     return df.join(best, key, "left")
 
 
+def with_means(df: DataFrame, rows: DataFrame, key: str, means: Mapping[str, str]) -> DataFrame:
+    """df joined to the mean of each of rows' columns by key; means maps a new name to a column.
+
+    Means are taken before the join. Rows of df whose key is null, is not in rows, or lacks one of the means, go.
+    """
+    found = rows.groupBy(key).agg(*[F.avg(c).alias(name) for name, c in means.items()]).na.drop()
+    return df.join(found, key)
+
+
 def not_done(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not done yet."""
     return df.join(done.select(key).distinct(), key, "left_anti")

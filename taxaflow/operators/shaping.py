@@ -67,6 +67,18 @@ def year_of(col: Column) -> Column:
     return F.year(F.try_to_timestamp(col.cast("string")))
 
 
+def zipped(**lists: Column) -> Column:
+    """Records of parallel lists, as long as the shortest; null where one of the lists is null."""
+    shortest = [F.size(c) for c in lists.values()]
+    records = F.arrays_zip(*[c.alias(n) for n, c in lists.items()])
+    return F.slice(records, 1, F.least(*shortest) if len(shortest) > 1 else shortest[0])
+
+
+def intersects(col: Column, values: Sequence[str]) -> Column:
+    """Whether a list has one of the values; a null list has none."""
+    return F.coalesce(F.arrays_overlap(F.filter(col, lambda x: x.isNotNull()), F.array(*[F.lit(v) for v in values])), F.lit(False))
+
+
 def number(col: Column) -> Column:
     return col.try_cast("double")
 

@@ -69,7 +69,8 @@ def point_in_mask(t: Tables) -> DataFrame:
     box = F.struct(*[F.lit(-1.0).alias(n) for n in ("x1", "y1", "x2", "y2")])
     inst = _rectangles(t).select(F.col("p_partkey").alias("image_id"), F.col("p_partkey").alias("instance_id"), F.lit(0).alias("win_x1"), F.lit(0).alias("win_y1"), F.col("code").alias("mask_rle"), F.lit(_H).alias("mask_h"), F.lit(_W).alias("mask_w"), box.alias("box"))
     e = F.col("event_id")
-    points = t.events.select(e.alias("p_id"), (e % t.part.count() + 1).alias("image_id"), (e % 50).cast("double").alias("x"), (e % 37).cast("double").alias("y"))
+    counted = t.events.crossJoin(F.broadcast(t.part.agg(F.count("*").alias("n"))))  # one row
+    points = counted.select(e.alias("p_id"), (e % F.col("n") + 1).alias("image_id"), (e % 50).cast("double").alias("x"), (e % 37).cast("double").alias("y"))
     return kernels.points_in_masks(points, inst).select(F.col("p_id").alias("event_id"), F.col("instance_id").alias("hit"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaflow.functions import text
@@ -98,31 +98,45 @@ def preserved_samples(sorting: DataFrame, pooling: DataFrame | None = None, reco
     return _with_occurrences(linked.drop("n_images"), occurrences)
 
 
-def repository_records(occurrences: DataFrame, collection: str, group: str) -> DataFrame:
-    """Darwin Core occurrences of a collection with the identifiers in otherCatalogNumbers, location and individual."""
+def repository_records(occurrences: DataFrame, collection: str | Column, group: str | Column, media: DataFrame | None = None) -> DataFrame:
+    """Darwin Core occurrences of a collection with the identifiers in otherCatalogNumbers, location and individual.
+
+    media (coreid, ...) gives n_images, its rows of each record; records without any have 0.
+    """
     parsed = occurrences.withColumn("_ids", text.labelled_pairs(F.col("otherCatalogNumbers"), IDENTIFIERS))
     rows = parsed.select("*", "_ids.*").drop("_ids")
     individual = F.when(F.rlike("neon_sampleID", F.lit(r"^NEON\.BET\.D\d{2}\.\d+$")), F.col("neon_sampleID"))
-    return rows.withColumns({
-        "collection": F.lit(collection), "specimen_group": F.lit(group), "individualID": individual,
-        "siteID": text.extract(F.col("locationID"), "^([A-Z]{4})"), "plotID": text.extract(F.col("locationID"), r"^([A-Z]{4}_\d{3})"),
-        "domainID": text.extract(F.col("locality"), r"(D\d{2})"),
+    as_column = lambda v: F.lit(v) if isinstance(v, str) else v
+    rows = rows.withColumns({
+        "collection": as_column(collection), "specimen_group": as_column(group), "individualID": individual,
+        "siteID": text.extract(F.col("locationID"), "^([A-Z]{4})[_.]"), "plotID": text.extract(F.col("locationID"), r"^([A-Z]{4}_\d{3})"),
+        "domainID": text.extract(F.col("locality"), r"\((D\d{2})\)"),
     })
+    if media is None:
+        return rows
+    counts = media.groupBy(F.col("coreid").alias("occid")).agg(F.count("*").alias("n_images"))
+    return rows.join(counts, "occid", "left").withColumn("n_images", F.coalesce("n_images", F.lit(0).cast("long")))
+
+
+def side_table(rows: DataFrame, collection: str | Column) -> DataFrame:
+    """Identifications, measurements or material samples of an archive, by record: coreid as occid, with the collection."""
+    named = F.lit(collection) if isinstance(collection, str) else collection
+    return rows.withColumnRenamed("coreid", "occid").withColumn("collection", named)
 
 
 def repository_images(records: DataFrame, media: DataFrame) -> DataFrame:
     """(image_id, occid, image_url, image_kind, view, ...) of still images, one for each URL and each id.
 
-    A medium without a type is a still image. The id is the collection's source and the file's stem.
+    A medium without a type is a still image, and one without a record keeps nulls of it. The id has the collection and
+    the file's stem; a photo that was uploaded twice is there once.
     """
-    still = media.filter(F.coalesce("type", F.lit("StillImage")) == "StillImage")
-    url = F.coalesce("accessURI", "goodQualityAccessURI")
-    rows = still.withColumn("image_url", url).join(records.withColumnRenamed("occid", "coreid"), "coreid")
+    still = media.filter(F.coalesce("type", F.lit("StillImage")) == "StillImage").withColumnRenamed("coreid", "occid")
+    rows = still.withColumn("image_url", F.coalesce("accessURI", "goodQualityAccessURI")).join(records, "occid", "left")
     rows = rows.withColumns({
-        "occid": F.col("coreid"), "image_kind": text.image_kind(F.col("collection"), F.col("image_url")), "view": text.image_view(F.col("image_url")),
-        "image_id": F.concat(F.lit("biorepo/"), text.stem(text.url_file(F.col("image_url")))),
+        "image_kind": text.image_kind(F.col("collection"), F.col("image_url")), "view": text.image_view(F.col("image_url")), "source": F.lit("biorepo"),
+        "image_id": F.concat(F.lit("biorepo/"), "collection", F.lit("/"), text.stem(text.url_file(F.col("image_url")))),
     })
-    return selection.two_stage_distinct(rows, ["image_url"], ["image_id"], [F.asc("occid"), F.asc("image_url")]).drop("coreid")
+    return selection.two_stage_distinct(rows, ["image_url"], ["image_id"], [F.asc("occid"), F.asc("image_url")])
 
 
 def collection_catalog(collections: DataFrame, records: DataFrame, images: DataFrame) -> DataFrame:

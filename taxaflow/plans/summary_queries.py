@@ -137,9 +137,8 @@ def funnel(t: Tables) -> DataFrame:
 
 @query("""SELECT c_mktsegment, o_orderpriority, count(*) AS n, round(median(o_totalprice), 4) AS med FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL""")
 def group_by_all_median(t: Tables) -> DataFrame:
-    t.orders.createOrReplaceTempView("_orders")
-    t.customer.createOrReplaceTempView("_customer")
-    return t.spark.sql("SELECT c_mktsegment, o_orderpriority, count(*) AS n, round(median(o_totalprice), 4) AS med FROM _orders JOIN _customer ON c_custkey = o_custkey GROUP BY ALL")
+    sql = "SELECT c_mktsegment, o_orderpriority, count(*) AS n, round(median(o_totalprice), 4) AS med FROM {orders} JOIN {customer} ON c_custkey = o_custkey GROUP BY ALL"
+    return t.spark.sql(sql, orders=t.orders, customer=t.customer)
 
 
 @query("""SELECT source, lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY ALL""")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaflow.functions import text
-from taxaflow.operators import boxes, selection, shaping, summaries
+from taxaflow.operators import boxes, linkage, selection, shaping, summaries
 
 #: Ranks at or below species, and the least probability of a model's pick.
 SPECIES_RANKS = ("species", "subspecies", "variety", "form")
@@ -74,6 +74,16 @@ def species_records(records: DataFrame, group: str = "herptile bycatch") -> Data
     })
 
 
+def candidate_searches(records: DataFrame) -> DataFrame:
+    """(siteID, higher_taxon, taxonKey, lat, lon): one search for each taxon of a site, at the mean place of its records.
+
+    Records without a site or a key are not searched for, and neither are sites without a place. Of a pair's keys the
+    smallest counts.
+    """
+    pairs = records.filter("taxonKey IS NOT NULL AND siteID IS NOT NULL").groupBy("siteID", "higher_taxon").agg(F.min("taxonKey").alias("taxonKey"))
+    return linkage.with_means(pairs, records, "siteID", {"lat": "decimalLatitude", "lon": "decimalLongitude"})
+
+
 def range_picks(candidates: DataFrame) -> DataFrame:
     """(siteID, higher_taxon, n_candidates, range_pick, range_pick_key, range_pick_share, candidates).
 
