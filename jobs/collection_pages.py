@@ -80,6 +80,7 @@ def run(spark: SparkSession, pages: str, out: str, checkpoint: str, config: str
         rows = new_rows(given, known).withColumns({"batch": F.lit(number).cast("long"), "bucket": bucket})
         dealt = rows.select(*layout.names).hint("rebalance", F.col("bucket"))
         dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "bucket").parquet(path)
+        log.info("batch %d: read %d pages of %s, wrote %d new rows", number, given.count(), pages, catalogue().filter(F.col("batch") == number).count())
         given.unpersist()
 
     reader = spark.readStream.schema(PAGE)
@@ -87,7 +88,6 @@ def run(spark: SparkSession, pages: str, out: str, checkpoint: str, config: str
         reader = reader.option("maxFilesPerTrigger", settings["files_per_batch"])
     query = reader.parquet(pages).writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    log.info("read %d new rows of %s", sum(p["numInputRows"] for p in query.recentProgress), pages)
     whole = catalogue()
     host_counts(whole).write.mode("overwrite").parquet(f"{out}/hosts")
     log.info("wrote %s: %d rows in %d batches; %s: %d hosts", path, whole.count(), whole.select("batch").distinct().count(), f"{out}/hosts", spark.read.parquet(f"{out}/hosts").count())

@@ -57,6 +57,12 @@ def mask_runs(code: pd.Series) -> pd.Series:
     return code.map(lambda c: None if c is None else rasters.rle_runs(c))
 
 
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def mask_ends(code: pd.Series) -> pd.Series:
+    """Where a coded mask's runs end: a place is set if an odd number of runs end at or before it."""
+    return code.map(lambda c: None if c is None else np.cumsum(np.array(rasters.rle_runs(c), np.int64)))
+
+
 @F.pandas_udf(T.StringType())
 def mask_code(lengths: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
     """The code of a mask given by its runs."""
@@ -172,6 +178,63 @@ def parts_in_mask(df: DataFrame, parts: Sequence[str], part_window: Sequence[str
     return df.withColumns(kept).withColumns({f"{p}_area_px": mask_pixels(f"{p}_rle") for p in parts})
 
 
+@F.pandas_udf(T.DoubleType())
+def border_coverage(code: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
+    """Part of a window's outline that a coded mask covers, from its runs."""
+    return _per_row(lambda c, h, w: {"x": runs.border_coverage(c, int(h), int(w))}, (code, height, width), ["x"])["x"].astype("float64")
+
+
+@F.pandas_udf(T.StructType([T.StructField("code", T.StringType()), T.StructField("fix", T.StringType())]))
+def specimen_mask(code: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
+    """A mask, or the specimen that a mask of the backdrop leaves, and what was done: see rasters.specimen_of.
+
+    Only masks that cover more than half of their window's outline are decoded.
+    """
+
+    def one(c: str, h: int, w: int) -> dict:
+        if runs.border_coverage(c, int(h), int(w)) <= 0.5:
+            return {"code": c, "fix": None}
+        mask, fix = rasters.specimen_of(rasters.rle_decode(c, int(h), int(w)))
+        return {"code": rasters.rle_encode(mask), "fix": fix}
+
+    return _per_row(one, (code, height, width), ["code", "fix"])
+
+
+BOX = T.StructType([T.StructField(n, T.DoubleType()) for n in BAR.names])
+
+
+@F.pandas_udf(BOX)
+def backdrop_box(pixels: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
+    """Box of the largest thing that differs from the border's colour in RGB images given as bytes; nulls where there is none."""
+
+    def one(p: bytes, h: int, w: int) -> dict:
+        found = rasters.backdrop_difference_box(np.frombuffer(p, np.uint8).reshape(int(h), int(w), 3))
+        return dict(zip(BOX.names, found or [None] * 4, strict=True))
+
+    return _per_row(one, (pixels, height, width), BOX.names)
+
+
+@F.pandas_udf(T.StructType([*BOX.fields, T.StructField("source", T.StringType())]))
+def crop_prompt(labels: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
+    """The box that a crop's part labels (bytes, row by row) give a segmenter, and where it is from.
+
+    The extent of the largest labelled blob ("parts") counts only if the labels show a whole specimen: each part of the
+    trunk has 0.2 % of the crop and the blob 1 %. Else it is the crop without its outermost pixels ("frame").
+    """
+
+    def one(p: bytes, h: int, w: int) -> dict:
+        lab = np.frombuffer(p, np.uint8).reshape(int(h), int(w))
+        trunk = min(np.count_nonzero(lab == rasters.PARTS[name]) for name in rasters.NEEDED)
+        blob = rasters.largest_blob(lab > 0, fill=False)
+        box, source = (1, 1, lab.shape[1] - 1, lab.shape[0] - 1), "frame"
+        if trunk >= 0.002 * lab.size and np.count_nonzero(blob) >= 0.01 * lab.size:
+            ys, xs = np.nonzero(blob)
+            box, source = (xs.min(), ys.min(), xs.max() + 1, ys.max() + 1), "parts"
+        return dict(zip(BOX.names, map(float, box), strict=True)) | {"source": source}
+
+    return _per_row(one, (labels, height, width), [*BOX.names, "source"])
+
+
 READING = T.StructType([
     T.StructField("px_per_mm", T.DoubleType()), T.StructField("strength", T.DoubleType()), T.StructField("n", T.IntegerType()), T.StructField("spread", T.DoubleType()),
     T.StructField("orientation", T.StringType()), T.StructField("bar", BAR),
@@ -236,16 +299,15 @@ def points_in_masks(points: DataFrame, instances: DataFrame, image: str = "image
     mask's window is rounded half to even; a point without coordinates, or nowhere, has a null instance_id.
     """
     cols = ["instance_id", "box", "win_x1", "win_y1", "mask_h", "mask_w"]
-    held = instances.select(image, *cols, mask_runs("mask_rle").alias("_runs"))  # decoded once, not for each point
+    held = instances.select(image, *cols, mask_ends("mask_rle").alias("_ends"))  # decoded once, not for each point
     near = points.filter("x IS NOT NULL AND y IS NOT NULL").select(image, "p_id", "x", "y").join(held, image)
     dx, dy = F.rint(F.col("x") - F.col("win_x1")).cast("long"), F.rint(F.col("y") - F.col("win_y1")).cast("long")
     window = (dx >= 0) & (dy >= 0) & (dx < F.col("mask_w")) & (dy < F.col("mask_h"))
     in_box = (F.col("x") >= F.col("box.x1")) & (F.col("x") <= F.col("box.x2")) & (F.col("y") >= F.col("box.y1")) & (F.col("y") <= F.col("box.y2"))
     # the pixel's place in column-major order falls into a run of ones if it is in an odd run
     place = dx * F.col("mask_h") + dy
-    lengths = F.when(window, F.col("_runs"))
-    ends = F.aggregate(lengths, F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).alias("n")), lambda a, r: F.struct((a["at"] + r).alias("at"), (a["n"] + F.when(a["at"] + r <= place, 1).otherwise(0)).alias("n")))
-    hit = F.coalesce(window & (ends["n"] % 2 == 1), F.lit(False))
+    ended = F.size(F.filter(F.when(window, F.col("_ends")), lambda e: e <= place))
+    hit = F.coalesce(window & (ended % 2 == 1), F.lit(False))
     size = (F.col("box.x2") - F.col("box.x1")) * (F.col("box.y2") - F.col("box.y1"))
     ranked = near.filter(window | in_box).withColumn("_hit", hit).filter(F.col("_hit") | in_box)
     order = F.struct((~F.col("_hit")).alias("a"), F.when(F.col("_hit"), 0.0).otherwise(size).alias("b"), F.col("instance_id").alias("c"))

@@ -111,3 +111,11 @@ def extent(code: str, height: int) -> tuple[int, int, int, int] | None:
         return None
     spans = moved(a, Window(0, 0, height, 1 << 40), Window(0, 0, height, 1 << 40))
     return int(a.start[0] // height), int((spans.start % height).min()), int((a.stop[-1] - 1) // height), int(((spans.stop - 1) % height).max())
+
+
+def border_coverage(code: str, height: int, width: int) -> float:
+    """Part of an array's outline that a mask covers; corners count for both their sides."""
+    a, columns = intervals(code), np.arange(width) * height
+    sides = [Intervals(np.array([0]), np.array([height])), Intervals(np.array([(width - 1) * height]), np.array([width * height]))]
+    ends = [Intervals(columns, columns + 1), Intervals(columns + height - 1, columns + height)]
+    return sum(both(a, side).pixels for side in sides + ends) / (2 * (height + width))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from taxaflow.operators.linkage import not_done
+from taxaflow.sources.files import TableStore
 
 _LOADED: dict[str, object] = {}
 
@@ -87,3 +88,22 @@ def recheck_queue(results: DataFrame, instances: DataFrame, key: str = "image_id
     failed = results.filter(F.col("status") != "ok").select(key)
     empty = results.filter(F.col("status") == "ok").select(key).join(instances.select(key).distinct(), key, "left_anti")
     return failed.unionByName(empty).distinct()
+
+
+def backdrop_queue(instances: DataFrame, most: float = 0.5, key: str = "image_id") -> DataFrame:
+    """Images with an instance whose stored mask is the backdrop: it covers more than `most` of its window's outline."""
+    from taxaflow.functions import kernels
+
+    covered = kernels.border_coverage("mask_rle", "mask_h", "mask_w")
+    return instances.filter("mask_rle IS NOT NULL").select(key, covered.alias("_covered")).filter(F.col("_covered") > most).select(key).distinct()
+
+
+def requeued(store: TableStore, ids: DataFrame, kinds: Sequence[str] = ("instances", "images"), key: str = "image_id", by: str = "source") -> DataFrame:
+    """Drop images from the shards, so that the next run, which leaves out what is done, takes them again; returns their ids.
+
+    The ids are written down first, in the folder of the context's checkpoints, as they can come from the same shards.
+    """
+    held = ids.select(key).distinct().checkpoint()
+    for kind in kinds:
+        store.drop_from_shards(kind, held, key, by)
+    return held

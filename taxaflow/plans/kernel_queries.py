@@ -120,6 +120,18 @@ def parts_in_mask(t: Tables) -> DataFrame:
     return kernels.parts_in_mask(rows, ["head"]).select("p_partkey", "head_area_px")
 
 
+@query("""WITH k AS (SELECT p_partkey, p_partkey % 81 AS k FROM part), c AS (SELECT *, (CASE WHEN k > 0 THEN 60 ELSE 0 END + 2 * k + CASE WHEN k = 80 THEN 60 ELSE 0 END) / 280 AS covered FROM k)
+SELECT p_partkey, round(covered, 9) AS covered, CASE WHEN covered <= 0.5 THEN NULL WHEN (80 - k) * 60 < 48 THEN 'backdrop_unfixed' ELSE 'inverted_backdrop' END AS fix,
+(CASE WHEN covered <= 0.5 OR (80 - k) * 60 < 48 THEN k ELSE 80 - k END * 60)::BIGINT AS pixels FROM c""")
+def backdrop_masks(t: Tables) -> DataFrame:
+    """Masks of the first columns of a window: those that cover most of its outline are the backdrop, and are turned around."""
+    k = (F.col("p_partkey") % 81).cast("int")
+    masks = t.part.select("p_partkey", kernels.mask_code(F.array(F.lit(0), k * _H, F.lit(_H * _W) - k * _H), F.lit(_H), F.lit(_W)).alias("code"))
+    size = F.lit(_H), F.lit(_W)
+    found = masks.select("p_partkey", kernels.border_coverage("code", *size).alias("covered"), kernels.specimen_mask("code", *size).alias("s"))
+    return found.select("p_partkey", F.round("covered", 9).alias("covered"), "s.fix", kernels.mask_pixels("s.code").alias("pixels"))
+
+
 @query("SELECT p_partkey, (p_size % 20 + 6)::DOUBLE AS period, true AS strong FROM part")
 def ruler_period(t: Tables) -> DataFrame:
     step = F.col("p_size") % 20 + 6

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import time
 import uuid
@@ -15,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from taxaflow.functions import text
+
 Fetch = Callable[[str], dict]
 R = TypeVar("R")
 
@@ -144,8 +147,19 @@ def slices(years: Iterable[int], places: Iterable[str]) -> list[str]:
     return [f"year={y}&place={p}" for y in years for p in held]
 
 
-def memoised(spark: SparkSession, asked: DataFrame, key: str, answer: Callable[[str], str | None], cache: str) -> DataFrame:
-    """(key, answer) of each distinct key. Keys that the Parquet cache has are not asked for again; new ones are added."""
+def listed(call: Callable[[], dict], name: str = "results", errors: tuple = (OSError, KeyError, ValueError)) -> list[dict]:
+    """The list of a service's answer, empty where it fails or has none: for descriptions that a table can do without."""
+    try:
+        return list(call()[name])
+    except errors:
+        return []
+
+
+def memoised(spark: SparkSession, asked: DataFrame, key: str, answer: Callable[[str], str | None], cache: str, skip: tuple = ()) -> DataFrame:
+    """(key, answer) of each distinct key. Keys that the Parquet cache has are not asked for again; new ones are added.
+
+    An error of a kind in `skip` leaves its key out, of the cache too: a later run asks again.
+    """
     from taxaflow.sources.files import _exists
 
     keys = asked.select(key).filter(f"{key} IS NOT NULL").distinct()
@@ -153,13 +167,38 @@ def memoised(spark: SparkSession, asked: DataFrame, key: str, answer: Callable[[
 
     def rows(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({key: frame[key], "answer": [retried(lambda k=k: answer(k), tries=4, exponential=True) for k in frame[key]]})
+            found = []
+            for k in frame[key]:
+                try:
+                    found.append((k, retried(lambda k=k: answer(k), tries=4, exponential=True)))
+                except skip:
+                    continue
+            yield pd.DataFrame(found, columns=[key, "answer"])
 
     fresh.mapInPandas(rows, f"{key} string, answer string").write.mode("append").parquet(cache)
     # two runs at once can both have asked for a key: the cache then has it twice
     return spark.read.parquet(cache).join(keys, key, "left_semi").groupBy(key).agg(F.min("answer").alias("answer"))
 
 
+def resolved_terms(spark: SparkSession, names: DataFrame, search: Callable[[str], Sequence[dict]], cache: str, name: str = "scientificName") -> DataFrame:
+    """(name, query, curie, label, iri, exact): the term of an ontology for each distinct name.
+
+    Asked is for the binomial of a name, without subspecies and open parts. search returns candidates ({"obo_id", "label",
+    "iri"}); the first whose label is the query, whatever its case, is the term. Names without one keep nulls, and those
+    whose search fails are absent, and asked for again by a later run.
+    """
+
+    def answer(query: str) -> str:
+        hit = next((d for d in search(query) if str(d.get("label", "")).lower() == query.lower()), None)
+        return json.dumps(hit or {})
+
+    asked = names.filter(F.col(name).isNotNull() & (F.trim(name) != "")).select(name).distinct().withColumn("query", text.binomial(F.col(name)))
+    found = memoised(spark, asked, "query", answer, cache, skip=(OSError, KeyError, ValueError))
+    term = F.from_json("answer", "obo_id string, label string, iri string")
+    known = found.select("query", term.alias("t")).select("query", F.col("t.obo_id").alias("curie"), "t.label", "t.iri")
+    return asked.join(known, "query").select(name, "query", "curie", "label", "iri", (F.col("curie").isNotNull() & (F.col("query") == F.col(name))).alias("exact"))
+
+
 def submitted(submit: Callable[[], str], status: Callable[[str], str], wait: float = 5.0, most: int = 1000, sleep: Callable[[float], None] = time.sleep) -> str:
     """Submit an asynchronous job and wait until it has succeeded; returns its id."""
     job = retried(submit)

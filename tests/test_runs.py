@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from taxaflow.functions import kernels, rasters, runs
 from taxaflow.functions.runs import Window
+from taxaflow.operators import inference
+from taxaflow.sources.files import TableStore
 
 
 def masks(seed):
@@ -82,3 +84,34 @@ def test_masks_inside_larger_ones_go(spark, seed):
     df = spark.createDataFrame(rows, "image_id int, instance_id int, win_x1 int, win_y1 int, mask_rle string, mask_h int, mask_w int")
     want = {ids[k] for own in windows.values() for ids in [[i for i, _ in own]] for k in rasters.distinct_masks([m for _, m in own])}
     assert {r.instance_id for r in kernels.without_duplicate_masks(df).collect()} == want
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_borders(seed):
+    _, h, w, (a, _) = masks(seed)
+    assert runs.border_coverage(rasters.rle_encode(a), h, w) == pytest.approx(rasters.border_coverage(a))
+
+
+def test_prompts_of_crops_and_backdrops(spark):
+    labels, bare = np.zeros((60, 80), np.uint8), np.zeros((60, 80), np.uint8)
+    labels[10:20, 30:50], labels[20:30, 30:50], labels[30:50, 25:55] = 1, 2, 3
+    bare[30:50, 25:55] = 3
+    image = np.full((100, 120, 3), 200, np.uint8)
+    image[30:60, 40:90] = 30
+    df = spark.createDataFrame([(1, labels.tobytes(), image.tobytes()), (2, bare.tobytes(), np.full((100, 120, 3), 9, np.uint8).tobytes()), (3, None, None)], "id int, labels binary, rgb binary")
+    got = {r.id: r for r in df.select("id", kernels.crop_prompt("labels", F.lit(60), F.lit(80)).alias("p"), kernels.backdrop_box("rgb", F.lit(100), F.lit(120)).alias("b")).collect()}
+    assert tuple(got[1].p) == (25, 10, 55, 50, "parts") and tuple(got[2].p) == (1, 1, 79, 59, "frame") and got[3].p.source is None
+    assert tuple(got[1].b) == pytest.approx((40, 30, 90, 60), abs=2) and got[2].b.x1 is None and got[3].b.x1 is None
+
+
+def test_backdrops_are_run_again(spark, tmp_path):
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "checkpoints"))
+    store = TableStore(spark, str(tmp_path))
+    inner, ring = np.zeros((20, 20), bool), np.ones((20, 20), bool)
+    inner[5:9, 5:9], ring[5:9, 5:9] = True, False
+    held = [("x", "a", rasters.rle_encode(inner)), ("x", "b", rasters.rle_encode(ring)), ("x", "b", rasters.rle_encode(inner)), ("y", "c", rasters.rle_encode(ring)), ("y", "d", None)]
+    store.append_shard("instances", spark.createDataFrame([(s, i, c, 20, 20) for s, i, c in held], "source string, image_id string, mask_rle string, mask_h int, mask_w int"))
+    store.append_shard("images", spark.createDataFrame([(s, i) for s, i, _ in held[:2] + held[3:]], "source string, image_id string"))
+    again = inference.requeued(store, inference.backdrop_queue(store.read_shards("instances")))
+    assert sorted(r.image_id for r in again.collect()) == ["b", "c"]
+    assert [sorted(r.image_id for r in store.read_shards(kind).collect()) for kind in ("instances", "images")] == [["a", "d"], ["a", "d"]]

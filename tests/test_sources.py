@@ -217,3 +217,20 @@ def test_shards_of_null_and_special_partitions(spark, tmp_path):
         store.drop_from_shards("k", spark.createDataFrame([("a",), ("c",), ("e",), ("f",), ("none",)], "image_id string"), "image_id")
         assert {r.image_id: r.source for r in store.read_shards("k").collect()} == {i: before[i] for i in "bdg"}
     assert len([p for p in (tmp_path / "shards" / "k").iterdir() if p.name.startswith("source=")]) == 3
+
+
+def test_terms_and_lists_of_services_that_fail(spark, tmp_path):
+    def search(query):
+        if query == "Broken":
+            raise ValueError("no answer")
+        return [{"obo_id": "T:0", "label": "Other"}, {"obo_id": "T:1", "label": query.upper(), "iri": "http://t/1"}] if query.startswith("Carabus") else []
+
+    names = spark.createDataFrame([("Carabus nemoralis",), ("Carabus nemoralis",), ("Carabus nemoralis alpinus",), ("Carabus sp. 3",), ("Elsewhere",), ("Broken sp.",), (None,), (" ",)], "scientificName string")
+    want = [
+        ("Carabus nemoralis", "Carabus nemoralis", "T:1", "CARABUS NEMORALIS", "http://t/1", True), ("Carabus nemoralis alpinus", "Carabus nemoralis", "T:1", "CARABUS NEMORALIS", "http://t/1", False),
+        ("Carabus sp. 3", "Carabus", "T:1", "CARABUS", "http://t/1", False), ("Elsewhere", "Elsewhere", None, None, None, False),
+    ]
+    assert rows(remote.resolved_terms(spark, names, search, str(tmp_path / "terms"))) == sorted(want, key=repr)
+    later = remote.resolved_terms(spark, names, lambda q: [{"obo_id": "T:9", "label": q}], str(tmp_path / "terms"))
+    assert {r.scientificName: r.curie for r in later.collect()} == {n: c for n, _, c, *_ in want} | {"Broken sp.": "T:9"}
+    assert remote.listed(lambda: {"results": [{"a": 1}]}) == [{"a": 1}] and remote.listed(lambda: {}) == [] and remote.listed(lambda: 1 / len(""), errors=(ZeroDivisionError,)) == []
