@@ -21,9 +21,16 @@ PARTS = T.StructType(
 BAR = T.StructType([T.StructField(n, T.IntegerType()) for n in ("x1", "y1", "x2", "y2")])
 BOARD = T.StructType([T.StructField("px_per_mm", T.DoubleType()), T.StructField("n_squares", T.IntegerType()), T.StructField("spread", T.DoubleType())])
 BASE = T.StructType([T.StructField(n, T.DoubleType()) for n in ("elytra_midline_length_px", "elytra_base_width_px", "pronotum_base_width_px")])
+#: Samples of the profiles that are transformed together.
+SAMPLES = 1 << 17
 RULER = T.StructType([T.StructField("px_per_mm", T.DoubleType()), T.StructField("confidence", T.DoubleType()), T.StructField("orientation", T.StringType()), T.StructField("n_ticks", T.IntegerType())])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of few bytes and much work for each, dealt to some tasks for each core, whatever the files are."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _per_row(f: Callable, columns: Iterable[pd.Series], names: list[str]) -> pd.DataFrame:
     """f of each row; a row with a null gives nulls."""
     rows = [dict.fromkeys(names) if any(v is None or v is pd.NA or (np.isscalar(v) and pd.isna(v)) for v in values) else f(*values) for values in zip(*columns, strict=True)]
@@ -79,7 +86,15 @@ def base_widths(head: pd.Series, pronotum: pd.Series, elytra: pd.Series, height:
 
 @F.pandas_udf(T.StructType([T.StructField("period", T.DoubleType()), T.StructField("strength", T.DoubleType())]))
 def signal_period(profile: pd.Series, low: pd.Series, high: pd.Series) -> pd.DataFrame:
-    return _per_row(lambda p, a, b: dict(zip(("period", "strength"), signals.period(np.asarray(p, float), int(a), int(b)), strict=True)), (profile, low, high), ["period", "strength"])
+    """Period and strength of each profile; null columns give nulls. Profiles of one length and one choice of lags are read in blocks."""
+    found = np.full((len(profile), 2), np.nan)
+    rows = pd.DataFrame({"n": profile.map(len, na_action="ignore"), "low": low, "high": high}).dropna()
+    for (n, a, b), at in rows.groupby(["n", "low", "high"]).indices.items():
+        places, block = rows.index[at], max(1, SAMPLES // max(int(n), 1))
+        for i in range(0, len(places), block):
+            some = places[i : i + block]
+            found[some] = np.stack(signals.periods(np.stack(profile[some].to_list()).astype(float), int(a), int(b)), 1)
+    return pd.DataFrame(found, columns=["period", "strength"])
 
 
 @F.pandas_udf(PARTS)

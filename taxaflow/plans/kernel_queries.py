@@ -136,5 +136,5 @@ def backdrop_masks(t: Tables) -> DataFrame:
 def ruler_period(t: Tables) -> DataFrame:
     step = F.col("p_size") % 20 + 6
     profile = F.transform(F.sequence(F.lit(0), F.lit(399)), lambda i: F.cos(2 * F.pi() * i / step))
-    found = t.part.select("p_partkey", kernels.signal_period(profile, F.lit(4), F.lit(60)).alias("p"))
+    found = kernels.spread(t.part).select("p_partkey", kernels.signal_period(profile, F.lit(4), F.lit(60)).alias("p"))
     return found.select("p_partkey", F.round("p.period", 0).alias("period"), (F.col("p.strength") > 0.8).alias("strong"))

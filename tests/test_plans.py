@@ -3,13 +3,15 @@
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from taxaflow.functions import kernels, rasters, text
+from taxaflow.functions import kernels, rasters, signals, text
 from taxaflow.operators import boxes, inference, linkage, selection, shaping, summaries
 from taxaflow.plans import measurements, specimens, validation
+from taxaflow.plans.queries import QUERIES
 
 
 def rows(df, *cols):
@@ -351,3 +353,28 @@ def test_asof_takes_the_last_known_value(spark):
     left = spark.createDataFrame([("k", 1, t[1]), ("k", 2, t[4]), ("m", 3, t[4])], "k string, i int, ts timestamp")
     right = spark.createDataFrame([("k", t[1], 5.0), ("k", t[2], 6.0)], "k string, ts timestamp, v double")
     assert rows(linkage.asof(left, right, "k", "ts", "ts", "v"), "i", "v") == [(1, 5.0), (2, 6.0), (3, None)]
+
+
+def test_periods_of_a_batch_are_read_in_blocks(spark, monkeypatch):
+    calls = []
+    real = signals.periods
+    monkeypatch.setattr(signals, "periods", lambda x, a, b: calls.append(len(x)) or real(x, a, b))
+    waves = [np.cos(2 * np.pi * np.arange(n) / s) for n, s in ((400, 8), (300, 9), (400, 11))]
+    profile = pd.Series([waves[0], None, waves[1], waves[2], np.zeros(400), waves[0]])
+    high = pd.Series([60, 60, 60, 60, 60, None])
+    got = kernels.signal_period.func(profile, pd.Series([4] * 6), high)
+    assert sorted(calls) == [1, 3]
+    expected = [real(w, 4, 60) for w in (waves[0], waves[1], waves[2], np.zeros(400))]
+    assert np.allclose(got.loc[[0, 2, 3, 4]].to_numpy(), [[float(p[0]), float(k[0])] for p, k in expected])
+    assert got.loc[[1, 5]].isna().all(None)
+
+
+def test_rows_with_much_work_are_dealt_to_all_cores(spark):
+    rows = spark.range(1000).coalesce(1)
+    assert kernels.spread(rows).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("name", ["ruler_period"])
+def test_kernel_queries_are_dealt_to_all_cores(spark, name):
+    df = QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert "REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString()
