@@ -32,8 +32,17 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def _per_row(f: Callable, columns: Iterable[pd.Series], names: list[str]) -> pd.DataFrame:
-    """f of each row; a row with a null gives nulls."""
-    rows = [dict.fromkeys(names) if any(v is None or v is pd.NA or (np.isscalar(v) and pd.isna(v)) for v in values) else f(*values) for values in zip(*columns, strict=True)]
+    """f of each row, equal rows once; a row with a null gives nulls."""
+    none, known, rows = dict.fromkeys(names), {}, []
+    for values in zip(*columns, strict=True):
+        if any(v is None or v is pd.NA or (np.isscalar(v) and pd.isna(v)) for v in values):
+            rows.append(none)
+        elif any(isinstance(v, np.ndarray) for v in values):
+            rows.append(f(*values))
+        else:
+            if values not in known:
+                known[values] = f(*values)
+            rows.append(known[values])
     return pd.DataFrame(rows, columns=names)
 
 
@@ -72,8 +81,14 @@ def mask_ends(code: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.StringType())
 def mask_code(lengths: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
-    """The code of a mask given by its runs."""
-    return pd.Series([None if r is None else rasters.rle_encode(np.repeat(np.arange(len(r)) % 2 == 1, r).reshape((int(h), int(w)), order="F")) for r, h, w in zip(lengths, height, width, strict=True)])
+    """The code of a mask given by its runs, zeros first."""
+    return pd.Series([None if r is None else _code_of_runs(np.asarray(r, np.int64), int(h) * int(w)) for r, h, w in zip(lengths, height, width, strict=True)], dtype=object)
+
+
+def _code_of_runs(lengths: np.ndarray, size: int) -> str:
+    if lengths.sum() != size:
+        raise ValueError(f"the runs have {lengths.sum()} pixels, not {size}")
+    return rasters.encode_runs(lengths.tolist()) if (lengths[1:] > 0).all() else runs.coded(runs.of_lengths(lengths), size)
 
 
 @F.pandas_udf(BASE)

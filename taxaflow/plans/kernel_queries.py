@@ -18,9 +18,7 @@ def _rectangles(t: Tables) -> DataFrame:
     between: Column = F.flatten(F.array_repeat(F.array(tall, F.lit(_H) - tall), wide - 1))
     rest = F.lit(_H * _W) - (x + wide - 1) * _H - y - tall
     runs = F.concat(F.array(x * _H + y), between, F.array(tall, rest))
-    # few bytes, much work for each: a task for each core, whatever the files are
-    part = t.part.repartition(t.spark.sparkContext.defaultParallelism)
-    rows = part.select("p_partkey", wide.alias("wide"), tall.alias("tall"), x.alias("x"), y.alias("y"), runs.alias("runs"))
+    rows = kernels.spread(t.part).select("p_partkey", "p_size", wide.alias("wide"), tall.alias("tall"), x.alias("x"), y.alias("y"), runs.alias("runs"))
     return rows.withColumn("code", kernels.mask_code("runs", F.lit(_H), F.lit(_W)))
 
 
@@ -54,7 +52,7 @@ def specimen_metrics(t: Tables) -> DataFrame:
     black, after = F.lit("000000"), F.lit(_W) - F.col("x") - F.col("wide")
     row = F.concat(strip(F.col("x"), black), strip(F.col("wide"), inside), strip(after, black))
     image = F.concat(F.repeat(black, F.col("y") * _W), F.repeat(row, F.col("tall")), F.repeat(black, (F.lit(_H) - F.col("y") - F.col("tall")) * _W))
-    m = _rectangles(t).join(t.part.select("p_partkey", "p_size"), "p_partkey").withColumn("m", kernels.specimen_metrics("code", F.lit(_H), F.lit(_W), F.unhex(image)))
+    m = _rectangles(t).withColumn("m", kernels.specimen_metrics("code", F.lit(_H), F.lit(_W), F.unhex(image)))
     return m.select("p_partkey", *[F.round(f"m.{c}", 6).alias(c) for c in kernels.BODY.names])
 
 
@@ -84,8 +82,7 @@ FROM m s JOIN m l ON s.image = l.image AND (l.a * l.b, -l.p_partkey) > (s.a * s.
 def _instances(t: Tables) -> DataFrame:
     k = F.col("p_partkey")
     placed = {"image_id": F.floor(k / 8), "instance_id": k, "win_x1": k % 8 * 9, "win_y1": F.col("y") - 1 + F.col("p_size") % 13 - F.col("p_size") % 9, "mask_h": F.lit(_H), "mask_w": F.lit(_W)}
-    rows = _rectangles(t).join(t.part.select("p_partkey", "p_size"), "p_partkey")
-    return rows.withColumns(placed).withColumnRenamed("code", "mask_rle")
+    return _rectangles(t).withColumns(placed).withColumnRenamed("code", "mask_rle")
 
 
 @query(f"""WITH {_PLACED} SELECT small, large, shared FROM o WHERE shared > 0""")
@@ -126,7 +123,7 @@ SELECT p_partkey, round(covered, 9) AS covered, CASE WHEN covered <= 0.5 THEN NU
 def backdrop_masks(t: Tables) -> DataFrame:
     """Masks of the first columns of a window: those that cover most of its outline are the backdrop, and are turned around."""
     k = (F.col("p_partkey") % 81).cast("int")
-    masks = t.part.select("p_partkey", kernels.mask_code(F.array(F.lit(0), k * _H, F.lit(_H * _W) - k * _H), F.lit(_H), F.lit(_W)).alias("code"))
+    masks = kernels.spread(t.part).select("p_partkey", kernels.mask_code(F.array(F.lit(0), k * _H, F.lit(_H * _W) - k * _H), F.lit(_H), F.lit(_W)).alias("code"))
     size = F.lit(_H), F.lit(_W)
     found = masks.select("p_partkey", kernels.border_coverage("code", *size).alias("covered"), kernels.specimen_mask("code", *size).alias("s"))
     return found.select("p_partkey", F.round("covered", 9).alias("covered"), "s.fix", kernels.mask_pixels("s.code").alias("pixels"))

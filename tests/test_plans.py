@@ -374,7 +374,7 @@ def test_rows_with_much_work_are_dealt_to_all_cores(spark):
     assert kernels.spread(rows).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
 
 
-@pytest.mark.parametrize("name", ["ruler_period"])
+@pytest.mark.parametrize("name", ["ruler_period", "backdrop_masks"])
 def test_kernel_queries_are_dealt_to_all_cores(spark, name):
     df = QUERIES[name](spark, "/root/testdata/sf0.001")
     assert "REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString()

@@ -115,3 +115,10 @@ def test_backdrops_are_run_again(spark, tmp_path):
     again = inference.requeued(store, inference.backdrop_queue(store.read_shards("instances")))
     assert sorted(r.image_id for r in again.collect()) == ["b", "c"]
     assert [sorted(r.image_id for r in store.read_shards(kind).collect()) for kind in ("instances", "images")] == [["a", "d"], ["a", "d"]]
+
+
+def test_an_outlines_cover_is_that_of_the_array():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        mask = rng.random(rng.integers(1, 9, 2)) < rng.random()
+        assert runs.border_coverage(rasters.rle_encode(mask), *mask.shape) == pytest.approx(rasters.border_coverage(mask))
