@@ -12,13 +12,18 @@ WHOLE, SIDE = 20_000, 16
 
 
 def _cuts(counts: DataFrame) -> DataFrame:
-    """(_of, _fine, _coarse) of large groups: about even cuts of their distinct values, and every SIDE-th of these."""
+    """(_of, _fine, _coarse) of large groups: about even cuts of their distinct values, and every SIDE-th of these.
+
+    Groups are sized first, so that small ones are not summarised. There are at most a row for each WHOLE distinct values.
+    """
     n = SIDE * SIDE
-    number = F.when(~F.isnan("_v"), F.col("_v"))
-    cuts = counts.groupBy("_of").agg(F.percentile_approx(number, [i / n for i in range(1, n)]).alias("_fine"), F.count("*").alias("_values"), F.sum("_n").alias("_rows"))
-    coarse = F.transform(F.sequence(F.lit(SIDE), F.lit(n - SIDE), F.lit(SIDE)), lambda i: F.element_at("_fine", i))
+    sizes = counts.groupBy("_of").agg(F.count("*").alias("_values"), F.sum("_n").alias("_rows"))
     # the second test says no more than the first, but reads _n: so this branch has the shuffle of counts that others have
-    return cuts.filter((F.col("_values") > WHOLE) & (F.col("_rows") > WHOLE)).select("_of", "_fine", coarse.alias("_coarse"))
+    large = sizes.filter((F.col("_values") > WHOLE) & (F.col("_rows") > WHOLE)).select("_of")
+    number = F.when(~F.isnan("_v") & (F.col("_n") > 0), F.col("_v"))
+    cuts = counts.join(F.broadcast(large), "_of", "left_semi").groupBy("_of").agg(F.percentile_approx(number, [i / n for i in range(1, n)]).alias("_fine"))
+    coarse = F.transform(F.sequence(F.lit(SIDE), F.lit(n - SIDE), F.lit(SIDE)), lambda i: F.element_at("_fine", i))
+    return cuts.select("_of", "_fine", coarse.alias("_coarse"))
 
 
 def _range(value: Column) -> Column:
@@ -42,7 +47,8 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str | Column, w
     of = F.struct(*[F.col(g).alias(g) for g in groups]) if groups else F.struct(F.lit(0).alias("_all"))
     number = (F.col(value) if isinstance(value, str) else value).cast("double")
     counts = df.select(of.alias("_of"), number.alias("_v")).filter("_v IS NOT NULL").groupBy("_of", "_v").agg(F.count("*").alias("_n"))
-    placed = counts.join(_cuts(counts), "_of", "left").select("_of", "_v", "_n", _range(F.col("_v")).alias("_range"))
+    # a join by group would bring all values of a group to one task, and so would what follows
+    placed = counts.join(F.broadcast(_cuts(counts)), "_of", "left").select("_of", "_v", "_n", _range(F.col("_v")).alias("_range"))
     per = Window.partitionBy("_of")
     sizes = placed.groupBy("_of", "_range").agg(F.sum("_n").alias("_size"))
     upto = F.sum("_size").over(per.orderBy("_range"))

@@ -72,3 +72,18 @@ def test_agreement_of_large_groups_is_that_of_aggregates(spark):
     for g in one:
         for k, v in one[g].items():
             assert two[g][k] == (pytest.approx(v, rel=1e-9) if isinstance(v, float) else v), (g, k)
+
+
+def test_no_join_brings_a_groups_values_to_one_task(spark):
+    rows = spark.range(50_000).select(F.lit("a").alias("g"), (F.col("id") * 1.5).alias("v"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        plan = quantiles.exact_quantiles(rows, ["g"], "v", {"half": 0.5})._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    merged = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert merged and all("_range" in line for line in merged)
