@@ -73,10 +73,18 @@ def mask_runs(code: pd.Series) -> pd.Series:
     return code.map(lambda c: None if c is None else rasters.rle_runs(c))
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def mask_ends(code: pd.Series) -> pd.Series:
-    """Where a coded mask's runs end: a place is set if an odd number of runs end at or before it."""
-    return code.map(lambda c: None if c is None else np.cumsum(np.array(rasters.rle_runs(c), np.int64)))
+@F.pandas_udf(T.StructType([T.StructField("ends", T.ArrayType(T.LongType())), T.StructField("first", T.ArrayType(T.IntegerType()))]))
+def mask_columns(code: pd.Series, height: pd.Series, width: pd.Series) -> pd.DataFrame:
+    """Where a coded mask's runs end, and how many end at or before the start of each column and of the one after the last.
+
+    A place is set if an odd number of runs end at or before it.
+    """
+
+    def one(c: str, h: int, w: int) -> dict:
+        ends = np.cumsum(np.array(rasters.rle_runs(c), np.int64))
+        return {"ends": ends, "first": np.searchsorted(ends, np.arange(int(w) + 1) * int(h), "right").astype(np.int32)}
+
+    return _per_row(one, (code, height, width), ["ends", "first"])
 
 
 @F.pandas_udf(T.StringType())
@@ -329,14 +337,16 @@ def points_in_masks(points: DataFrame, instances: DataFrame, image: str = "image
     mask's window is rounded half to even; a point without coordinates, or nowhere, has a null instance_id.
     """
     cols = ["instance_id", "box", "win_x1", "win_y1", "mask_h", "mask_w"]
-    held = instances.select(image, *cols, mask_ends("mask_rle").alias("_ends"))  # decoded once, not for each point
-    near = points.filter("x IS NOT NULL AND y IS NOT NULL").select(image, "p_id", "x", "y").join(held, image)
+    held = instances.select(image, *cols, mask_columns("mask_rle", "mask_h", "mask_w").alias("_m"))  # decoded once, not for each point
+    # no broadcast: the size of decoded runs is not what the size of the files lets expect
+    near = points.filter("x IS NOT NULL AND y IS NOT NULL").select(image, "p_id", "x", "y").join(held.hint("merge"), image)
     dx, dy = F.rint(F.col("x") - F.col("win_x1")).cast("long"), F.rint(F.col("y") - F.col("win_y1")).cast("long")
     window = (dx >= 0) & (dy >= 0) & (dx < F.col("mask_w")) & (dy < F.col("mask_h"))
     in_box = (F.col("x") >= F.col("box.x1")) & (F.col("x") <= F.col("box.x2")) & (F.col("y") >= F.col("box.y1")) & (F.col("y") <= F.col("box.y2"))
-    # the pixel's place in column-major order falls into a run of ones if it is in an odd run
+    # the pixel's place in column-major order falls into a run of ones if it is in an odd run; only its column's runs are looked through
     place = dx * F.col("mask_h") + dy
-    ended = F.size(F.filter(F.when(window, F.col("_ends")), lambda e: e <= place))
+    first, end = (F.get("_m.first", F.when(window, dx).cast("int") + i) for i in (0, 1))
+    ended = first + F.size(F.filter(F.when(window, F.slice("_m.ends", first + 1, end - first)), lambda e: e <= place))
     hit = F.coalesce(window & (ended % 2 == 1), F.lit(False))
     size = (F.col("box.x2") - F.col("box.x1")) * (F.col("box.y2") - F.col("box.y1"))
     ranked = near.filter(window | in_box).withColumn("_hit", hit).filter(F.col("_hit") | in_box)

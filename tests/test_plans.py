@@ -378,3 +378,15 @@ def test_rows_with_much_work_are_dealt_to_all_cores(spark):
 def test_kernel_queries_are_dealt_to_all_cores(spark, name):
     df = QUERIES[name](spark, "/root/testdata/sf0.001")
     assert "REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_decoded_masks_are_not_broadcast_and_every_pixel_is_told(spark):
+    mask = np.random.default_rng(3).random((7, 9)) < 0.5
+    inst = spark.createDataFrame([(1, 5, (-1.0, -1.0, -1.0, -1.0), 2, 3, rasters.rle_encode(mask), 7, 9)], "image_id long, instance_id long, box struct<x1 double, y1 double, x2 double, y2 double>, win_x1 int, win_y1 int, mask_rle string, mask_h int, mask_w int")
+    at = [(x, y) for x in range(0, 13) for y in range(0, 12)] + [(1 << 40, 4)]
+    points = spark.createDataFrame([(1, i, float(x), float(y)) for i, (x, y) in enumerate(at)], "image_id long, p_id long, x double, y double")
+    placed = kernels.points_in_masks(points, inst)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert not any("BroadcastHashJoin [image_id" in line for line in plan.splitlines())
+    inside = {i for i, (x, y) in enumerate(at) if 2 <= x < 11 and 3 <= y < 10 and mask[y - 3, x - 2]}
+    assert {r.p_id for r in placed.collect() if r.instance_id == 5} == inside
