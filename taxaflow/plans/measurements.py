@@ -209,8 +209,8 @@ def line_annotations(lines: DataFrame, instances: DataFrame, scales: DataFrame)
     """
     checked = scales.filter("scale_source = 'checkerboard'").select("image_id", (F.col("px_per_mm") * 10).alias("_cm"))
     framed = shaping.fixed_annotation_frame(lines.join(checked, "image_id", "left"), ["image_id", "workflowID"], "_cm", "px_per_cm_full", boxes.BOX)
-    points = framed.select("image_id", F.col("measureID").alias("p_id"), ((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y"), "frame_ok", "structure", "dist_cm", "lying_flat")
-    placed = kernels.points_in_masks(points, instances).filter("instance_id IS NOT NULL AND frame_ok")
+    points = framed.filter("frame_ok").select("image_id", F.col("measureID").alias("p_id"), ((F.col("x1") + F.col("x2")) / 2).alias("x"), ((F.col("y1") + F.col("y2")) / 2).alias("y"), "structure", "dist_cm", "lying_flat")
+    placed = kernels.points_in_masks(points, instances).filter("instance_id IS NOT NULL")
     of = lambda s: F.median(F.when(F.col("structure") == s, F.col("dist_cm") * 10))
     return placed.groupBy("instance_id").agg(of("ElytraLength").alias("ann_elytra_length_mm"), of("ElytraWidth").alias("ann_elytra_width_mm"), F.mode("lying_flat", True).alias("ann_lying_flat"))
 
