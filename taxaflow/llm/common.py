@@ -64,6 +64,12 @@ def _released_shuffles(spark: SparkSession):
             spark.conf.set(key, before)
 
 
+def evaluate(df: DataFrame) -> None:
+    """Run df for the errors that it raises; its rows are not kept."""
+    with _released_shuffles(df.sparkSession):
+        df.write.format("noop").mode("overwrite").save()
+
+
 def materialise(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write df once to the shared folder and read it back: cuts the lineage, survives lost executors.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxaflow.llm.common import SPACE, drop_table, join_groups, materialise
+from taxaflow.llm.common import SPACE, evaluate, join_groups, materialise
 
 #: A chunk has LEAST characters or more, and MOST at most.
 LEAST, MOST = 64, 4096
@@ -66,8 +66,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     null id belong to their text's group and do not stay, unless no row of the group has an id: then keep_id is null
     and all stay. Null texts are empty ones. Other columns are not read; an empty table gives no rows.
     """
-    cut = materialise(recipes(docs, id_col, text_col), "recipes")
-    drop_table(materialise(distinct_chunks(cut), "chunks"))  # raises before any comparison
+    cut = materialise(recipes(docs, id_col, text_col), "recipes", "zstd")
+    evaluate(distinct_chunks(cut))  # raises before any comparison
     rows = cut.drop("chunks")
     groups = rows.groupBy("recipe").agg(F.min("id").alias("least"), F.count("*").alias("copies")).filter("copies > 1")
     found = join_groups(rows, materialise(groups, "groups"), "recipe", "copies", rows.count())

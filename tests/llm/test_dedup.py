@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from taxaflow.llm import recipes, sharding, similar, simhash
 from taxaflow.llm.graph import connected_components
@@ -228,3 +229,19 @@ def test_copies_just_similar_enough_are_all_found(spark, kind):
     assert len(expected) > 150
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert {(r.id, r.group_id) for r in similar.similar_groups(df).collect()} == expected
+
+
+def test_exact_groups_keep_no_table_of_chunks(spark, monkeypatch):
+    kept = []
+    real = recipes.materialise
+    monkeypatch.setattr(recipes, "materialise", lambda df, label, codec=None: kept.append(label) or real(df, label, codec))
+    df = spark.createDataFrame([(1, "a b"), (2, "a  b"), (3, None)], "doc_id long, text string")
+    assert sorted((r.id, r.keep_id) for r in recipes.exact_groups(df).collect()) == [(1, 1), (2, 1), (3, 3)]
+    assert "chunks" not in kept
+
+
+def test_colliding_chunk_identifiers_stop_exact_groups(spark, monkeypatch):
+    monkeypatch.setattr(recipes, "chunk_id", lambda chunk: F.unhex(F.lit("00")))
+    df = spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id long, text string")
+    with pytest.raises(Exception, match="collide"):
+        recipes.exact_groups(df).collect()
