@@ -23,6 +23,8 @@ HUBS = 4
 #: Groups meet by one text each in rounds, until only FEW pairs for each text and shingle are left to compare, or a round
 #: leaves more than LITTLE of them. All that is left then is compared.
 FEW, LITTLE = 4, 0.9
+#: Of the keys before one in a text's order, so many last and so many drawn ones tell whether a pair shared one of them.
+BEFORE = 4
 #: One of SAMPLE texts counts for which shingles are common: those met SEEN times, MOST_COMMON at most. They only order.
 SAMPLE, SEEN, MOST_COMMON = 8, 3, 100_000
 #: A set's sketch has so many numbers of 64 bits: each bit is the parity of the shingles that fall on it. Its wide
@@ -79,7 +81,8 @@ def _keyed(size: int, least: float, common: np.ndarray, rank: np.ndarray):  # no
                 keys.append(prefix(found, least, common, rank))
             spans = [len(k) for k in keys[1:]]
             ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), spans)
-            yield pa.record_batch([pa.array(np.concatenate(keys).view(np.int64)), pa.array(ids, pa.int64()), pa.array(np.repeat(np.array(counts, np.int64), spans))], names=["key", "id", "n"])
+            places = np.concatenate([np.arange(n, dtype=np.int32) for n in [0, *spans]])
+            yield pa.record_batch([pa.array(np.concatenate(keys).view(np.int64)), pa.array(ids, pa.int64()), pa.array(np.repeat(np.array(counts, np.int64), spans)), pa.array(places)], names=["key", "id", "n", "i"])
         release_memory()
 
     return keyed
@@ -143,6 +146,20 @@ def _sizes_fit(x: str, y: str, least: float) -> F.Column:
     return F.least(x, y) >= least * F.greatest(x, y) - 1e-9
 
 
+def _largest(n: str, i: str, least: float) -> F.Column:
+    """The most shingles of a similar set, of a set of n whose first shingle in common with it is at place i of its order."""
+    return (F.col(n) - F.col(i)) * ((1 + least) / least) - F.col(n) + 1e-6
+
+
+def _places_fit(least: float) -> F.Column:
+    """Whether sets (na, nb) can be similar if the shingle at their places (ia, ib) is the first in common.
+
+    What comes before it is in one of them alone. Similar sets pass at their first shingle in common; at a later one they
+    need not, and other sets fail there the more, the more rare shingles they have.
+    """
+    return (F.col("nb") <= _largest("na", "ia", least)) & (F.col("na") <= _largest("nb", "ib", least))
+
+
 def _bits_fit(x: str, y: str, n: F.Column, least: float) -> F.Column:
     """Whether the sketches leave it possible that sets of n shingles together are similar."""
     differ = sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(SKETCH)), F.lit(0))
@@ -185,8 +202,8 @@ def _fingerprint_pairs(sketches: DataFrame) -> DataFrame:
 
 
 def _open(crowd: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows (key, id, n) with the root of the group that their id is in so far, of keys whose texts are not all in one group."""
-    rooted = crowd.select("key", "id", "n").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    """Rows (key, id, n, i) with the root of the group that their id is in so far, of keys whose texts are not all in one group."""
+    rooted = crowd.select("key", "id", "n", "i").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s").select("key")
     return rooted.join(mixed, "key", "left_semi")
 
@@ -194,7 +211,7 @@ def _open(crowd: DataFrame, roots: DataFrame) -> DataFrame:
 def _first_meetings(crowd: DataFrame, least: float) -> DataFrame:
     """Pairs of a text and one of each of its HUBS most crowded keys."""
     most = Window.partitionBy("id").orderBy(F.desc("k"), "key", "n")
-    first = materialise(crowd.withColumn("i", F.row_number().over(most)).filter(F.col("i") <= HUBS).drop("i", "k"), "crowds")
+    first = materialise(crowd.withColumn("of", F.row_number().over(most)).filter(F.col("of") <= HUBS).select("key", "id", "n"), "crowds")
     hubs = first.groupBy("key").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n")).alias("hub"))
     return first.join(hubs, "key").filter(_sizes_fit("n", "hub.n", least)).select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
 
@@ -212,27 +229,40 @@ def _group_meetings(left: DataFrame, seed: int, least: float) -> DataFrame:
 
 
 def _left_over(left: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """All pairs of texts of different groups that share a key, but for those that sizes or sketches exclude."""
-    sketched = left.join(sketches.select("id", "n", "bits"), ["id", "n"])
-    x, y = (sketched.select("key", *(F.col(c).alias(f"{c}{i}") for c in ("id", "n", "root", "bits"))) for i in "ab")
-    may = _sizes_fit("na", "nb", least) & _bits_fit("bitsa", "bitsb", F.col("na") + F.col("nb"), least)
+    """All pairs of texts of different groups that share a key, but for those that the key's places or sketches exclude.
+
+    A pair is left out at a key if some of the keys that come BEFORE it are seen to be shared: it is not the first then.
+    """
+    text = Window.partitionBy("id", "n")
+    before = text.orderBy("i", "key").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.collect_list("key").over(text.orderBy("i", "key").rowsBetween(-BEFORE, -1))
+    drawn = [F.min_by("key", F.xxhash64("key", F.lit(s))).over(before) for s in range(BEFORE)]
+    ordered = left.select("*", F.concat(last, F.array_compact(F.array(*drawn))).alias("before"))
+    # where texts that repeat an id have sets of one size, their keys are not told apart
+    texts = sketches.select("id", "n", "bits", F.count("*").over(text).alias("texts"))
+    sketched = ordered.join(texts, ["id", "n"]).withColumn("before", F.when(F.col("texts") == 1, F.col("before")).otherwise(F.array().cast("array<long>")))
+    x, y = (sketched.select("key", *(F.col(c).alias(f"{c}{i}") for c in ("id", "n", "i", "root", "bits", "before"))) for i in "ab")
+    may = _places_fit(least) & _bits_fit("bitsa", "bitsb", F.col("na") + F.col("nb"), least) & ~F.arrays_overlap("beforea", "beforeb")
     return x.join(y, "key").filter(F.col("roota") < F.col("rootb")).filter(may).select(F.col("ida").alias("a"), F.col("idb").alias("b"))
 
 
 def links(given: DataFrame, size: int, least: float) -> DataFrame:
     """Similar pairs (a, b) of given (id, text): what they connect is what all similar pairs connect.
 
-    Texts meet by SimHash fingerprints first, and by the shingles of their prefixes, which miss no similar pair.
+    Texts meet by SimHash fingerprints first, and by the shingles of their prefixes, which miss no similar pair. A text
+    leaves a shingle at which its place and all others' exclude that it is the first in common with a similar one.
     Where more than CROWD share a shingle, members meet one of them, then groups that links have joined meet by
     one text each, as long as such rounds join many groups. At last all pairs of different groups are compared.
     Pairs inside a group join nothing and are left out.
     """
-    keyed = given.mapInArrow(_keyed(size, least, *_common(given, size)), "key long, id long, n long")
-    shared = materialise(keyed.withColumn("k", F.count("*").over(Window.partitionBy("key"))).filter("k > 1"), "prefixes")
+    keyed = given.mapInArrow(_keyed(size, least, *_common(given, size)), "key long, id long, n long, i int")
+    all_of, largest = Window.partitionBy("key"), _largest("n", "i", least)
+    met = keyed.select("*", F.count("*").over(all_of).alias("k"), F.min("n").over(all_of).alias("low"), F.max(largest).over(all_of).alias("high"))
+    shared = materialise(met.filter((F.col("k") > 1) & (F.col("low") <= largest) & (F.col("n") <= F.col("high"))).drop("low", "high"), "prefixes")
     sketches = materialise(_of(given, shared.select("id")).mapInArrow(_sketched(size), "id long, n long, fp long, bits array<long>, wide binary"), "sketches")
     sparse, crowd = shared.filter(F.col("k") <= CROWD), shared.filter(F.col("k") > CROWD)
-    x, y = (sparse.select("key", F.col("id").alias(i), F.col("n").alias(f"n{i}")) for i in "ab")
-    pairs = x.join(y, "key").filter("a < b").filter(_sizes_fit("na", "nb", least)).select("a", "b")
+    x, y = (sparse.select("key", F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.col("i").alias(f"i{i}")) for i in "ab")
+    pairs = x.join(y, "key").filter("a < b").filter(_places_fit(least)).select("a", "b")
     pairs = pairs.unionByName(_fingerprint_pairs(sketches)).unionByName(_first_meetings(crowd, least))
     found = _links(given, sketches, pairs, size, least)
     before = math.inf

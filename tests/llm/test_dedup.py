@@ -245,3 +245,25 @@ def test_colliding_chunk_identifiers_stop_exact_groups(spark, monkeypatch):
     df = spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id long, text string")
     with pytest.raises(Exception, match="collide"):
         recipes.exact_groups(df).collect()
+
+
+def left_over(spark, places, keys, repeated=False):
+    """Pairs, as often as they are met, of texts of 100 shingles that share keys (at the places of each), in groups of their own."""
+    left = spark.createDataFrame([(k, i, 100, at + k, i) for i, at in enumerate(places) for k in range(keys)], "key long, id long, n long, i int, root long")
+    sketches = spark.createDataFrame([(i, 100, [0] * similar.SKETCH) for i in range(len(places)) for _ in range(1 + repeated)], "id long, n long, bits array<long>")
+    return sorted((r.a, r.b) for r in similar._left_over(left, sketches, 0.8).collect())
+
+
+def test_a_pair_that_shares_many_keys_of_a_crowd_is_met_once(spark):
+    pairs = [(a, b) for b in range(12) for a in range(b)]
+    assert left_over(spark, [0] * 12, 11) == sorted(pairs)
+
+
+def test_texts_with_many_rare_shingles_before_a_crowd_are_not_compared_in_it(spark):
+    """Of two sets of 100, at a similarity of 0.8 or more, 89 are shared, so at most 11 come before the first of them."""
+    assert left_over(spark, [0, 11, 12, 19], 1) == [(0, 1)]
+
+
+def test_keys_of_repeated_ids_exclude_no_pair(spark):
+    assert set(left_over(spark, [0, 0], 3, repeated=True)) == {(0, 1)}
+    assert len(left_over(spark, [0, 0], 3, repeated=True)) >= 3
