@@ -50,9 +50,10 @@ def specimen_metrics(t: Tables) -> DataFrame:
     inside = F.concat(byte(F.col("p_size")), byte(F.col("p_partkey") % 256), F.lit("07"))
     strip = lambda n, what: F.repeat(what, n.cast("int"))
     black, after = F.lit("000000"), F.lit(_W) - F.col("x") - F.col("wide")
-    row = F.concat(strip(F.col("x"), black), strip(F.col("wide"), inside), strip(after, black))
-    image = F.concat(F.repeat(black, F.col("y") * _W), F.repeat(row, F.col("tall")), F.repeat(black, (F.lit(_H) - F.col("y") - F.col("tall")) * _W))
-    m = _rectangles(t).withColumn("m", kernels.specimen_metrics("code", F.lit(_H), F.lit(_W), F.unhex(image)))
+    row = F.unhex(F.concat(strip(F.col("x"), black), strip(F.col("wide"), inside), strip(after, black)))
+    empty = F.lit(bytes(3 * _W))
+    image = F.concat(*[F.when((F.col("y") <= i) & (F.col("y") + F.col("tall") > i), F.col("row")).otherwise(empty) for i in range(_H)])
+    m = _rectangles(t).withColumn("row", row).withColumn("m", kernels.specimen_metrics("code", F.lit(_H), F.lit(_W), image))
     return m.select("p_partkey", *[F.round(f"m.{c}", 6).alias(c) for c in kernels.BODY.names])
 
 

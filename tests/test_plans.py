@@ -1,6 +1,7 @@
 """Small golden tables for null, tie and priority rules, and the composite plans on drawn data."""
 
 import datetime as dt
+import re
 
 import numpy as np
 import pandas as pd
@@ -390,3 +391,11 @@ def test_decoded_masks_are_not_broadcast_and_every_pixel_is_told(spark):
     assert not any("BroadcastHashJoin [image_id" in line for line in plan.splitlines())
     inside = {i for i, (x, y) in enumerate(at) if 2 <= x < 11 and 3 <= y < 10 and mask[y - 3, x - 2]}
     assert {r.p_id for r in placed.collect() if r.instance_id == 5} == inside
+
+
+def test_photos_of_masks_are_put_together_from_bytes_of_rows(spark, tmp_path):
+    """A photo's pixels are not written as digits first: only one row of it is."""
+    spark.createDataFrame([(1, 7), (2, 50)], "p_partkey long, p_size long").write.parquet(str(tmp_path / "part.parquet"))
+    df = QUERIES["specimen_metrics"](spark, str(tmp_path))
+    assert re.findall(r"(?<=\W)unhex\(.*? AS (\w+)#", df._jdf.queryExecution().optimizedPlan().toString()) == ["row"]
+    assert [(r.p_partkey, r.area_px, r.mean_r, r.mean_g, r.mean_b) for r in df.orderBy("p_partkey").collect()] == [(1, 60.0, 7.0, 1.0, 7.0), (2, 150.0, 50.0, 2.0, 7.0)]
